@@ -103,15 +103,43 @@ def extract_trades(raw: DataFrame) -> DataFrame:
     )
 
 
-def extract_market(raw: DataFrame) -> DataFrame:
-    """Market-close feed to ``market_close_by_day``; both extended-hours spellings accepted."""
+def read_records(spark: SparkSession, path: str, name_glob: str | None = None,
+                 layout: str = "array", mode: str = "FAILFAST") -> DataFrame:
+    """Schemaless read: one row per landed record, column ``r`` of type VARIANT."""
+    r = (spark.read.option("singleVariantColumn", "v").option("mode", mode)
+         .option("recursiveFileLookup", "true"))
+    if layout == "array":
+        r = r.option("multiLine", "true")
+    if name_glob:
+        r = r.option("pathGlobFilter", name_glob)
+    return records_of(r.json(path), layout)
+
+
+def records_of(files: DataFrame, layout: str = "array") -> DataFrame:
+    """Rows holding one VARIANT per file (array layout) or per line -> one row per record."""
+    if layout == "array":
+        return files.select(F.explode(F.col("v").cast("array<variant>")).alias("r"))
+    return files.select(F.col("v").alias("r"))
+
+
+def extract_paths(records: DataFrame, paths, strict: bool = True) -> DataFrame:
+    """Typed columns from a VARIANT record by JSON path (case-sensitive).
+
+    ``strict`` casts with ``variant_get`` (a value that does not cast aborts the
+    load, the active policy); otherwise ``try_variant_get`` gives NULL.
+    """
+    get = F.variant_get if strict else F.try_variant_get
+    return records.select(*[get(F.col("r"), p, t).alias(c) for c, p, t in paths])
+
+
+def extract_market(records: DataFrame, strict: bool = True) -> DataFrame:
+    """Market-close records to ``market_close_by_day``; both extended-hours spellings accepted."""
+    raw = extract_paths(records, schemas.MARKET_PATHS, strict)
     return raw.select(
-        "status",
-        F.col("from").alias("date_recorded"),
-        "symbol", "open", "high", "low", "close",
+        "status", "date_recorded", "symbol", "open", "high", "low", "close",
         X.to_whole_long("volume").alias("stock_volume"),
-        F.coalesce(F.col("afterHours"), F.col("afterhours")).alias("after_hours"),
-        F.coalesce(F.col("preMarket"), F.col("premarket")).alias("pre_market"),
+        F.coalesce(F.col("after_hours_camel"), F.col("after_hours_lower")).alias("after_hours"),
+        F.coalesce(F.col("pre_market_camel"), F.col("pre_market_lower")).alias("pre_market"),
     )
 
 
@@ -143,44 +171,43 @@ def error_ratio(df: DataFrame, file_col: str, bad: Column, max_ratio: float = SK
                            (ratio > F.lit(max_ratio)).alias("skipped"))
 
 
-def _leaf_paths(schema: T.StructType, prefix: str = ""):
-    for f in schema.fields:
-        name = f"{prefix}{f.name}"
-        if isinstance(f.dataType, T.StructType):
-            yield from _leaf_paths(f.dataType, name + ".")
-        else:
-            yield name, f.dataType
-
-
-def cast_failures(schema: T.StructType) -> Column:
-    """TRUE when any present (non-NULL) text field fails to cast to its declared type."""
-    checks = []
-    for path, t in _leaf_paths(schema):
-        raw = F.col(path)
-        if isinstance(t, T.StringType):
-            continue
-        checks.append(raw.isNotNull() & raw.try_cast(t).isNull())
+def path_failures(paths) -> Column:
+    """TRUE when a present (non-NULL) path value of record ``r`` fails to cast to its type."""
     out = F.lit(False)
-    for c in checks:
-        out = out | c
+    for _c, p, t in paths:
+        present = F.try_variant_get(F.col("r"), p, "variant").isNotNull() & \
+            ~F.is_variant_null(F.try_variant_get(F.col("r"), p, "variant"))
+        out = out | (present & F.try_variant_get(F.col("r"), p, t).isNull())
     return out
 
 
-def read_with_error_policy(spark: SparkSession, path: str, schema: T.StructType,
-                           name_glob: str | None = None, max_ratio: float = SKIP_FILE_RATIO):
-    """Load files whose failing-row share is at most ``max_ratio``; return (rows, report).
+def read_with_error_policy(spark: SparkSession, path: str, paths, name_glob: str | None = None,
+                           max_ratio: float = SKIP_FILE_RATIO, layout: str = "array"):
+    """Records of files whose failing-record share is at most ``max_ratio``; returns (records, report).
 
-    Every field is read as raw text and cast with ``try_cast``; a row fails
-    when a present field does not cast.  A file that cannot be parsed at all
-    counts as ratio 1.  (``_corrupt_record`` is not used to count rows: in
-    multi-line mode one bad element marks every row of its file.)
+    Files are read schemaless (VARIANT); a record fails when a present path
+    does not cast to its declared type (``try_variant_get``).  A file that
+    cannot be parsed at all counts as ratio 1.  Failing records of a kept file
+    are left out, the rest load.  (``_corrupt_record`` of a typed
+    read is not used: in multi-line mode one bad element marks every row of
+    its file.)  ``records`` keeps column ``r``; extract it with the feed's
+    extractor.
     """
-    text = schemas.as_text(schema).add("_corrupt_record", T.StringType(), True)
-    raw = (_reader(spark, text, "array", name_glob, "PERMISSIVE").json(path)
-           .withColumn("_file", F.col("_metadata.file_path")))
-    bad = F.col("_corrupt_record").isNotNull() | cast_failures(schema)
-    report = error_ratio(raw, "_file", bad, max_ratio)
+    r = (spark.read.option("singleVariantColumn", "v").option("mode", "PERMISSIVE")
+         .option("recursiveFileLookup", "true"))
+    if layout == "array":
+        r = r.option("multiLine", "true")
+    if name_glob:
+        r = r.option("pathGlobFilter", name_glob)
+    files = r.json(path).withColumn("_file", F.col("_metadata.file_path"))
+    if layout == "array":
+        recs = files.select("_file", F.col("v").isNull().alias("_unparsed"),
+                            F.explode_outer(F.col("v").cast("array<variant>")).alias("r"))
+    else:
+        recs = files.select("_file", F.col("v").isNull().alias("_unparsed"), F.col("v").alias("r"))
+    recs = recs.where(F.col("_unparsed") | F.col("r").isNotNull())     # drop empty-array filler
+    recs = recs.withColumn("_bad", F.col("_unparsed") | path_failures(paths))
+    report = error_ratio(recs, "_file", F.col("_bad"), max_ratio)
     keep = report.where(~F.col("skipped")).select("_file")
-    typed_cols = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    rows = raw.join(keep, "_file", "left_semi").select(*typed_cols)
-    return rows, report
+    kept = recs.where(~F.col("_bad")).join(keep, "_file", "left_semi").select("r")
+    return kept, report

@@ -31,13 +31,26 @@ GOVERNMENT_TRADES = T.StructType([
     _f("transaction_id", S), _f("transaction_type", S), _f("updated", L),
 ])
 
-# volume may arrive as a JSON float: read DOUBLE, round, then cast (7079.6 -> 7080).
-# Both spellings of the extended-hours fields are read and coalesced.
-MARKET_CLOSE = T.StructType([
-    _f("status", S), _f("from", D), _f("symbol", S), _f("open", PRICE), _f("high", PRICE),
-    _f("low", PRICE), _f("close", PRICE), _f("volume", T.DoubleType()),
-    _f("afterHours", PRICE), _f("preMarket", PRICE), _f("afterhours", PRICE), _f("premarket", PRICE),
-])
+# The market-close feed is read schemaless (one VARIANT per record) and
+# extracted by JSON path, because its extended-hours fields arrive in two
+# spellings that differ only in case (``afterHours`` / ``afterhours``): a
+# StructType cannot hold both under Spark's case-insensitive column names,
+# while variant paths are case-sensitive.  volume may arrive as a JSON float:
+# read DOUBLE, round, then cast (7079.6 -> 7080).
+MARKET_PATHS = [  # (column, JSON path, type)
+    ("status", "$.status", "string"),
+    ("date_recorded", "$.from", "date"),
+    ("symbol", "$.symbol", "string"),
+    ("open", "$.open", "decimal(20,4)"),
+    ("high", "$.high", "decimal(20,4)"),
+    ("low", "$.low", "decimal(20,4)"),
+    ("close", "$.close", "decimal(20,4)"),
+    ("volume", "$.volume", "double"),
+    ("after_hours_camel", "$.afterHours", "decimal(20,4)"),
+    ("pre_market_camel", "$.preMarket", "decimal(20,4)"),
+    ("after_hours_lower", "$.afterhours", "decimal(20,4)"),
+    ("pre_market_lower", "$.premarket", "decimal(20,4)"),
+]
 
 TICKERS = T.StructType([
     _f("active", B), _f("base_currency_name", S), _f("base_currency_symbol", S),
@@ -48,10 +61,13 @@ TICKERS = T.StructType([
 STATES = T.StructType([_f("state_abbrev", S), _f("state_name", S), _f("state_iso_format", S)])
 
 
-def as_text(schema: T.StructType) -> T.StructType:
-    """The same layout with every leaf as STRING (raw text, for the load-error check)."""
-    def conv(t):
-        if isinstance(t, T.StructType):
-            return T.StructType([T.StructField(f.name, conv(f.dataType), True) for f in t.fields])
-        return T.StringType()
-    return conv(schema)
+def leaf_paths(schema: T.StructType, prefix: str = "$") -> list[tuple[str, str, str]]:
+    """(column, JSON path, type) of every leaf of a nested schema, e.g. ``$.filer_info.id``."""
+    out = []
+    for f in schema.fields:
+        path = f"{prefix}.{f.name}"
+        if isinstance(f.dataType, T.StructType):
+            out.extend(leaf_paths(f.dataType, path))
+        else:
+            out.append((path[2:].replace(".", "__"), path, f.dataType.simpleString()))
+    return out

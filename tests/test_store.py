@@ -1,0 +1,27 @@
+import pytest
+
+from civicledger.sources.store import Catalog, EmptyVersionError, VersionedTable
+
+
+def test_versions_publish_and_rollback(spark, tmpdir_):
+    t = VersionedTable(spark, f"{tmpdir_}/t")
+    assert not t.exists()
+    v1 = t.write(spark.range(3))
+    v2 = t.write(t.read().where("id > 0"))           # computed from the current version
+    assert (v1, v2) == (1, 2) and t.read().count() == 2
+    with pytest.raises(ValueError):
+        t.write(spark.range(10), validate=lambda df: (_ for _ in ()).throw(ValueError("bad")))
+    assert t.current_version() == 2 and t.read().count() == 2   # failed validation: not published
+    assert t.rollback() == 1 and t.read().count() == 3
+    with pytest.raises(EmptyVersionError):
+        t.write(spark.range(0), refuse_empty=True)
+    assert t.read().count() == 3
+    t.write(spark.range(5))
+    dropped = t.vacuum(keep=1)
+    assert t.read().count() == 5 and dropped
+
+
+def test_catalog(spark, tmpdir_):
+    cat = Catalog(spark, tmpdir_)
+    cat.table("x").write(spark.range(2))
+    assert cat.exists("x") and not cat.exists("y") and cat.read("x").count() == 2
