@@ -88,13 +88,26 @@ def load_trades(wh: Warehouse) -> list[int]:
                           partition_by=["report_date"])
 
 
-def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = True) -> int | None:
-    """Truncate-and-load staging from every retained ticker file, then mirror it into the source."""
+# ticker files stay in the landing area this long; staging re-reads all of them
+TICKER_RETENTION_DAYS = 7
+
+
+def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = True,
+                 retention_days: int | None = TICKER_RETENTION_DAYS) -> int | None:
+    """Truncate-and-load staging from every retained ticker file, then mirror it into the source.
+
+    Retention is applied by file modification time (``modifiedAfter``), the
+    way a storage lifecycle rule expires landed files.
+    """
     path = f"{wh.landing}/stock_tickers"
     if not wh._exists(path):
         return None
-    text = schemas.TICKERS
-    raw = landing.read_landed(wh.spark, path, text_schema(text), name_glob=landing.TICKERS_GLOB)
+    modified_after = None
+    if retention_days is not None:
+        cutoff = dt.datetime.fromisoformat(str(as_of)) - dt.timedelta(days=retention_days)
+        modified_after = cutoff.strftime("%Y-%m-%dT%H:%M:%S")
+    raw = landing.read_landed(wh.spark, path, text_schema(schemas.TICKERS),
+                              name_glob=landing.TICKERS_GLOB, modified_after=modified_after)
     staged = landing.extract_tickers(raw, as_of)
     staging = wh.catalog.table("staging_stock_tickers")
     staging.write(staged, refuse_empty=refuse_empty)

@@ -32,8 +32,11 @@ PAGE_FIELDS = ("results", "data")
 SKIP_FILE_RATIO = 0.10
 
 
-def _reader(spark: SparkSession, schema, layout: str, name_glob: str | None, mode: str):
+def _reader(spark: SparkSession, schema, layout: str, name_glob: str | None, mode: str,
+            modified_after: str | None = None):
     r = spark.read.schema(schema).option("mode", mode).option("recursiveFileLookup", "true")
+    if modified_after:
+        r = r.option("modifiedAfter", modified_after)
     if layout == "array":
         r = r.option("multiLine", "true")
     elif layout != "lines":
@@ -44,9 +47,14 @@ def _reader(spark: SparkSession, schema, layout: str, name_glob: str | None, mod
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, name_glob: str | None = None,
-                layout: str = "array", mode: str = "FAILFAST", partitions: int | None = None) -> DataFrame:
-    """Rows of every landed file under ``path`` (one row per array element)."""
-    df = _reader(spark, schema, layout, name_glob, mode).json(path)
+                layout: str = "array", mode: str = "FAILFAST", partitions: int | None = None,
+                modified_after: str | None = None) -> DataFrame:
+    """Rows of every landed file under ``path`` (one row per array element).
+
+    ``modified_after`` ('YYYY-MM-DDTHH:MM:SS') ignores files older than that,
+    which is how a retention window over the landing area is applied.
+    """
+    df = _reader(spark, schema, layout, name_glob, mode, modified_after).json(path)
     return df.repartition(partitions) if partitions else df
 
 
