@@ -59,14 +59,20 @@ def semi_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     """Rows of ``left`` with at least one match in ``right`` on (left_col, right_col) pairs.
 
     Equal to an inner join against DISTINCT right keys that keeps only left
-    columns: left duplicates are kept, right duplicates are harmless, NULL keys
-    never match.  No pre-join DISTINCT is needed.
+    columns: left duplicates are kept, NULL keys never match.
+
+    The right keys are made DISTINCT first on purpose: the partial aggregate
+    collapses repeated keys map-side, so a key holding a third of the right
+    rows (one ticker-day traded all the time) reaches the shuffle as one row
+    per map task.  AQE can split only the left side of a semi join, so the
+    right side has to be de-skewed this way.
     """
+    keys = right.select(*[F.col(rc).alias(f"_k{i}") for i, (_, rc) in enumerate(pairs)]).distinct()
     cond = None
-    for lc, rc in pairs:
-        e = left[lc] == right[rc]
+    for i, (lc, _) in enumerate(pairs):
+        e = left[lc] == keys[f"_k{i}"]
         cond = e if cond is None else cond & e
-    return left.join(right, cond, "left_semi")
+    return left.join(keys, cond, "left_semi")
 
 
 def recent_predicate(date_col: str, as_of, days: int = DEDUP_WINDOW_DAYS) -> Column:
@@ -86,13 +92,34 @@ def duplicate_report(df: DataFrame, date_col: str, as_of, days: int = DEDUP_WIND
 def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_WINDOW_DAYS) -> DataFrame:
     """Collapse full duplicates among recent rows to one copy; older and NULL-dated rows untouched.
 
-    Equals the source system's delete-then-reinsert of duplicate groups, except
-    its ''-equals-NULL text comparison corner (see ``null_blank_equal``).
+    Exactly the source system's delete-then-reinsert:
+
+    1. duplicate groups = recent rows grouped on every column, count > 1;
+    2. delete every row that equals a group when all columns are compared as
+       text with NULL taken as '' (so a NULL-valued row is also removed by a
+       group holding '' in that column);
+    3. insert one copy of each group.
+
+    Without ''/NULL pairs this equals ``dropDuplicates`` on the recent rows.
+    Only recent rows can match (the date is part of the comparison and the
+    groups hold recent, non-NULL dates).  Both steps are aggregates / a
+    keyed anti join on the text key, so hot duplicate groups collapse map-side.
     """
+    cols = df.columns
     recent = recent_predicate(date_col, as_of, days)
-    kept = df.where(recent).dropDuplicates()
-    untouched = df.where(~recent | recent.isNull())
-    return kept.unionByName(untouched)
+    rec = df.where(recent)
+    rest = df.where(~recent | recent.isNull())
+    groups = (rec.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                 .drop("_n"))
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{i}") for i, c in enumerate(cols)]
+    group_keys = groups.select(*text).distinct()
+    keyed_rec = rec.select(*cols, *text)
+    cond = None
+    for i in range(len(cols)):
+        e = keyed_rec[f"_k{i}"] == group_keys[f"_k{i}"]
+        cond = e if cond is None else cond & e
+    survivors = keyed_rec.join(group_keys, cond, "left_anti").select(*cols)
+    return survivors.unionByName(groups).unionByName(rest)
 
 
 def null_blank_equal(a: Column, b: Column) -> Column:

@@ -90,7 +90,7 @@ def mirror_sync(target: DataFrame, staging: DataFrame, key: str, hash_col: str,
 
 def mirror_deleted_keys(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     """Target keys with no staged row (NOT EXISTS); a NULL target key is always listed."""
-    staged = staging.select(F.col(key).alias("_k"))
+    staged = staging.select(F.col(key).alias("_k")).distinct()     # repeated staged keys collapse map-side
     return target.join(staged, target[key] == staged["_k"], "left_anti").select(key)
 
 

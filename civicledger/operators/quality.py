@@ -50,7 +50,7 @@ def check_unique_combo(df: DataFrame, model: str, columns: Sequence[str]) -> Dat
 
 def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL reference has no parent row."""
-    p = parent.select(F.col(parent_col).alias("_p"))
+    p = parent.select(F.col(parent_col).alias("_p")).distinct()
     return (child.where(F.col(child_col).isNotNull())
                  .join(p, child[child_col] == p["_p"], "left_anti"))
 

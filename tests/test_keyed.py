@@ -74,3 +74,12 @@ def test_broadcast_if_bounded(spark):
     assert "broadcast" in plan_text(spark.range(5).join(keyed.broadcast_if_bounded(small, 50), "id"),
                                     "extended").lower()
     assert keyed.broadcast_if_bounded(big, 50) is big
+
+
+def test_collapse_treats_null_as_blank_like_the_source(spark):
+    d = dt.date(2024, 6, 1)
+    df = spark.createDataFrame([("", d, "AAA"), ("", d, "AAA"), (None, d, "AAA"),   # '' group eats NULL row
+                                (None, d, "BBB"), (None, d, "BBB"),                 # NULL group
+                                ("x", d, "CCC")], "status string, date_recorded date, symbol string")
+    out = sorted(map(tuple, keyed.collapse_duplicates(df, "date_recorded", "2024-06-10").collect()), key=str)
+    assert out == sorted([("", d, "AAA"), (None, d, "BBB"), ("x", d, "CCC")], key=str)
