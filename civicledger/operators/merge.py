@@ -104,3 +104,29 @@ def affected_partitions(target: DataFrame, source: DataFrame, keys, partition_co
     return (target.select(partition_col, *keys)
                   .join(source.select(*keys), keys, "left_semi")
                   .select(partition_col).distinct())
+
+
+def upsert_partitions(table, source: DataFrame, keys) -> list:
+    """Keyed merge into a ``PartitionedTable``, rewriting only the touched partitions.
+
+    Touched = partitions of the target that hold a source key (a key may move
+    between partitions) plus the partitions the source rows fall into.  Only
+    those are read (partition pruning) and rewritten.  The list of touched
+    partition values -- a few dates -- is the only thing that reaches the
+    driver.  Returns it.
+    """
+    keys = _names(keys)
+    pcol = table.partition_col
+    target = table.read()
+    touched_df = (affected_partitions(target, source, keys, pcol)
+                  .unionByName(source.select(pcol)).distinct())
+    touched = [r[0] for r in touched_df.collect()]
+    if not touched:
+        return []
+    values = [v for v in touched if v is not None]
+    pick = F.col(pcol).isin(values) if values else F.lit(False)
+    if len(values) < len(touched):
+        pick = pick | F.col(pcol).isNull()
+    part_rows = target.where(pick)
+    table.replace_partitions(upsert(part_rows, source.select(*target.columns), keys), touched)
+    return touched

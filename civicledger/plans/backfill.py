@@ -28,13 +28,17 @@ def backfill_officials(published: DataFrame, src: DataFrame, states: DataFrame,
     return upsert(published, latest, "member_id")
 
 
-def backfill_trades(published: DataFrame, src: DataFrame, start, end) -> DataFrame:
-    """Trades after replaying [start, end]: the last report of a transaction wins."""
+def last_report_per_trade(trades: DataFrame) -> DataFrame:
+    """One row per transaction: the one of its latest report date (later merges replace earlier)."""
     from ..operators.keyed import latest_per_key
-    rows = M.official_trades(report_range(src, start, end))
-    last = latest_per_key(rows, "transaction_id", ["report_date"], ["trade_record_id"],
+    return latest_per_key(trades, "transaction_id", ["report_date"], ["trade_record_id"],
                           nulls_first=False)
-    return upsert(published, last, "transaction_id")
+
+
+def backfill_trades(published: DataFrame, src: DataFrame, start, end) -> DataFrame:
+    """Trades after replaying [start, end]: the last report of a transaction wins."""
+    return upsert(published, last_report_per_trade(M.official_trades(report_range(src, start, end))),
+                  "transaction_id")
 
 
 def backfill_market(published: DataFrame, src_mkt: DataFrame, src: DataFrame, start, end) -> DataFrame:

@@ -30,6 +30,10 @@ OFFICIAL_SCD_COLUMNS = ["member_id", "chamber", "member_name", "party", "state",
 TICKER_SCD_COLUMNS = M.TICKER_COLUMNS + ["watermark_timestamp"]
 
 
+# large published facts, merged partition by partition
+PARTITIONED = {"int_gov_official_trades": "report_date", "int_market": "date_recorded"}
+
+
 def default_run_date(today: dt.date | None = None) -> dt.date:
     """Yesterday, when no run date is supplied."""
     return (today or dt.date.today()) - dt.timedelta(days=1)
@@ -49,7 +53,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.landing = landing_root.rstrip("/")
-        self.catalog = Catalog(spark, self.root)
+        self.catalog = Catalog(spark, self.root, partitioned=PARTITIONED)
 
     # raw, append-only load targets (one partition per micro-batch)
     @property
@@ -185,6 +189,9 @@ def publish(wh: Warehouse, audit: dict[str, DataFrame]) -> dict[str, int]:
         if t.exists():
             source = audit[audit_name]
             merge.assert_unique_keys(source, keys, f"{audit_name} -> {name}")
+            if name in PARTITIONED:
+                versions[name] = merge.upsert_partitions(t, source, keys)
+                continue
             nxt = merge.upsert(t.read(), source, keys)
         else:
             nxt = full_build()
@@ -251,21 +258,28 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     return res
 
 
-def run_backfill(wh: Warehouse, start, end, as_of=None) -> dict[str, int]:
+def run_backfill(wh: Warehouse, start, end, as_of=None) -> dict:
     """Replay report dates [start, end] in one job per model (equal to the day-by-day runs)."""
     src = M.src_trades(wh.trades_source())
+    states = wh.states()
+    window = BF.report_range(src, start, end)
     out = {}
-    cur = {n: wh.catalog.table(n) for n in ("int_gov_officials", "int_gov_official_trades", "int_market")}
-    empty_src = src.limit(0)
-    off_pub = cur["int_gov_officials"].read() if cur["int_gov_officials"].exists() else \
-        M.officials(empty_src, wh.states())
-    out["int_gov_officials"] = cur["int_gov_officials"].write(
-        BF.backfill_officials(off_pub, src, wh.states(), start, end))
-    tr_pub = cur["int_gov_official_trades"].read() if cur["int_gov_official_trades"].exists() else \
-        M.official_trades(empty_src)
-    out["int_gov_official_trades"] = cur["int_gov_official_trades"].write(
-        BF.backfill_trades(tr_pub, src, start, end))
-    mkt = M.src_market(wh.catalog.read("market_close_by_day"))
-    mk_pub = cur["int_market"].read() if cur["int_market"].exists() else M.market(mkt, empty_src)
-    out["int_market"] = cur["int_market"].write(BF.backfill_market(mk_pub, mkt, src, start, end))
+    off = wh.catalog.table("int_gov_officials")
+    latest = M.officials(window, states, order_by=("report_date", "member_updated"))
+    off_pub = off.read() if off.exists() else M.officials(src.limit(0), states)
+    out["int_gov_officials"] = off.write(merge.upsert(off_pub, latest, "member_id"))
+    trades = wh.catalog.table("int_gov_official_trades")
+    last = BF.last_report_per_trade(M.official_trades(window))
+    if trades.exists():
+        out["int_gov_official_trades"] = merge.upsert_partitions(trades, last, "transaction_id")
+    else:
+        trades.write(last)
+        out["int_gov_official_trades"] = "built"
+    mkt = wh.catalog.table("int_market")
+    prices = M.market(M.src_market(wh.catalog.read("market_close_by_day")), window)
+    if mkt.exists():
+        out["int_market"] = merge.upsert_partitions(mkt, prices, ["date_recorded", "ticker"])
+    else:
+        mkt.write(prices)
+        out["int_market"] = "built"
     return out

@@ -82,10 +82,12 @@ def test_daily_runs(spark, warehouse):
     land_day(wh.landing, DAYS[2])
     os.utime(f"{wh.landing}/stock_tickers/{DAYS[2]}_tickers.json.gz", (new, new))
     versions = {n: wh.catalog.table(n).current_version() for n in
-                ("int_gov_official_trades", "int_gov_officials", "fct_government_official_trades")}
+                ("int_gov_officials", "fct_government_official_trades", "dim_scd_gov_officials")}
+    trades_before = _snapshot_state(wh)["int_gov_official_trades"]
     r3 = daily.run_daily(wh, DAYS[2], as_of="2024-06-12 06:00:00")
     assert r3.status == "skipped"
     assert versions == {n: wh.catalog.table(n).current_version() for n in versions}
+    assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before
 
     # an audit failure publishes nothing
     write_array(f"{wh.landing}/government_trades/2024-06-13_government_trades.json.gz",
@@ -94,6 +96,7 @@ def test_daily_runs(spark, warehouse):
         daily.run_daily(wh, "2024-06-13", as_of="2024-06-13 06:00:00")
     assert {f["column_name"] for f in e.value.failures} == {"maximum_value", "median_value"}
     assert versions == {n: wh.catalog.table(n).current_version() for n in versions}
+    assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before
 
 
 def test_backfill_equals_day_by_day(spark, tmp_path_factory):

@@ -25,3 +25,26 @@ def test_catalog(spark, tmpdir_):
     cat = Catalog(spark, tmpdir_)
     cat.table("x").write(spark.range(2))
     assert cat.exists("x") and not cat.exists("y") and cat.read("x").count() == 2
+
+
+def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmpdir_):
+    import datetime as dt
+    import os
+
+    from civicledger.operators.merge import upsert_partitions
+    from civicledger.sources.store import PartitionedTable
+    d1, d2, d3, d4 = (dt.date(2024, 6, i) for i in (1, 2, 3, 4))
+    schema = "transaction_id string, v int, report_date date"
+    t = PartitionedTable(spark, f"{tmpdir_}/trades", "report_date")
+    t.write(spark.createDataFrame([("a", 1, d1), ("b", 2, d2), ("c", 3, d3), ("z", 9, d3)], schema))
+    untouched = f"{t.data_path}/report_date={d1}"
+    before = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
+    # "b" is re-reported on d4 (moves), "c" and "z" are replaced in place, "e" is new
+    src = spark.createDataFrame([("b", 20, d4), ("c", 30, d3), ("z", 90, d3), ("e", 5, d4)], schema)
+    touched = upsert_partitions(t, src, "transaction_id")
+    assert sorted(touched) == [d2, d3, d4]
+    got = sorted(map(tuple, t.read().select("transaction_id", "v", "report_date").collect()))
+    assert got == [("a", 1, d1), ("b", 20, d4), ("c", 30, d3), ("e", 5, d4), ("z", 90, d3)]
+    assert not os.path.exists(f"{t.data_path}/report_date={d2}")          # emptied partition removed
+    after = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
+    assert before == after                                                 # d1 never rewritten
