@@ -117,16 +117,26 @@ def upsert_partitions(table, source: DataFrame, keys) -> list:
     """
     keys = _names(keys)
     pcol = table.partition_col
-    target = table.read()
-    touched_df = (affected_partitions(target, source, keys, pcol)
-                  .unionByName(source.select(pcol)).distinct())
-    touched = [r[0] for r in touched_df.collect()]
-    if not touched:
-        return []
-    values = [v for v in touched if v is not None]
-    pick = F.col(pcol).isin(values) if values else F.lit(False)
-    if len(values) < len(touched):
-        pick = pick | F.col(pcol).isNull()
-    part_rows = target.where(pick)
-    table.replace_partitions(upsert(part_rows, source.select(*target.columns), keys), touched)
+    if pcol in keys:
+        # the partition value is part of the key: a key cannot live anywhere else, so
+        # the touched partitions are the source's own -- the target is neither
+        # scanned nor even listed beyond those partitions
+        touched = [r[0] for r in source.select(pcol).distinct().collect()]
+        if not touched:
+            return []
+        part_rows = table.read_partitions(touched, schema=source.schema)
+    else:
+        # a key may have moved: find its old partition with a scan of (partition, key) only
+        target = table.read()
+        touched_df = (affected_partitions(target, source, keys, pcol)
+                      .unionByName(source.select(pcol)).distinct())
+        touched = [r[0] for r in touched_df.collect()]
+        if not touched:
+            return []
+        values = [v for v in touched if v is not None]
+        pick = F.col(pcol).isin(values) if values else F.lit(False)
+        if len(values) < len(touched):
+            pick = pick | F.col(pcol).isNull()
+        part_rows = target.where(pick)
+    table.replace_partitions(upsert(part_rows, source.select(*part_rows.columns), keys), touched)
     return touched

@@ -254,3 +254,46 @@ def officials_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn(scd2.VALID_TO, F.col("_closed_at")).drop("_closed_at"))
     open_v1 = scd2.initial(officials_v1(spark, sf_dir), "member_id", "member_updated_utc")
     return reduce(DataFrame.unionByName, [hist, open_v1])
+
+
+# ---------------------------------------------------------------------------
+# feeds shaped like the landed JSON (for the end-to-end pipeline benchmark)
+# ---------------------------------------------------------------------------
+def trades_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trades_raw`` nested back into the trades feed layout (filer_info, security)."""
+    r = trades_raw(spark, sf_dir)
+    filer = F.struct(
+        F.from_json("committees", "map<string,array<string>>").alias("committees"),
+        F.col("display_name"), F.col("district"), F.col("headshot"),
+        F.col("member_record_id").alias("id"),
+        F.from_json("leadership_positions", "array<string>").alias("leadership_positions"),
+        F.col("member_id"), F.col("member_name"), F.col("party"), F.col("state"),
+        F.col("member_updated").alias("updated"), F.col("website"))
+    security = F.struct(F.col("security_name").alias("name"), F.col("security_ticker").alias("ticker"),
+                        F.col("security_type").alias("type"))
+    return r.select(
+        "amendment_number", "amount", "chamber", "disclosure_url", filer.alias("filer_info"),
+        F.col("trade_record_id").alias("id"), "notification_date", "ownership", "report_date",
+        "report_id", security.alias("security"), "transaction_date", "transaction_id",
+        "transaction_type", F.col("record_updated").alias("updated"))
+
+
+def market_feed(spark: SparkSession, sf_dir: str, as_of) -> DataFrame:
+    """Prices in the feed layout as a warehouse holds them at ``as_of``.
+
+    Rows older than the dedup window were collapsed by earlier daily runs
+    (each day's prices are deduplicated while recent); rows inside the window
+    keep their exact duplicates for the run to collapse.
+    """
+    raw = market_raw(spark, sf_dir)
+    recent = F.col("date_recorded") >= F.date_sub(F.lit(as_of).cast("date"), X.DEDUP_WINDOW_DAYS)
+    m = raw.where(~recent).dropDuplicates().unionByName(raw.where(recent))
+    return m.select("status", F.col("date_recorded").alias("from"), "symbol", "open", "high", "low",
+                    "close", F.col("stock_volume").cast("double").alias("volume"),
+                    F.col("after_hours").alias("afterHours"), F.col("pre_market").alias("preMarket"))
+
+
+def tickers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tickers_staging(spark, sf_dir)
+    return t.select(*[F.date_format("last_updated_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c)
+                      if c == "last_updated_utc" else F.col(c) for c in TICKER_HASH_COLUMNS])

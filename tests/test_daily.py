@@ -28,7 +28,7 @@ def warehouse(spark, tmp_path_factory):
 def test_daily_runs(spark, warehouse):
     wh = warehouse
     land_day(wh.landing, DAYS[0])
-    r1 = daily.run_daily(wh, DAYS[0], as_of="2024-06-10 06:00:00")
+    r1 = daily.run_daily(wh, DAYS[0], as_of="2024-06-10 06:00:00", materialize_fact=True)
     assert r1.status == "published"
     fact = wh.catalog.read("fct_government_official_trades")
     got = {r.transaction_id: r for r in fact.collect()}
@@ -55,7 +55,7 @@ def test_daily_runs(spark, warehouse):
     os.utime(f"{wh.landing}/stock_tickers/{DAYS[0]}_tickers.json.gz", (old, old))
     new = time.mktime((2024, 6, 11, 0, 0, 0, 0, 0, 0))
     os.utime(f"{wh.landing}/stock_tickers/{DAYS[1]}_tickers.json.gz", (new, new))
-    r2 = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00")
+    r2 = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True)
     assert r2.status == "published"
     fact = wh.catalog.read("fct_government_official_trades")
     assert _rows(fact, "transaction_id") == [("T1",), ("T2",), ("T4",), ("T5",)]
@@ -71,7 +71,7 @@ def test_daily_runs(spark, warehouse):
 
     # re-running a day changes nothing
     before = _snapshot_state(wh)
-    r2b = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00")
+    r2b = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True)
     assert r2b.status == "published" and r2b.steps["trades_batches"] == []
     after = _snapshot_state(wh)
     assert {k: v for k, v in after.items() if k != "stock_tickers"} == \
@@ -84,7 +84,7 @@ def test_daily_runs(spark, warehouse):
     versions = {n: wh.catalog.table(n).current_version() for n in
                 ("int_gov_officials", "fct_government_official_trades", "dim_scd_gov_officials")}
     trades_before = _snapshot_state(wh)["int_gov_official_trades"]
-    r3 = daily.run_daily(wh, DAYS[2], as_of="2024-06-12 06:00:00")
+    r3 = daily.run_daily(wh, DAYS[2], as_of="2024-06-12 06:00:00", materialize_fact=True)
     assert r3.status == "skipped"
     assert versions == {n: wh.catalog.table(n).current_version() for n in versions}
     assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before
@@ -93,7 +93,7 @@ def test_daily_runs(spark, warehouse):
     write_array(f"{wh.landing}/government_trades/2024-06-13_government_trades.json.gz",
                 [trade("T9", OFF_A, "LUMN", "P", "Over $50,000,000", "2024-06-07", "2024-06-13")])
     with pytest.raises(AuditFailed) as e:
-        daily.run_daily(wh, "2024-06-13", as_of="2024-06-13 06:00:00")
+        daily.run_daily(wh, "2024-06-13", as_of="2024-06-13 06:00:00", materialize_fact=True)
     assert {f["column_name"] for f in e.value.failures} == {"maximum_value", "median_value"}
     assert versions == {n: wh.catalog.table(n).current_version() for n in versions}
     assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before

@@ -35,8 +35,10 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmpdir_):
     from civicledger.sources.store import PartitionedTable
     d1, d2, d3, d4 = (dt.date(2024, 6, i) for i in (1, 2, 3, 4))
     schema = "transaction_id string, v int, report_date date"
-    t = PartitionedTable(spark, f"{tmpdir_}/trades", "report_date")
+    t = PartitionedTable(spark, f"{tmpdir_}/trades", "report_date", ["transaction_id"])
+    assert not t.exists()
     t.write(spark.createDataFrame([("a", 1, d1), ("b", 2, d2), ("c", 3, d3), ("z", 9, d3)], schema))
+    assert t.exists()
     untouched = f"{t.data_path}/report_date={d1}"
     before = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
     # "b" is re-reported on d4 (moves), "c" and "z" are replaced in place, "e" is new
