@@ -249,6 +249,29 @@ def snapshot_tickers(wh: Warehouse, run_ts) -> int | None:
     return t.write(nxt)
 
 
+def source_freshness(wh: Warehouse, as_of) -> DataFrame:
+    """Freshness of the three source tables from load metadata, not from a data scan.
+
+    The last load of a streamed source is its checkpoint's latest committed
+    batch; the ticker mirror's is its current version.  Like the source
+    warehouse's check, this reads metadata only, so it costs the same at any
+    table size.
+    """
+    from ..sources.store import _FS
+    fs = _FS(wh.spark, wh.root)
+    marks = {
+        "government_trades": f"{wh.catalog.checkpoint_location('government_trades')}/commits",
+        "market_close_by_day": f"{wh.catalog.checkpoint_location('market_close')}/commits",
+        "stock_tickers": f"{wh.root}/stock_tickers",
+    }
+    tables = {}
+    for name, path in marks.items():
+        ms = fs.latest_mtime(path)
+        ts = None if ms is None else dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).replace(tzinfo=None)
+        tables[name] = (wh.spark.createDataFrame([(ts,)], "loaded_at timestamp_ntz"), "loaded_at")
+    return quality.source_freshness(tables, as_of)
+
+
 def fact(wh: Warehouse) -> DataFrame:
     """The published fact, as a view over the published models (as in the source warehouse).
 

@@ -69,6 +69,16 @@ def test_daily_runs(spark, warehouse):
     assert tick2["LUMN"].name == "Lumen Lamps Intl"
     assert tick2["QRTZ"].watermark_timestamp == tick["QRTZ"].watermark_timestamp   # unchanged row kept
 
+    # the ticker dimension (defined in the source project, not run by its DAG)
+    assert daily.snapshot_tickers(wh, "2024-06-11 06:00:00") is not None
+    scd_t = {(r.ticker, r.dbt_valid_to is None) for r in wh.catalog.read("scd_tickers").collect()}
+    assert scd_t == {("LUMN", True), ("QRTZ", True), ("VRDA", True)}
+    # freshness from load metadata: everything was loaded moments ago
+    import datetime as _dt
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    fresh = {r.table_name: r.status for r in daily.source_freshness(wh, now).collect()}
+    assert fresh == {"government_trades": "pass", "market_close_by_day": "pass", "stock_tickers": "pass"}
+
     # re-running a day changes nothing
     before = _snapshot_state(wh)
     r2b = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True)
