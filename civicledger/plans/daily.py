@@ -106,12 +106,14 @@ def load_trades(wh: Warehouse) -> list[int]:
 TICKER_RETENTION_DAYS = 7
 
 
-def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = True,
+def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = False,
                  retention_days: int | None = TICKER_RETENTION_DAYS) -> int | None:
     """Truncate-and-load staging from every retained ticker file, then mirror it into the source.
 
     Retention is applied by file modification time (``modifiedAfter``), the
-    way a storage lifecycle rule expires landed files.
+    way a storage lifecycle rule expires landed files.  As in the source
+    warehouse, an empty staging empties the mirror; ``refuse_empty=True``
+    refuses to publish an empty staging or mirror instead.
     """
     path = f"{wh.landing}/stock_tickers"
     if not wh._exists(path):

@@ -300,7 +300,17 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries wrapped so their output carries the oracle's plain types."""
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return edge(fn(spark, sf_dir))
+            # the warehouse is defined in UTC: epoch <-> timestamp conversions of
+            # zone-less test timestamps must not depend on the caller's session.
+            # The zone is bound into the plan when it is analysed, so the caller's
+            # setting is restored right after.
+            key = "spark.sql.session.timeZone"
+            previous = spark.conf.get(key)
+            spark.conf.set(key, "UTC")
+            try:
+                return edge(fn(spark, sf_dir))
+            finally:
+                spark.conf.set(key, previous)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run

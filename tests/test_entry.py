@@ -43,3 +43,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert {f.name: coarse_spark(f.dataType.simpleString()) for f in df.schema.fields} == \
         {c: coarse_duck(str(t)) for c, t in zip(rel.columns, rel.types)}
     assert digest(srows, df.columns) == digest(drows, rel.columns)
+
+
+@pytest.mark.parametrize("name", ["src_trades", "epoch_to_ts", "officials_current", "scd2_apply"])
+def test_queries_do_not_depend_on_session_time_zone(spark, duck, name):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        assert spark.conf.get(key) == "America/Los_Angeles"       # caller's setting left as it was
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set(key, before)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert digest(srows, df.columns) == digest(rel.fetchall(), rel.columns)
