@@ -1,0 +1,71 @@
+"""Model-level edge cases (FIXTURES.md section 3) on hand-written rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+from civicledger.plans import models as M
+
+D = dt.date(2024, 6, 3)
+RD = dt.date(2024, 6, 10)
+SRC_SCHEMA = ("amount string, chamber string, committees string, district string, "
+              "member_record_id string, leadership_positions string, member_id string, "
+              "member_name string, party string, state string, member_updated long, "
+              "trade_record_id string, notification_date date, report_date date, report_id string, "
+              "security_name string, transaction_date date, transaction_id string, "
+              "transaction_type string, record_updated long, ownership string, "
+              "security_ticker string, security_type string")
+
+
+def _trade(tid, ticker, member="M1", party="D", state="NE", ttype="P", amount="$1,001 - $15,000",
+           updated=1717200000):
+    return ("" if amount is None else amount, "House", "{}", "1", "r", "[]", member, "Name " + member,
+            party, state, updated, "rec-" + tid, D, RD, "rep", "Sec", D, tid, ttype, 1717200000,
+            None, ticker, None)
+
+
+def test_fact_edges(spark):
+    src = spark.createDataFrame([
+        _trade("T1", "AAA"),                                # has a price
+        _trade("T2", "BBB", member="M2", party="I", state="DC", ttype="S (Partial)"),   # no price
+        _trade("T3", " ", member="M3"),                     # whitespace ticker is kept
+        _trade("T4", None, member="M4"),                    # no ticker: dropped
+    ], SRC_SCHEMA)
+    states = spark.createDataFrame([("NE", "Nebraska", "US-NE")], "state_abbrev string, state_name string, state_iso_format string")
+    px = spark.createDataFrame([
+        (D, "AAA", Decimal("10"), Decimal("11"), Decimal("9"), Decimal("10.5"), 100, None, None),
+        (D, "ZZZ", Decimal("1"), Decimal("1"), Decimal("1"), Decimal("1"), 1, None, None),   # not traded
+    ], "date_recorded date, ticker string, stock_open decimal(20,4), stock_high decimal(20,4), "
+       "stock_low decimal(20,4), stock_close decimal(20,4), stock_volume long, after_hours decimal(20,4), "
+       "pre_market decimal(20,4)")
+    trades = M.official_trades(src)
+    officials = M.officials(src, states)
+    market = M.market(px, src)
+    assert [r.ticker for r in market.collect()] == ["AAA"]          # price with no trade is absent
+    fact = {r.transaction_id: r for r in M.fact_trades(officials, trades, market).collect()}
+    assert set(fact) == {"T1", "T2", "T3"}
+    assert fact["T1"].stock_median == Decimal("10") and fact["T1"].state == "Nebraska"
+    assert fact["T2"].stock_open is None and fact["T2"].stock_volume is None       # trade with no price
+    assert (fact["T2"].party, fact["T2"].state, fact["T2"].state_iso_format) == ("UNKNOWN", "UNKNOWN", "UNKNOWN")
+    assert (fact["T2"].transaction_type, fact["T2"].is_purchase, fact["T2"].is_sale) == ("Partial Sale", 0, 1)
+    assert fact["T3"].security_ticker == " "
+    assert len(M.fact_trades(officials, trades, market).columns) == 27
+
+
+def test_src_trades_blank_rules(spark):
+    raw = spark.createDataFrame([("", "", "", "x")], "ownership string, security_ticker string, security_type string, extra string")
+    cols = [c for c in M.SRC_TRADES_PASSTHROUGH]
+    full = raw
+    from pyspark.sql import functions as F
+    for c in cols:
+        full = full.withColumn(c, F.lit(None).cast("string"))
+    out = M.src_trades(full).first()
+    assert (out.ownership, out.security_ticker, out.security_type) == (None, None, None)
+    assert len(M.src_trades(full).columns) == 23
+
+
+def test_audit_slice_only_run_date(spark):
+    other = list(_trade("T9", "AAA"))
+    other[13] = dt.date(2024, 6, 11)
+    src = spark.createDataFrame([_trade("T1", "AAA"), tuple(other)], SRC_SCHEMA)
+    assert [r.transaction_id for r in M.official_trades(src, "2024-06-10").collect()] == ["T1"]
+    assert M.official_trades(src).count() == 2
