@@ -15,6 +15,11 @@ Mapping (k = o_orderkey, c = customer, p = p_partkey):
 * ``states``       nation with n_nationkey < 20 (five state codes stay unknown)
 * ``tickers_*``    part -> staged tickers and a previous mirror of them
 * ``officials_v*`` customer as two versions of the officials dimension (SCD2)
+
+Every derivation reads its whole source table.  Key arithmetic (``k % 5``,
+``c_custkey % 13``, ...) only assigns rows to the roles a scenario needs --
+amount bucket, blank ticker, a key that is new in a version, changed, or
+gone -- it never thins the data to make a check cheaper.
 """
 
 from __future__ import annotations

@@ -30,7 +30,7 @@ def seed_rows(path: str = DEFAULT_STATES_CSV) -> list[tuple]:
 
 
 def load_seed(spark: SparkSession, table, path: str = DEFAULT_STATES_CSV) -> int:
-    """Load the packaged seed into a versioned table on shared storage (like ``dbt seed``).
+    """Load the packaged seed into a versioned table on shared storage.
 
     Executors then read the seed from the warehouse, never from a path that
     exists only on the driver's disk.
