@@ -12,13 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.keyed import broadcast_if_bounded, latest_per_key, semi_join
+from ..operators.keyed import latest_per_key, semi_join
 from ..operators.quality import ModelTests
 
-# Upper bound of rows for the states lookup to be broadcast (a seed of states
-# and territories is a few dozen rows; the bound is checked, not assumed).
-STATES_BROADCAST_MAX_ROWS = 10_000
-
 # ---------------------------------------------------------------------------
 # Source table layouts
 # ---------------------------------------------------------------------------
@@ -107,9 +103,10 @@ def officials(src: DataFrame, states: DataFrame, run_date=None,
         "member_id", "member_name", "district", "committees", "leadership_positions", "chamber",
         "party", "state", "member_updated", *extra, *OFFICIAL_TIEBREAK)
     latest = latest_per_key(rows, "member_id", list(order_by), OFFICIAL_TIEBREAK)
-    st = broadcast_if_bounded(
-        states.select(F.col("state_abbrev").alias("_abbrev"), "state_name", "state_iso_format"),
-        STATES_BROADCAST_MAX_ROWS)
+    # no broadcast hint: the planner broadcasts the lookup only after checking its
+    # size (file statistics against autoBroadcastJoinThreshold, then AQE on the
+    # measured size) and falls back to a shuffle join beyond the threshold
+    st = states.select(F.col("state_abbrev").alias("_abbrev"), "state_name", "state_iso_format")
     j = latest.join(st, latest["state"] == st["_abbrev"], "left")
     return j.select(
         "member_id",
