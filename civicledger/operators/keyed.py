@@ -102,23 +102,27 @@ def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_W
 
     Without ''/NULL pairs this equals ``dropDuplicates`` on the recent rows.
     Only recent rows can match (the date is part of the comparison and the
-    groups hold recent, non-NULL dates).  Both steps are aggregates / a
-    keyed anti join on the text key, so hot duplicate groups collapse map-side.
+    groups hold recent, non-NULL dates).
+
+    Skew: everything after the first aggregate runs on *distinct* rows with
+    their counts, so a duplicate group holding a third of all rows is one row
+    from the map side on.  A row that survives the delete always had count 1
+    (a repeated row is a group and matches itself), so nothing is re-expanded.
     """
     cols = df.columns
     recent = recent_predicate(date_col, as_of, days)
-    rec = df.where(recent)
     rest = df.where(~recent | recent.isNull())
-    groups = (rec.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-                 .drop("_n"))
+    counted = df.where(recent).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    groups = counted.where(F.col("_n") > 1).drop("_n")
+    singles = counted.where(F.col("_n") == 1).drop("_n")
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{i}") for i, c in enumerate(cols)]
     group_keys = groups.select(*text).distinct()
-    keyed_rec = rec.select(*cols, *text)
+    keyed_singles = singles.select(*cols, *text)
     cond = None
     for i in range(len(cols)):
-        e = keyed_rec[f"_k{i}"] == group_keys[f"_k{i}"]
+        e = keyed_singles[f"_k{i}"] == group_keys[f"_k{i}"]
         cond = e if cond is None else cond & e
-    survivors = keyed_rec.join(group_keys, cond, "left_anti").select(*cols)
+    survivors = keyed_singles.join(group_keys, cond, "left_anti").select(*cols)
     return survivors.unionByName(groups).unionByName(rest)
 
 

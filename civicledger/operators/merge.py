@@ -54,13 +54,21 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """
     keys = _names(keys)
     cols = target.columns
+    has_null = None
+    for k in keys:
+        e = F.col(k).isNull()
+        has_null = e if has_null is None else has_null | e
+    # NULL-key rows can never match: they bypass the join instead of all hashing
+    # into one shuffle partition (a NULL key may be the hot key)
+    null_keyed = target.where(has_null)
+    keyed = target.where(~has_null)
     src_keys = source.select(*keys)
     cond = None
     for k in keys:
-        e = target[k] == src_keys[k]
+        e = keyed[k] == src_keys[k]
         cond = e if cond is None else cond & e
-    kept = target.join(src_keys, cond, "left_anti")
-    return kept.unionByName(source.select(*cols))
+    kept = keyed.join(src_keys, cond, "left_anti")
+    return kept.unionByName(null_keyed).unionByName(source.select(*cols))
 
 
 def mirror_sync(target: DataFrame, staging: DataFrame, key: str, hash_col: str,
@@ -91,7 +99,9 @@ def mirror_sync(target: DataFrame, staging: DataFrame, key: str, hash_col: str,
 def mirror_deleted_keys(target: DataFrame, staging: DataFrame, key: str) -> DataFrame:
     """Target keys with no staged row (NOT EXISTS); a NULL target key is always listed."""
     staged = staging.select(F.col(key).alias("_k")).distinct()     # repeated staged keys collapse map-side
-    return target.join(staged, target[key] == staged["_k"], "left_anti").select(key)
+    keyed = target.where(F.col(key).isNotNull())
+    gone = keyed.join(staged, keyed[key] == staged["_k"], "left_anti").select(key)
+    return gone.unionByName(target.where(F.col(key).isNull()).select(key))   # NULL keys bypass the join
 
 
 def affected_partitions(target: DataFrame, source: DataFrame, keys, partition_col: str) -> DataFrame:

@@ -223,6 +223,11 @@ def dq_report(spark, d):
     return quality.run_tests(_audit_frames(spark, d), M.AUDIT_TESTS)
 
 
+def check_fact(spark, d):
+    """The fact's declared tests (19 not_null, unique transaction_id) over the whole fact."""
+    return quality.run_tests({"fct_government_official_trades": fact_trades(spark, d)}, M.FACT_TESTS)
+
+
 def source_freshness(spark, d):
     return quality.source_freshness({
         "events": (P.table(spark, d, "events"), "ts"),
@@ -288,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_unique_combo": check_unique_combo,
     "check_relationships": check_relationships,
     "dq_report": dq_report,
+    "check_fact": check_fact,
     "source_freshness": source_freshness,
     "json_path_extract": json_path_extract,
     "epoch_to_ts": epoch_to_ts,

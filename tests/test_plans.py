@@ -19,7 +19,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_python_in_registered_queries(spark, name):
     plan = plan_text(E.queries()[name](spark, SF), "extended")
-    for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+    for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                   "CartesianProduct", "BroadcastNestedLoopJoin", "Window ["):
         assert marker not in plan, f"{name}: {marker}"
 
 
