@@ -342,8 +342,18 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     return res
 
 
-def run_backfill(wh: Warehouse, start, end, as_of=None) -> dict:
-    """Replay report dates [start, end] in one job per model (equal to the day-by-day runs)."""
+def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None = None) -> dict:
+    """Replay report dates [start, end] in one job per model (equal to the day-by-day runs).
+
+    Like the replay script it stands in for, only a range that ends before
+    today is accepted (today's reports may still be arriving).
+    """
+    today = today or dt.date.today()
+    start_d, end_d = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    if start_d > end_d:
+        raise ValueError(f"backfill start {start_d} is after its end {end_d}")
+    if end_d >= today:
+        raise ValueError(f"backfill must end before today ({today}), not on {end_d}")
     src = M.src_trades(wh.trades_source())
     states = wh.states()
     window = BF.report_range(src, start, end)

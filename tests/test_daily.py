@@ -125,3 +125,13 @@ def test_backfill_equals_day_by_day(spark, tmp_path_factory):
         a = sorted(map(tuple, day_by_day.catalog.read(name).collect()), key=str)
         b = sorted(map(tuple, one_job.catalog.read(name).collect()), key=str)
         assert a == b, name
+
+
+def test_backfill_refuses_ranges_reaching_today(spark, tmp_path_factory):
+    import datetime as dt
+    base = tmp_path_factory.mktemp("bf2")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
+    with pytest.raises(ValueError):
+        daily.run_backfill(wh, "2024-06-10", "2024-06-12", today=dt.date(2024, 6, 12))
+    with pytest.raises(ValueError):
+        daily.run_backfill(wh, "2024-06-12", "2024-06-10", today=dt.date(2024, 7, 1))
