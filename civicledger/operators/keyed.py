@@ -50,11 +50,6 @@ def latest_per_key(df: DataFrame, keys, order_by: Sequence[str], tiebreak: Seque
               .select(*df.columns))
 
 
-def distinct_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """DISTINCT over a column subset (hash aggregate, partial map-side)."""
-    return df.select(*cols).distinct()
-
-
 def semi_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows of ``left`` with at least one match in ``right`` on (left_col, right_col) pairs.
 
@@ -126,11 +121,6 @@ def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_W
     return survivors.unionByName(groups).unionByName(rest)
 
 
-def null_blank_equal(a: Column, b: Column) -> Column:
-    """The source system's delete-match rule: compare as text with NULL == ''."""
-    return (F.coalesce(a.cast("string"), F.lit("")) == F.coalesce(b.cast("string"), F.lit("")))
-
-
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 

@@ -359,9 +359,8 @@ def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None =
     window = BF.report_range(src, start, end)
     out = {}
     off = wh.catalog.table("int_gov_officials")
-    latest = M.officials(window, states, order_by=("report_date", "member_updated"))
     off_pub = off.read() if off.exists() else M.officials(src.limit(0), states)
-    out["int_gov_officials"] = off.write(merge.upsert(off_pub, latest, "member_id"))
+    out["int_gov_officials"] = off.write(BF.backfill_officials(off_pub, src, states, start, end))
     trades = wh.catalog.table("int_gov_official_trades")
     last = BF.last_report_per_trade(M.official_trades(window))
     if trades.exists():
