@@ -1,4 +1,4 @@
-from civicledger.sources import landing, schemas
+from civicledger.sources import landing
 from civicledger.streaming.incremental import load_new_files, read_loaded
 from fixtures import price, write_array
 
