@@ -18,3 +18,21 @@ def test_exactly_once_file_loading(spark, tmpdir_):
     assert len(b3) == 1
     assert read_loaded(spark, table, b3).count() == 2                            # only the new file
     assert read_loaded(spark, table).count() == 5
+
+
+def test_replayed_batch_is_not_duplicated(spark, tmpdir_):
+    """A crash after a batch's write but before its commit replays the same batch id."""
+    import os
+    land, table, ck = f"{tmpdir_}/landing", f"{tmpdir_}/table", f"{tmpdir_}/_checkpoints/market"
+    write_array(f"{land}/d1_market_close.json.gz", [price("AAA", "2024-06-10", 1, 2, 1, 2, 10)] * 4)
+    kw = dict(name_glob=landing.MARKET_GLOB,
+              transform=lambda files: landing.extract_market(landing.records_of(files)))
+    first = load_new_files(spark, land, None, table, ck, **kw)
+    assert read_loaded(spark, table).count() == 4
+    # simulate the crash: the output exists but the batch was never marked committed
+    for name in (f"{first[-1]}", f".{first[-1]}.crc"):     # the entry and its local checksum
+        if os.path.exists(f"{ck}/commits/{name}"):
+            os.remove(f"{ck}/commits/{name}")
+    again = load_new_files(spark, land, None, table, ck, **kw)
+    assert again == first                                   # same batch id replayed
+    assert read_loaded(spark, table).count() == 4           # its partition was replaced, not appended
