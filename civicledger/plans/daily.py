@@ -99,7 +99,7 @@ def load_trades(wh: Warehouse) -> list[int]:
                           wh.trades_path, wh.catalog.checkpoint_location("government_trades"),
                           name_glob=landing.TRADES_GLOB if wh.globs else None,
                           transform=landing.extract_trades, partition_by=["report_date"],
-                          layout=wh.layout)
+                          layout=wh.layout, spread=True, cluster_by=["transaction_id"])
 
 
 # ticker files stay in the landing area this long; staging re-reads all of them
@@ -160,7 +160,7 @@ def load_and_dedup_market(wh: Warehouse, as_of) -> list | None:
                                  name_glob=landing.MARKET_GLOB if wh.globs else None,
                                  transform=lambda files: landing.extract_market(
                                      landing.records_of(files, layout)),
-                                 layout=layout)
+                                 layout=layout, spread=True)
     if not batches:
         return None
     t = wh.catalog.table("market_close_by_day")

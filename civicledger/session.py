@@ -54,3 +54,25 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if target:
         sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(total_cores: int, largest_shuffle_bytes: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster, sized from the cores and the largest shuffle.
+
+    The initial shuffle width gives every shuffle partition about
+    ``target_partition_bytes`` of the largest stage (so it fits in executor
+    memory without spilling much) and at least 3 partitions per core; AQE
+    then coalesces small stages down and splits skewed partitions.  Scans
+    read 256 MB splits.
+    """
+    by_size = -(-largest_shuffle_bytes // target_partition_bytes)
+    partitions = max(3 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

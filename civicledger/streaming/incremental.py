@@ -28,11 +28,18 @@ def load_new_files(spark: SparkSession, landing_path: str, schema: T.StructType
                    checkpoint_location: str, name_glob: str | None = None,
                    transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                    partition_by: Sequence[str] = (), layout: str = "array",
-                   max_files_per_trigger: int | None = None) -> list[int]:
+                   max_files_per_trigger: int | None = None,
+                   spread: bool = False, cluster_by: Sequence[str] = ()) -> list[int]:
     """Append every not-yet-loaded landed file to ``table_path``; return the batch ids written.
 
     ``schema=None`` reads schemaless: each file (array layout) or line arrives
     as one VARIANT in column ``v`` for ``transform`` to explode and extract.
+
+    A gzip or multi-line JSON file is read by one task, so one file holding a
+    third of a feed is one big task.  ``spread=True`` redistributes each batch
+    after the extract so the write runs on many tasks: range-partitioned on
+    (partition columns, ``cluster_by``) for a partitioned table, so each date
+    lands in a few files, and round-robin otherwise.
     """
     reader = spark.readStream.option("mode", "FAILFAST").option("recursiveFileLookup", "true")
     if schema is None:
@@ -50,6 +57,10 @@ def load_new_files(spark: SparkSession, landing_path: str, schema: T.StructType
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+        if spread and partition_by:
+            out = out.repartitionByRange(*[F.col(c) for c in (*partition_by, *cluster_by)])
+        elif spread:
+            out = out.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by, BATCH_COL).parquet(table_path))
         written.append(batch_id)

@@ -50,3 +50,10 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmpdir_):
     assert not os.path.exists(f"{t.data_path}/report_date={d2}")          # emptied partition removed
     after = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
     assert before == after                                                 # d1 never rewritten
+
+
+def test_cluster_conf_sizes_shuffles():
+    from civicledger.session import cluster_conf
+    conf = cluster_conf(total_cores=8000, largest_shuffle_bytes=100 * 1024 ** 4)   # 100 TB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600                       # 256 MB each
+    assert int(cluster_conf(8000, 1024 ** 3)["spark.sql.shuffle.partitions"]) == 24000  # >= 3 per core

@@ -6,7 +6,7 @@ from fixtures import price, write_array
 def test_exactly_once_file_loading(spark, tmpdir_):
     land, table, ck = f"{tmpdir_}/landing", f"{tmpdir_}/table", f"{tmpdir_}/_checkpoints/market"
     write_array(f"{land}/d1_market_close.json.gz", [price("AAA", "2024-06-10", 1, 2, 1, 2, 10)] * 3)
-    kw = dict(name_glob=landing.MARKET_GLOB,
+    kw = dict(name_glob=landing.MARKET_GLOB, spread=True,
               transform=lambda files: landing.extract_market(landing.records_of(files)))
     b1 = load_new_files(spark, land, None, table, ck, **kw)
     assert len(b1) == 1 and read_loaded(spark, table).count() == 3
