@@ -3,11 +3,13 @@
     load (exactly once) -> availability gate -> ticker mirror -> price dedup
       -> audit slices -> tests -> publish (merge) -> tests -> SCD2 snapshot -> fact
 
-Every step writes a new version of its table (``sources.store``), so lineage
-is cut at each step, a failed step leaves readers on the previous version,
-and re-running a day is idempotent: the loads add nothing, the merges
-replace rows with themselves.  Only small reports (one row per check) and
-the list of batch ids come back to the driver.
+Every step writes its result to shared storage before the next reads it,
+so lineage is cut at each step.  Small tables (officials, tickers, audit
+slices, SCD2 dimensions) are replaced as whole versions that publish
+atomically; the large facts (trades, prices) replace only the date
+partitions a run touches.  Re-running a day is idempotent: the loads add
+nothing and the merges replace rows with themselves.  Only small reports
+(one row per check), batch ids and lists of touched dates reach the driver.
 """
 
 from __future__ import annotations
@@ -80,6 +82,13 @@ class Warehouse:
     def trades_source(self) -> DataFrame:
         return self.spark.read.parquet(self.trades_path).drop(BATCH_COL)
 
+    def prices(self, dates=None) -> DataFrame:
+        """The price source (all of it, or only ``dates``); empty before the first load."""
+        t = self.catalog.table("market_close_by_day")
+        if dates is not None:
+            return t.read_partitions(dates, schema=schemas.MARKET_SOURCE)
+        return t.read() if t.exists() else self.spark.createDataFrame([], schemas.MARKET_SOURCE)
+
     def states(self) -> DataFrame:
         t = self.catalog.table("states")
         if not t.exists():
@@ -95,6 +104,8 @@ def _empty(spark: SparkSession, like: DataFrame) -> DataFrame:
 # steps
 # ---------------------------------------------------------------------------
 def load_trades(wh: Warehouse) -> list[int]:
+    if not wh._exists(f"{wh.landing}/government_trades"):
+        return []
     return load_new_files(wh.spark, f"{wh.landing}/government_trades", schemas.GOVERNMENT_TRADES,
                           wh.trades_path, wh.catalog.checkpoint_location("government_trades"),
                           name_glob=landing.TRADES_GLOB if wh.globs else None,
@@ -183,8 +194,7 @@ def build_audit(wh: Warehouse, run_date) -> dict[str, DataFrame]:
     # date partitions (a few) instead of listing the whole price history
     trade_dates = [r[0] for r in M.report_slice(src, run_date).select("transaction_date")
                    .distinct().collect()]
-    prices = wh.catalog.table("market_close_by_day")
-    mkt = M.src_market(prices.read_partitions(trade_dates))
+    mkt = M.src_market(wh.prices(trade_dates))
     frames = {
         "int_gov_official_trades_audit": M.official_trades(src, run_date),
         "int_gov_officials_audit": M.officials(src, wh.states(), run_date),
@@ -206,8 +216,7 @@ def publish(wh: Warehouse, audit: dict[str, DataFrame]) -> dict[str, int]:
         ("int_gov_officials", "int_gov_officials_audit", ["member_id"],
          lambda: M.officials(M.src_trades(wh.trades_source()), wh.states())),
         ("int_market", "int_market_audit", ["date_recorded", "ticker"],
-         lambda: M.market(M.src_market(wh.catalog.read("market_close_by_day")),
-                          M.src_trades(wh.trades_source()))),
+         lambda: M.market(M.src_market(wh.prices()), M.src_trades(wh.trades_source()))),
     ]
     versions = {}
     for name, audit_name, keys, full_build in specs:
@@ -369,7 +378,7 @@ def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None =
         trades.write(last)
         out["int_gov_official_trades"] = "built"
     mkt = wh.catalog.table("int_market")
-    prices = M.market(M.src_market(wh.catalog.read("market_close_by_day")), window)
+    prices = M.market(M.src_market(wh.prices()), window)
     if mkt.exists():
         out["int_market"] = merge.upsert_partitions(mkt, prices, ["date_recorded", "ticker"])
     else:

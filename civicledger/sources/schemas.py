@@ -52,6 +52,13 @@ MARKET_PATHS = [  # (column, JSON path, type)
     ("pre_market_lower", "$.premarket", "decimal(20,4)"),
 ]
 
+# the source table the price feed is loaded into (market_close_by_day)
+MARKET_SOURCE = T.StructType([
+    _f("status", S), _f("date_recorded", D), _f("symbol", S), _f("open", PRICE), _f("high", PRICE),
+    _f("low", PRICE), _f("close", PRICE), _f("stock_volume", L), _f("after_hours", PRICE),
+    _f("pre_market", PRICE),
+])
+
 TICKERS = T.StructType([
     _f("active", B), _f("base_currency_name", S), _f("base_currency_symbol", S),
     _f("currency_name", S), _f("currency_symbol", S), _f("last_updated_utc", T.TimestampType()),

@@ -135,3 +135,15 @@ def test_backfill_refuses_ranges_reaching_today(spark, tmp_path_factory):
         daily.run_backfill(wh, "2024-06-10", "2024-06-12", today=dt.date(2024, 6, 12))
     with pytest.raises(ValueError):
         daily.run_backfill(wh, "2024-06-12", "2024-06-10", today=dt.date(2024, 7, 1))
+
+
+def test_run_without_price_or_ticker_feeds(spark, tmp_path_factory):
+    """Only trades landed: prices are simply missing (NULL stock_* in the fact)."""
+    base = tmp_path_factory.mktemp("noprice")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
+    write_array(f"{wh.landing}/government_trades/{DAYS[0]}_government_trades.json.gz",
+                [trade("T1", OFF_A, "LUMN", "P", "$1,001 - $15,000", "2024-06-03", DAYS[0])])
+    r = daily.run_daily(wh, DAYS[0], as_of=f"{DAYS[0]} 06:00:00")
+    assert r.status == "published"
+    rows = daily.fact(wh).collect()
+    assert len(rows) == 1 and rows[0].stock_close is None and rows[0].member_name == "Ada Quill"
