@@ -147,3 +147,16 @@ def test_run_without_price_or_ticker_feeds(spark, tmp_path_factory):
     assert r.status == "published"
     rows = daily.fact(wh).collect()
     assert len(rows) == 1 and rows[0].stock_close is None and rows[0].member_name == "Ada Quill"
+
+
+def test_command_line(spark, tmp_path_factory, capsys):
+    from civicledger.plans import cli
+    base = tmp_path_factory.mktemp("cli")
+    land_day(f"{base}/l", DAYS[0])
+    common = ["--root", f"{base}/w", "--landing", f"{base}/l", "--as-of", f"{DAYS[0]} 06:00:00"]
+    out = cli.run(["daily", "--run-date", DAYS[0], *common], spark=spark)
+    assert out["status"] == "published" and "publish" in out["seconds"]
+    fresh = cli.run(["freshness", "--root", f"{base}/w", "--landing", f"{base}/l"], spark=spark)
+    assert {t["table_name"] for t in fresh["tables"]} == {"government_trades", "market_close_by_day", "stock_tickers"}
+    skipped = cli.run(["daily", "--run-date", "2024-06-30", *common], spark=spark)
+    assert skipped["status"] == "skipped"
