@@ -36,3 +36,15 @@ def test_replayed_batch_is_not_duplicated(spark, tmpdir_):
     again = load_new_files(spark, land, None, table, ck, **kw)
     assert again == first                                   # same batch id replayed
     assert read_loaded(spark, table).count() == 4           # its partition was replaced, not appended
+
+
+def test_rewritten_file_under_same_name_is_not_reloaded(spark, tmpdir_):
+    """Pinned behaviour: changed content must land under a new file name."""
+    land, table, ck = f"{tmpdir_}/landing", f"{tmpdir_}/table", f"{tmpdir_}/_checkpoints/market"
+    kw = dict(name_glob=landing.MARKET_GLOB,
+              transform=lambda files: landing.extract_market(landing.records_of(files)))
+    write_array(f"{land}/d1_market_close.json.gz", [price("AAA", "2024-06-10", 1, 2, 1, 2, 10)])
+    load_new_files(spark, land, None, table, ck, **kw)
+    write_array(f"{land}/d1_market_close.json.gz", [price("AAA", "2024-06-10", 1, 2, 1, 2, 10)] * 5)
+    assert load_new_files(spark, land, None, table, ck, **kw) == []
+    assert read_loaded(spark, table).count() == 1
