@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..operators import keyed, merge, quality, scd2
 from ..sources import landing, schemas, seeds
-from ..sources.store import Catalog
+from ..sources.store import Catalog, PartitionedTable
 from ..streaming.incremental import BATCH_COL, load_new_files
 from . import backfill as BF
 from . import models as M
@@ -33,10 +33,15 @@ OFFICIAL_SCD_COLUMNS = ["member_id", "chamber", "member_name", "party", "state",
 TICKER_SCD_COLUMNS = M.TICKER_COLUMNS + ["watermark_timestamp"]
 
 
-# large published facts, merged partition by partition
+# SCD2 dimensions: open rows in the NULL partition, rows closed by a run in that run's day
+CLOSED_IN_RUN = "dbt_closed_in_run"
+
+# large tables changed partition by partition
 PARTITIONED = {"int_gov_official_trades": ("report_date", ["transaction_id"]),
                "int_market": ("date_recorded", ["ticker"]),
-               "market_close_by_day": ("date_recorded", ["symbol"])}
+               "market_close_by_day": ("date_recorded", ["symbol"]),
+               "dim_scd_gov_officials": (CLOSED_IN_RUN, ["member_id"]),
+               "scd_tickers": (CLOSED_IN_RUN, ["ticker"])}
 
 
 def default_run_date(today: dt.date | None = None) -> dt.date:
@@ -238,26 +243,58 @@ def publish(wh: Warehouse, audit: dict[str, DataFrame]) -> dict[str, int]:
     return versions
 
 
-def snapshot_officials(wh: Warehouse, run_ts) -> int:
+def _snapshot(wh: Warehouse, name: str, src: DataFrame, key: str, updated_at: str, run_ts) -> list:
+    """Advance an SCD2 dimension by one run, touching only open rows and today's closings.
+
+    Layout: open rows live in the partition ``dbt_closed_in_run = NULL``; rows a
+    run closes go to the partition of that run's day and are never rewritten
+    by later runs.  A run reads the open partition (plus today's, if the day
+    is re-run), applies the change, and replaces those two partitions -- its
+    cost follows the current dimension, not the history.  Re-running a day
+    keeps the rows it closed the first time.
+    """
+    t = dimension_table(wh, name, key)
+    if not t.exists():
+        t.write(scd2.initial(src, key, updated_at)
+                .withColumn(CLOSED_IN_RUN, F.lit(None).cast("date")))
+        return [None]
+    run_day = dt.date.fromisoformat(str(run_ts)[:10])
+    touched = [None, run_day]
+    current = t.read_partitions(touched)
+    open_rows = current.where(F.col(CLOSED_IN_RUN).isNull()).drop(CLOSED_IN_RUN)
+    closed_today = current.where(F.col(CLOSED_IN_RUN).isNotNull()).drop(CLOSED_IN_RUN)
+    step = scd2.apply(open_rows, src, key, updated_at, run_ts)
+    still_open = step.where(F.col(scd2.VALID_TO).isNull())
+    closed = closed_today.unionByName(step.where(F.col(scd2.VALID_TO).isNotNull()))
+    nxt = (still_open.withColumn(CLOSED_IN_RUN, F.lit(None).cast("date"))
+           .unionByName(closed.withColumn(CLOSED_IN_RUN, F.lit(run_day))))
+    t.replace_partitions(nxt, touched)
+    return touched
+
+
+def snapshot_officials(wh: Warehouse, run_ts) -> list:
     src = wh.catalog.read("int_gov_officials").select(*OFFICIAL_SCD_COLUMNS)
-    t = wh.catalog.table("dim_scd_gov_officials")
-    if t.exists():
-        nxt = scd2.apply(t.read(), src, "member_id", "member_updated_utc", run_ts)
-    else:
-        nxt = scd2.initial(src, "member_id", "member_updated_utc")
-    return t.write(nxt)
+    return _snapshot(wh, "dim_scd_gov_officials", src, "member_id", "member_updated_utc", run_ts)
 
 
-def snapshot_tickers(wh: Warehouse, run_ts) -> int | None:
+def snapshot_tickers(wh: Warehouse, run_ts) -> list | None:
     if not wh.catalog.exists("stock_tickers"):
         return None
     src = M.src_tickers(wh.catalog.read("stock_tickers")).select(*TICKER_SCD_COLUMNS)
-    t = wh.catalog.table("scd_tickers")
-    if t.exists():
-        nxt = scd2.apply(t.read(), src, "ticker", "last_updated_utc", run_ts)
-    else:
-        nxt = scd2.initial(src, "ticker", "last_updated_utc")
-    return t.write(nxt)
+    return _snapshot(wh, "scd_tickers", src, "ticker", "last_updated_utc", run_ts)
+
+
+def dimension_table(wh: Warehouse, name: str, key: str | None = None) -> PartitionedTable:
+    """The storage of an SCD2 dimension (the two known ones, or any other name)."""
+    t = wh.catalog.table(name)
+    if isinstance(t, PartitionedTable):
+        return t
+    return PartitionedTable(wh.spark, f"{wh.root}/{name}", CLOSED_IN_RUN, [key] if key else [])
+
+
+def dimension(wh: Warehouse, name: str) -> DataFrame:
+    """An SCD2 dimension with its published columns (the storage partition column dropped)."""
+    return dimension_table(wh, name).read().drop(CLOSED_IN_RUN)
 
 
 def source_freshness(wh: Warehouse, as_of) -> DataFrame:

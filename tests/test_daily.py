@@ -61,7 +61,7 @@ def test_daily_runs(spark, warehouse):
     assert _rows(fact, "transaction_id") == [("T1",), ("T2",), ("T4",), ("T5",)]
     off = {r.member_id: r for r in wh.catalog.read("int_gov_officials").collect()}
     assert off["M001"].member_name == "Ada Quill-Sterne" and off["M003"].state == "Connecticut"
-    dim = wh.catalog.read("dim_scd_gov_officials").where("member_id = 'M001'").orderBy("dbt_valid_from")
+    dim = daily.dimension(wh, "dim_scd_gov_officials").where("member_id = 'M001'").orderBy("dbt_valid_from")
     assert [(r.member_name, r.dbt_valid_to is None) for r in dim.collect()] == \
         [("Ada Quill", False), ("Ada Quill-Sterne", True)]
     tick2 = {r.ticker: r for r in wh.catalog.read("stock_tickers").collect()}
@@ -71,7 +71,7 @@ def test_daily_runs(spark, warehouse):
 
     # the ticker dimension (defined in the source project, not run by its DAG)
     assert daily.snapshot_tickers(wh, "2024-06-11 06:00:00") is not None
-    scd_t = {(r.ticker, r.dbt_valid_to is None) for r in wh.catalog.read("scd_tickers").collect()}
+    scd_t = {(r.ticker, r.dbt_valid_to is None) for r in daily.dimension(wh, "scd_tickers").collect()}
     assert scd_t == {("LUMN", True), ("QRTZ", True), ("VRDA", True)}
     # freshness from load metadata: everything was loaded moments ago
     import datetime as _dt
@@ -92,12 +92,14 @@ def test_daily_runs(spark, warehouse):
     land_day(wh.landing, DAYS[2])
     os.utime(f"{wh.landing}/stock_tickers/{DAYS[2]}_tickers.json.gz", (new, new))
     versions = {n: wh.catalog.table(n).current_version() for n in
-                ("int_gov_officials", "fct_government_official_trades", "dim_scd_gov_officials")}
+                ("int_gov_officials", "fct_government_official_trades")}
     trades_before = _snapshot_state(wh)["int_gov_official_trades"]
+    dim_before = _snapshot_state(wh)["dim_scd_gov_officials"]
     r3 = daily.run_daily(wh, DAYS[2], as_of="2024-06-12 06:00:00", materialize_fact=True)
     assert r3.status == "skipped"
     assert versions == {n: wh.catalog.table(n).current_version() for n in versions}
     assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before
+    assert _snapshot_state(wh)["dim_scd_gov_officials"] == dim_before
 
     # an audit failure publishes nothing
     write_array(f"{wh.landing}/government_trades/2024-06-13_government_trades.json.gz",
