@@ -111,6 +111,17 @@ def test_daily_runs(spark, warehouse):
     assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before
 
 
+def test_fact_view_prunes_price_partitions(spark, warehouse):
+    """A date filter on the fact view reaches the price fact's partitions through the join."""
+    from pyspark.sql import functions as F
+
+    from planutil import plan_text
+    q = daily.fact(warehouse).where(F.col("transaction_date") == F.lit("2024-06-03").cast("date"))
+    plan = plan_text(q)
+    assert "PartitionFilters: [(date_recorded" in plan and "= 2024-06-03)" in plan
+    assert [r.transaction_id for r in q.collect()] == ["T1"]
+
+
 def test_backfill_equals_day_by_day(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("bf")
     day_by_day = daily.Warehouse(spark, f"{base}/a", f"{base}/land_a")
