@@ -61,6 +61,20 @@ def check_relationships(child: DataFrame, parent: DataFrame, model: str, child_c
     return _report(failures, model, "relationships", child_col)
 
 
+def check_unique_against(table: DataFrame, new_rows: DataFrame, model: str, column: str) -> DataFrame:
+    """``unique`` for a table that passed before and just received ``new_rows``.
+
+    Only a value carried by a new row can now repeat, so the table is read
+    for those values alone (a semi join on one column) instead of grouping
+    the whole table.  Same verdict as ``check_unique`` on the merged table
+    whenever the table was unique before the merge.
+    """
+    values = new_rows.where(F.col(column).isNotNull()).select(column).distinct()
+    dups = (table.join(values, column, "left_semi").groupBy(column).count()
+                 .where(F.col("count") > 1))
+    return _report(dups.agg(F.count(F.lit(1)).alias("failures")), model, "unique", column)
+
+
 @dataclass
 class ModelTests:
     """Declared tests of one model (the yml of the source project, as data)."""

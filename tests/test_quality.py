@@ -40,3 +40,12 @@ def test_source_freshness(spark):
         "empty": (t(None), "loaded"),
     }, "2024-01-31 12:00:00").collect()}
     assert out == {"fresh": "pass", "warn": "warn", "stale": "error", "empty": "error"}
+
+
+def test_unique_against_new_rows_equals_full_check(spark):
+    table = spark.createDataFrame([("r1",), ("r2",), ("r3",), ("r3",), (None,), (None,)], "rid string")
+    new = spark.createDataFrame([("r3",), ("r9",), (None,)], "rid string")
+    assert Q.check_unique_against(table, new, "m", "rid").first().failures == 1
+    assert Q.check_unique(table, "m", "rid").first().failures == 1
+    ok = spark.createDataFrame([("r2",)], "rid string")
+    assert Q.check_unique_against(table.where("rid != 'r3' or rid is null"), ok, "m", "rid").first().failures == 0
