@@ -138,13 +138,13 @@ def _dec(c: Column) -> Column:
     return c.cast("decimal(20,4)")
 
 
-def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    d = F.to_date("l_shipdate")
-    sym = F.col("l_partkey") % 50
+def _prices(day_symbol: DataFrame) -> DataFrame:
+    """Price rows from (d, sym) pairs: every price is a function of the pair alone."""
+    d = F.col("d")
+    sym = F.col("sym")
     base = _dec(_dec(sym * 10 + F.dayofyear(d) % 37) + F.lit(0.25).cast("decimal(3,2)"))
     close = _dec(base + F.lit(0.5).cast("decimal(3,2)"))
-    return li.select(
+    return day_symbol.select(
         F.lit("OK").alias("status"),
         d.alias("date_recorded"),
         _tk(sym).alias("symbol"),
@@ -159,8 +159,20 @@ def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _day_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.to_date("l_shipdate").alias("d"), (F.col("l_partkey") % 50).alias("sym"))
+
+
+def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One price row per lineitem: (date, symbol) pairs repeat, so exact duplicates arise."""
+    return _prices(_day_symbol(spark, sf_dir))
+
+
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market_raw(spark, sf_dir).dropDuplicates()
+    """``market_raw`` without duplicates.  As prices depend on (date, symbol) only,
+    DISTINCT on that narrow pair gives the same rows as DISTINCT on all ten columns."""
+    return _prices(_day_symbol(spark, sf_dir).distinct())
 
 
 # ---------------------------------------------------------------------------
