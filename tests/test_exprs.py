@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-
 from civicledger.functions import exprs as X
 
 
