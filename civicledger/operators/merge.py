@@ -1,9 +1,11 @@
 """Table-maintenance merges as pure ``(target, source) -> next target`` functions.
 
 Spark's Parquet tables have no MERGE/DELETE, so each merge computes the next
-version of the table as a DataFrame; ``sources.store`` writes it to a new
-version and flips the pointer (readers keep the old version until then).
-With a lakehouse table format the same functions could feed a MERGE.
+state of the table as a DataFrame; ``sources.store`` publishes it as a new
+version (readers keep the old one until it is published), or, for a large
+date-partitioned table, replaces only the touched partitions
+(``upsert_partitions``).  With a lakehouse table format the same functions
+could feed a MERGE.
 
 All merges are keyed joins: both sides are shuffled on the key once; no
 side is broadcast unless AQE measures it small at runtime.
