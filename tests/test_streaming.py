@@ -48,3 +48,17 @@ def test_rewritten_file_under_same_name_is_not_reloaded(spark, tmpdir_):
     write_array(f"{land}/d1_market_close.json.gz", [price("AAA", "2024-06-10", 1, 2, 1, 2, 10)] * 5)
     assert load_new_files(spark, land, None, table, ck, **kw) == []
     assert read_loaded(spark, table).count() == 1
+
+
+def test_bad_value_aborts_the_load(spark, tmpdir_):
+    """The active policy: a value that does not cast aborts the load; nothing is committed."""
+    import pytest
+    land, table, ck = f"{tmpdir_}/landing", f"{tmpdir_}/table", f"{tmpdir_}/_checkpoints/market"
+    kw = dict(name_glob=landing.MARKET_GLOB,
+              transform=lambda files: landing.extract_market(landing.records_of(files)))
+    write_array(f"{land}/d1_market_close.json.gz",
+                [price("AAA", "2024-06-10", 1, 2, 1, 2, 10), dict(price("BBB", "2024-06-10", 1, 2, 1, 2, 10), open="x")])
+    with pytest.raises(Exception):
+        load_new_files(spark, land, None, table, ck, **kw)
+    import os
+    assert not os.path.exists(f"{ck}/commits/0")
