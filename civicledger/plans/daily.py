@@ -259,17 +259,19 @@ def _snapshot(wh: Warehouse, name: str, src: DataFrame, key: str, updated_at: st
                 .withColumn(CLOSED_IN_RUN, F.lit(None).cast("date")))
         return [None]
     run_day = dt.date.fromisoformat(str(run_ts)[:10])
-    touched = [None, run_day]
-    current = t.read_partitions(touched)
-    open_rows = current.where(F.col(CLOSED_IN_RUN).isNull()).drop(CLOSED_IN_RUN)
-    closed_today = current.where(F.col(CLOSED_IN_RUN).isNotNull()).drop(CLOSED_IN_RUN)
+    open_rows = t.read_partitions([None]).drop(CLOSED_IN_RUN)
+    closed_today = t.read_partitions([run_day]).drop(CLOSED_IN_RUN)
     step = scd2.apply(open_rows, src, key, updated_at, run_ts)
     still_open = step.where(F.col(scd2.VALID_TO).isNull())
-    closed = closed_today.unionByName(step.where(F.col(scd2.VALID_TO).isNotNull()))
-    nxt = (still_open.withColumn(CLOSED_IN_RUN, F.lit(None).cast("date"))
-           .unionByName(closed.withColumn(CLOSED_IN_RUN, F.lit(run_day))))
-    t.replace_partitions(nxt, touched)
-    return touched
+    # (1) today's closings first, merged with any from an earlier attempt today
+    #     (a closed version is identified by its id and close time) ...
+    closed = (closed_today.unionByName(step.where(F.col(scd2.VALID_TO).isNotNull()))
+              .dropDuplicates([scd2.SCD_ID, scd2.VALID_TO]))
+    t.replace_partitions(closed.withColumn(CLOSED_IN_RUN, F.lit(run_day)), [run_day])
+    # (2) ... then the open rows.  If (2) fails, a re-run closes the same rows
+    #     again and (1) absorbs them, so the dimension converges.
+    t.replace_partitions(still_open.withColumn(CLOSED_IN_RUN, F.lit(None).cast("date")), [None])
+    return [run_day, None]
 
 
 def snapshot_officials(wh: Warehouse, run_ts) -> list:
