@@ -84,7 +84,8 @@ def duplicate_report(df: DataFrame, date_col: str, as_of, days: int = DEDUP_WIND
               .where(F.col(count_col) > 1))
 
 
-def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_WINDOW_DAYS) -> DataFrame:
+def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_WINDOW_DAYS,
+                        ignore: Sequence[str] = ()) -> DataFrame:
     """Collapse full duplicates among recent rows to one copy; older and NULL-dated rows untouched.
 
     Exactly the source system's delete-then-reinsert:
@@ -103,22 +104,26 @@ def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_W
     their counts, so a duplicate group holding a third of all rows is one row
     from the map side on.  A row that survives the delete always had count 1
     (a repeated row is a group and matches itself), so nothing is re-expanded.
+
+    ``ignore`` names bookkeeping columns (e.g. the load batch) left out of the
+    comparison; a collapsed group keeps their greatest value.
     """
-    cols = df.columns
+    cols = [c for c in df.columns if c not in ignore]
     recent = recent_predicate(date_col, as_of, days)
     rest = df.where(~recent | recent.isNull())
-    counted = df.where(recent).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    counted = (df.where(recent).groupBy(*cols)
+                 .agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in ignore]))
     groups = counted.where(F.col("_n") > 1).drop("_n")
     singles = counted.where(F.col("_n") == 1).drop("_n")
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{i}") for i, c in enumerate(cols)]
     group_keys = groups.select(*text).distinct()
-    keyed_singles = singles.select(*cols, *text)
+    keyed_singles = singles.select(*cols, *ignore, *text)
     cond = None
     for i in range(len(cols)):
         e = keyed_singles[f"_k{i}"] == group_keys[f"_k{i}"]
         cond = e if cond is None else cond & e
-    survivors = keyed_singles.join(group_keys, cond, "left_anti").select(*cols)
-    return survivors.unionByName(groups).unionByName(rest)
+    survivors = keyed_singles.join(group_keys, cond, "left_anti").select(*cols, *ignore)
+    return survivors.unionByName(groups).unionByName(rest).select(*df.columns)
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import keyed, merge, quality, scd2
 from ..sources import landing, schemas, seeds
@@ -88,11 +89,16 @@ class Warehouse:
         return self.spark.read.parquet(self.trades_path).drop(BATCH_COL)
 
     def prices(self, dates=None) -> DataFrame:
-        """The price source (all of it, or only ``dates``); empty before the first load."""
+        """The price source (all of it, or only ``dates``); empty before the first load.
+
+        Rows carry the load batch that brought them (``_batch``, bookkeeping
+        for recovery); the models select their columns by name.
+        """
         t = self.catalog.table("market_close_by_day")
+        schema = T.StructType(schemas.MARKET_SOURCE.fields + [T.StructField(BATCH_COL, T.LongType())])
         if dates is not None:
-            return t.read_partitions(dates, schema=schemas.MARKET_SOURCE)
-        return t.read() if t.exists() else self.spark.createDataFrame([], schemas.MARKET_SOURCE)
+            return t.read_partitions(dates, schema=schema)
+        return t.read() if t.exists() else self.spark.createDataFrame([], schema)
 
     def states(self) -> DataFrame:
         t = self.catalog.table("states")
@@ -159,6 +165,18 @@ def text_schema(schema):
                                        else f.dataType, True) for f in schema.fields])
 
 
+MERGED_THROUGH = "_MERGED_THROUGH"
+
+
+def _loaded_batches(wh: Warehouse) -> list[int]:
+    """Batch ids present in the raw price loads (from partition names, no data read)."""
+    from ..sources.store import _FS
+    fs = _FS(wh.spark, wh.market_loads_path)
+    prefix = f"{BATCH_COL}="
+    return sorted(int(n[len(prefix):]) for n in fs.list_dirs(wh.market_loads_path)
+                  if n.startswith(prefix))
+
+
 def load_and_dedup_market(wh: Warehouse, as_of) -> list | None:
     """Append new price files, then collapse recent exact duplicates; return the dates rewritten.
 
@@ -166,30 +184,43 @@ def load_and_dedup_market(wh: Warehouse, as_of) -> list | None:
     earlier run already collapsed the dates it touched, so no other recent
     date can hold a duplicate.  This equals re-scanning the whole 70-day
     window each day, at the cost of the new data only.
+
+    Recovery: the table remembers the last load batch merged into it
+    (``_MERGED_THROUGH``), and every price row carries the batch that loaded
+    it.  A run merges all loaded batches after the marker -- so prices loaded
+    by a run that died before this step are merged by the next one -- and a
+    re-merged batch first drops its own rows from the touched dates, so a
+    half-finished merge converges.
     """
+    from ..sources.store import _FS
     path = f"{wh.landing}/market_close"
-    batches: list[int] = []
     if wh._exists(path):
         layout = wh.layout
-        batches = load_new_files(wh.spark, path, None, wh.market_loads_path,
-                                 wh.catalog.checkpoint_location("market_close"),
-                                 name_glob=landing.MARKET_GLOB if wh.globs else None,
-                                 transform=lambda files: landing.extract_market(
-                                     landing.records_of(files, layout)),
-                                 layout=layout, spread=True)
+        load_new_files(wh.spark, path, None, wh.market_loads_path,
+                       wh.catalog.checkpoint_location("market_close"),
+                       name_glob=landing.MARKET_GLOB if wh.globs else None,
+                       transform=lambda files: landing.extract_market(landing.records_of(files, layout)),
+                       layout=layout, spread=True)
+    t = wh.catalog.table("market_close_by_day")
+    fs = _FS(wh.spark, t.root)
+    marker = f"{t.root}/{MERGED_THROUGH}"
+    done = int(fs.read_text(marker)) if fs.exists(marker) else -1
+    batches = [b for b in (_loaded_batches(wh) if wh._exists(wh.market_loads_path) else []) if b > done]
     if not batches:
         return None
-    t = wh.catalog.table("market_close_by_day")
-    new_rows = (wh.spark.read.parquet(wh.market_loads_path)
-                .where(F.col(BATCH_COL).isin(batches)).drop(BATCH_COL))
+    new_rows = wh.spark.read.parquet(wh.market_loads_path).where(F.col(BATCH_COL).isin(batches))
     as_of_date = F.lit(as_of).cast("date") if as_of is not None else F.current_date()
     if not t.exists():
-        t.write(keyed.collapse_duplicates(new_rows, "date_recorded", as_of_date))
-        return ["all"]
-    touched = [r[0] for r in new_rows.select("date_recorded").distinct().collect()]
-    current = t.read_partitions(touched, schema=new_rows.schema)
-    merged = current.unionByName(new_rows.select(*current.columns))
-    t.replace_partitions(keyed.collapse_duplicates(merged, "date_recorded", as_of_date), touched)
+        t.write(keyed.collapse_duplicates(new_rows, "date_recorded", as_of_date, ignore=[BATCH_COL]))
+        touched = ["all"]
+    else:
+        touched = [r[0] for r in new_rows.select("date_recorded").distinct().collect()]
+        current = (t.read_partitions(touched, schema=new_rows.schema)
+                   .where(~F.col(BATCH_COL).isin(batches)))
+        merged = current.unionByName(new_rows.select(*current.columns))
+        t.replace_partitions(keyed.collapse_duplicates(merged, "date_recorded", as_of_date,
+                                                       ignore=[BATCH_COL]), touched)
+    fs.write_text(marker, str(max(batches)))
     return touched
 
 

@@ -177,3 +177,32 @@ def test_command_line(spark, tmp_path_factory, capsys):
     assert {t["table_name"] for t in fresh["tables"]} == {"government_trades", "market_close_by_day", "stock_tickers"}
     skipped = cli.run(["daily", "--run-date", "2024-06-30", *common], spark=spark)
     assert skipped["status"] == "skipped"
+
+
+def test_price_merge_recovers(spark, tmp_path_factory):
+    """Prices loaded by a run that died before the merge are merged by the next run;
+    a merge re-run after losing its marker changes nothing."""
+    import os
+    base = tmp_path_factory.mktemp("recover")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
+    land_day(wh.landing, DAYS[0])
+    daily.load_and_dedup_market(wh, "2024-06-10 06:00:00")
+    first = sorted(map(tuple, wh.catalog.read("market_close_by_day").collect()), key=str)
+    land_day(wh.landing, DAYS[1])
+    # the day-2 run dies right after loading its price file
+    from civicledger.sources import landing as L
+    from civicledger.streaming.incremental import load_new_files
+    load_new_files(spark, f"{wh.landing}/market_close", None, wh.market_loads_path,
+                   wh.catalog.checkpoint_location("market_close"), name_glob=L.MARKET_GLOB,
+                   transform=lambda f: L.extract_market(L.records_of(f)))
+    touched = daily.load_and_dedup_market(wh, "2024-06-11 06:00:00")      # next run: no new files
+    assert touched and sorted(map(str, touched)) == ["2024-06-05"]
+    merged = sorted(map(tuple, wh.catalog.read("market_close_by_day").collect()), key=str)
+    assert len(merged) == len(first) + 2
+    # the merge died before writing its marker: the re-run re-merges the same batch
+    root = wh.catalog.table("market_close_by_day").root
+    with open(f"{root}/{daily.MERGED_THROUGH}", "w") as f:
+        f.write("0")
+    os.remove(f"{root}/.{daily.MERGED_THROUGH}.crc") if os.path.exists(f"{root}/.{daily.MERGED_THROUGH}.crc") else None
+    daily.load_and_dedup_market(wh, "2024-06-11 06:00:00")
+    assert sorted(map(tuple, wh.catalog.read("market_close_by_day").collect()), key=str) == merged
