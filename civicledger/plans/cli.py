@@ -37,6 +37,7 @@ def parse(argv):
             p.add_argument("--materialize-fact", action="store_true")
             p.add_argument("--snapshot-tickers", action="store_true")
             p.add_argument("--severity", choices=("error", "warn"), default="error")
+            p.add_argument("--post-tests", choices=("incremental", "full"), default="incremental")
         if name == "backfill":
             p.add_argument("--start", required=True)
             p.add_argument("--end", required=True)
@@ -52,7 +53,8 @@ def run(argv, spark=None) -> dict:
     if args.command == "daily":
         res = daily.run_daily(wh, args.run_date, as_of=args.as_of,
                               materialize_fact=args.materialize_fact,
-                              snapshot_ticker_dim=args.snapshot_tickers, severity=args.severity)
+                              snapshot_ticker_dim=args.snapshot_tickers, severity=args.severity,
+                              post_tests=args.post_tests)
         return {"command": "daily", "run_date": res.run_date, "status": res.status,
                 "seconds": res.steps.get("seconds", {})}
     if args.command == "backfill":
