@@ -404,9 +404,24 @@ def post_publish_report(wh: Warehouse, audit: dict[str, DataFrame], mode: str =
     return reduce(DataFrame.unionByName, parts)
 
 
+VERSIONED_TABLES = ("staging_stock_tickers", "stock_tickers", "int_gov_official_trades_audit",
+                    "int_gov_officials_audit", "int_market_audit", "int_gov_officials",
+                    "fct_government_official_trades")
+
+
+def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
+    """Drop all but the newest ``keep`` versions of the versioned tables (never the current one)."""
+    out = {}
+    for name in VERSIONED_TABLES:
+        t = wh.catalog.table(name)
+        if t.exists():
+            out[name] = t.vacuum(keep)
+    return out
+
+
 def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool = False,
               snapshot_ticker_dim: bool = False, severity: str = "error",
-              post_tests: str = "incremental") -> RunResult:
+              post_tests: str = "incremental", keep_versions: int | None = 7) -> RunResult:
     run_date = str(run_date or default_run_date())
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     res = RunResult(run_date, "published")
@@ -446,6 +461,9 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
         res.steps["fct_government_official_trades"] = wh.catalog.table(
             "fct_government_official_trades").write(fact(wh))
         lap("fact")
+    if keep_versions:
+        res.steps["vacuumed"] = vacuum(wh, keep_versions)
+        lap("vacuum")
     return res
 
 

@@ -79,6 +79,10 @@ def test_daily_runs(spark, warehouse):
     fresh = {r.table_name: r.status for r in daily.source_freshness(wh, now).collect()}
     assert fresh == {"government_trades": "pass", "market_close_by_day": "pass", "stock_tickers": "pass"}
 
+    # old versions are vacuumed down to the retention; the current one stays
+    assert daily.vacuum(wh, keep=1)["int_gov_officials"] == [1]
+    assert wh.catalog.table("int_gov_officials").versions() == [2]
+
     # the whole-table post-publish tests agree with the incremental ones the run used
     assert [r["failures"] for r in r2.steps["published_report"]] == [0] * 6
     assert [r.failures for r in daily.post_publish_report(wh, {}, "full").collect()] == [0] * 6
