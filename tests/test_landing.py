@@ -92,3 +92,17 @@ def test_error_policy_skips_bad_file(spark, tmpdir_):
     assert rep["d"][1] is True and rep["e"] == (1, True)
     assert sorted({r.symbol for r in rows.collect()}) == ["AAA", "BBB", "CCC"]
     assert rows.count() == 20 + 9 + 19
+
+
+def test_pages_data_field_and_array_landing(spark, tmpdir_):
+    p = f"{tmpdir_}/tpages/page0_government_trades.json.gz"
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with gzip.open(p, "wt") as f:
+        json.dump({"data": [{"ticker": "X"}, {"ticker": "Y"}]}, f)
+    got = landing.read_pages(spark, f"{tmpdir_}/tpages", schemas.TICKERS, "data")
+    assert sorted(r.ticker for r in got.collect()) == ["X", "Y"]
+    df = spark.createDataFrame([("A", 1), ("B", 2)], "t string, v int")
+    landing.write_landing(df, f"{tmpdir_}/arr", "2024-06-10", layout="array")
+    back = spark.read.json(f"{tmpdir_}/arr")
+    assert back.count() == 2
+    assert len([n for n in os.listdir(f"{tmpdir_}/arr/ds=2024-06-10") if n.endswith(".json.gz")]) == 1
