@@ -190,6 +190,17 @@ def scd2_current(spark, d):
     return scd2.current(_scd_next(spark, d))
 
 
+def scd2_tickers(spark, d):
+    """Ticker dimension: the previous mirror as the snapshot, advanced by the synced mirror."""
+    cols = M.TICKER_COLUMNS + ["watermark_timestamp"]
+    target = P.tickers_target(spark, d)
+    synced = merge.mirror_sync(target, P.tickers_staging(spark, d), "ticker", "row_hash",
+                               "last_updated_utc", tiebreak=["row_hash"])
+    snapshot = scd2.initial(M.src_tickers(target).select(*cols), "ticker", "last_updated_utc")
+    return scd2.apply(snapshot, M.src_tickers(synced).select(*cols), "ticker", "last_updated_utc",
+                      P.SCD_RUN_TS)
+
+
 TRADES_AUDIT = "int_gov_official_trades_audit"
 
 
@@ -288,6 +299,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_apply": scd2_apply,
     "scd2_hard_deletes": scd2_hard_deletes,
     "scd2_current": scd2_current,
+    "scd2_tickers": scd2_tickers,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_unique_combo": check_unique_combo,
