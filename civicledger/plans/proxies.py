@@ -276,14 +276,23 @@ def officials_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # feeds shaped like the landed JSON (for the end-to-end pipeline benchmark)
 # ---------------------------------------------------------------------------
-def trades_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``trades_raw`` nested back into the trades feed layout (filer_info, security)."""
+def trades_feed(spark: SparkSession, sf_dir: str, json_objects: bool = True) -> DataFrame:
+    """``trades_raw`` nested back into the trades feed layout (filer_info, security).
+
+    ``json_objects`` turns the two schemaless fields into a map / array (so a
+    JSON writer emits objects); otherwise they stay the JSON text a reader
+    with the declared schema would give.
+    """
     r = trades_raw(spark, sf_dir)
+    committees = (F.from_json("committees", "map<string,array<string>>") if json_objects
+                  else F.col("committees"))
+    positions = (F.from_json("leadership_positions", "array<string>") if json_objects
+                 else F.col("leadership_positions"))
     filer = F.struct(
-        F.from_json("committees", "map<string,array<string>>").alias("committees"),
+        committees.alias("committees"),
         F.col("display_name"), F.col("district"), F.col("headshot"),
         F.col("member_record_id").alias("id"),
-        F.from_json("leadership_positions", "array<string>").alias("leadership_positions"),
+        positions.alias("leadership_positions"),
         F.col("member_id"), F.col("member_name"), F.col("party"), F.col("state"),
         F.col("member_updated").alias("updated"), F.col("website"))
     security = F.struct(F.col("security_name").alias("name"), F.col("security_ticker").alias("ticker"),

@@ -71,6 +71,12 @@ def src_trades(spark, d):
     return _src(spark, d)
 
 
+def trades_extract(spark, d):
+    """The feed's nested records (filer_info.*, security.*) flattened to the 28-column table."""
+    from ..sources.landing import extract_trades
+    return extract_trades(P.trades_feed(spark, d, json_objects=False))
+
+
 def src_market(spark, d):
     return _src_mkt(spark, d, raw=True)
 
@@ -275,6 +281,7 @@ def load_error_ratio(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_trades": src_trades,
+    "trades_extract": trades_extract,
     "src_market": src_market,
     "src_tickers": src_tickers,
     "trades_normalised": trades_normalised,
