@@ -71,6 +71,21 @@ def src_trades(spark, d):
     return _src(spark, d)
 
 
+def market_extract(spark, d):
+    """Price records as landed JSON (half with the lower-case extended-hours spelling),
+    parsed to VARIANT and extracted by path into ``market_close_by_day``."""
+    from ..sources.landing import extract_market
+    m = P.market_raw(spark, d)
+    record = F.to_json(F.struct(
+        "status", F.col("date_recorded").alias("from"), "symbol", "open", "high", "low", "close",
+        F.col("stock_volume").cast("double").alias("volume"),
+        F.col("after_hours").alias("afterHours"), F.col("pre_market").alias("preMarket")))
+    lower = F.replace(F.replace(record, F.lit('"afterHours"'), F.lit('"afterhours"')),
+                      F.lit('"preMarket"'), F.lit('"premarket"'))
+    text = F.when(F.col("stock_volume") % 2 == 0, record).otherwise(lower)
+    return extract_market(m.select(F.parse_json(text).alias("r")))
+
+
 def trades_extract(spark, d):
     """The feed's nested records (filer_info.*, security.*) flattened to the 28-column table."""
     from ..sources.landing import extract_trades
@@ -282,6 +297,7 @@ def load_error_ratio(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_trades": src_trades,
     "trades_extract": trades_extract,
+    "market_extract": market_extract,
     "src_market": src_market,
     "src_tickers": src_tickers,
     "trades_normalised": trades_normalised,
