@@ -86,14 +86,47 @@ class ModelTests:
     relationships: Sequence[tuple[str, str, str]] = field(default_factory=tuple)  # (col, parent model, parent col)
 
 
+def check_not_null_and_unique(df: DataFrame, model: str, columns: Sequence[str], key: str) -> DataFrame:
+    """``not_null`` on ``columns`` and ``unique`` on ``key`` in ONE pass over ``df``.
+
+    One group-by on the key carries per-group NULL counts; a global aggregate
+    then sums them and counts the repeated keys.  The model is read (or
+    computed) once instead of twice, and the partial aggregate still
+    collapses a hot key map-side.
+    """
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(columns)])
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(f"_null{i}"), F.lit(0)).cast("bigint").alias(c) for i, c in enumerate(columns)],
+        F.count_if((F.col("_rows") > 1) & F.col(key).isNotNull()).cast("bigint").alias("_unique"))
+    # one unpivot of the single totals row (a union of two selects would
+    # compute the model twice)
+    tidy = totals.unpivot([], list(columns) + ["_unique"], "_col", "failures")
+    is_unique = F.col("_col") == F.lit("_unique")
+    return tidy.select(
+        F.lit(model).alias("model"),
+        F.when(is_unique, F.lit("unique")).otherwise(F.lit("not_null")).alias("test_name"),
+        F.when(is_unique, F.lit(key)).otherwise(F.col("_col")).alias("column_name"),
+        F.col("failures").cast("bigint").alias("failures"))
+
+
 def run_tests(frames: dict[str, DataFrame], specs: Sequence[ModelTests]) -> DataFrame:
-    """All declared checks of all models as one tidy report DataFrame."""
+    """All declared checks of all models as one tidy report DataFrame.
+
+    A model's not_null checks ride along with its first unique check (one
+    pass); further unique columns, combinations and relationships each add
+    one aggregate or anti join.
+    """
     parts: list[DataFrame] = []
     for spec in specs:
         df = frames[spec.model]
-        if spec.not_null:
+        unique = list(spec.unique)
+        if spec.not_null and unique:
+            parts.append(check_not_null_and_unique(df, spec.model, spec.not_null, unique.pop(0)))
+        elif spec.not_null:
             parts.append(check_not_null(df, spec.model, spec.not_null))
-        parts.extend(check_unique(df, spec.model, c) for c in spec.unique)
+        parts.extend(check_unique(df, spec.model, c) for c in unique)
         parts.extend(check_unique_combo(df, spec.model, list(cs)) for cs in spec.unique_combos)
         parts.extend(check_relationships(df, frames[pm], spec.model, c, pc)
                      for c, pm, pc in spec.relationships)

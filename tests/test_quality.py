@@ -49,3 +49,17 @@ def test_unique_against_new_rows_equals_full_check(spark):
     assert Q.check_unique(table, "m", "rid").first().failures == 1
     ok = spark.createDataFrame([("r2",)], "rid string")
     assert Q.check_unique_against(table.where("rid != 'r3' or rid is null"), ok, "m", "rid").first().failures == 0
+
+
+def test_fused_not_null_and_unique_equals_separate_checks(spark):
+    df = spark.createDataFrame([("t1", None, 1), ("t1", "x", None), ("t2", "y", 3), (None, None, 4),
+                                (None, "z", 5)], "k string, a string, b int")
+    fused = {(r.test_name, r.column_name): r.failures
+             for r in Q.check_not_null_and_unique(df, "m", ["k", "a", "b"], "k").collect()}
+    separate = {(r.test_name, r.column_name): r.failures
+                for r in Q.check_not_null(df, "m", ["k", "a", "b"]).unionByName(
+                    Q.check_unique(df, "m", "k")).collect()}
+    assert fused == separate == {("not_null", "k"): 2, ("not_null", "a"): 2, ("not_null", "b"): 1,
+                                 ("unique", "k"): 1}
+    empty = Q.check_not_null_and_unique(df.limit(0), "m", ["a"], "k").collect()
+    assert sorted(r.failures for r in empty) == [0, 0]
