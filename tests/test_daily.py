@@ -210,3 +210,17 @@ def test_price_merge_recovers(spark, tmp_path_factory):
     os.remove(f"{root}/.{daily.MERGED_THROUGH}.crc") if os.path.exists(f"{root}/.{daily.MERGED_THROUGH}.crc") else None
     daily.load_and_dedup_market(wh, "2024-06-11 06:00:00")
     assert sorted(map(tuple, wh.catalog.read("market_close_by_day").collect()), key=str) == merged
+
+
+def test_command_line_exit_code_on_audit_failure(spark, tmp_path_factory, capsys):
+    import json as _json
+
+    from civicledger.plans import cli
+    base = tmp_path_factory.mktemp("cli_fail")
+    write_array(f"{base}/l/government_trades/2024-06-13_government_trades.json.gz",
+                [trade("T9", OFF_A, "LUMN", "P", "Over $50,000,000", "2024-06-07", "2024-06-13")])
+    code = cli.main(["daily", "--run-date", "2024-06-13", "--root", f"{base}/w", "--landing", f"{base}/l",
+                     "--as-of", "2024-06-13 06:00:00"])
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 2 and out["status"] == "audit_failed"
+    assert {f["column_name"] for f in out["failures"]} == {"maximum_value", "median_value"}
