@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, tokens
+from . import packing, tokens, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,24 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, docs, tokenizer_path(WORD_TOKENIZER), capacity=4096, end_id=1)
 
 
+def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, read_table(spark, sf_dir, "pages"))
+
+
+#: Written independently of the operator: sizes, digests and roles straight from the table.
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id IS NULL OR f.first_id = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache starts empty at every call, so the figures hold the whole encoding."""
     docs = read_table(spark, sf_dir, "documents")
@@ -28,5 +46,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op9_token_counts)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_warc_normaliser, op9_token_counts)}
+SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL}
