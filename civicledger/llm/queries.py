@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, tokens, warc
+from . import packing, pii, tokens, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, docs, tokenizer_path(WORD_TOKENIZER), capacity=4096, end_id=1)
 
 
+#: A deployment passes its own secret.
+PII_KEY = "civicledger-example-key"
+
+
+def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs.withColumn("n_found", pii.values_found(F.col("text")).cast("long")), PII_KEY)
+
+
 def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, read_table(spark, sf_dir, "pages"))
 
@@ -46,5 +55,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_warc_normaliser, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_feistel_pseudonyms, op5_warc_normaliser, op9_token_counts)}
 SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL}
