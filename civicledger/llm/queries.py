@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, tokens, warc
+from . import language, packing, pii, quality, tokens, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,24 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, docs, tokenizer_path(WORD_TOKENIZER), capacity=4096, end_id=1)
 
 
+def remainder(spark_id, by: int):
+    """crc32 of the id's text modulo ``by``; null for a null id."""
+    return F.crc32(spark_id.cast("string").cast("binary")) % by
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
+    """Learned from ``labels.quality`` outside the held-out fold."""
+    labels = read_table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
+    return quality.fit(spark, docs, labels, "quality")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(spark, docs, quality_model(spark, sf_dir, docs))
+    return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 #: A deployment passes its own secret.
 PII_KEY = "civicledger-example-key"
 
@@ -48,6 +66,18 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def language_model(spark: SparkSession, docs: DataFrame):
+    """Learned from text and lang outside the held-out fold."""
+    return language.fit(spark, docs.where(remainder(F.col("doc_id"), 4) != 2))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(spark, docs.select("doc_id", "text"), language_model(spark, docs))
+    return found.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache starts empty at every call, so the figures hold the whole encoding."""
     docs = read_table(spark, sf_dir, "documents")
@@ -55,5 +85,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_feistel_pseudonyms, op5_warc_normaliser, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op9_token_counts,
+    op10_language_id)}
 SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL}
