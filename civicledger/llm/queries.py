@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, pii, quality, tokens, warc
+from . import jaccard_join, language, packing, pii, quality, tokens, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -66,6 +66,11 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return jaccard_join.jaccard_components(spark, docs, words=5, percent=75).select("doc_id", "n_shingles", "component_id")
+
+
 def language_model(spark: SparkSession, docs: DataFrame):
     """Learned from text and lang outside the held-out fold."""
     return language.fit(spark, docs.where(remainder(F.col("doc_id"), 4) != 2))
@@ -86,6 +91,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op9_token_counts,
+    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op9_token_counts,
     op10_language_id)}
 SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL}
