@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language, packing, pii, quality, tokens, warc
+from . import bitsliced, jaccard_join, language, packing, pii, quality, tokens, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +71,27 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(spark, docs, words=5, percent=75).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_bitsliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return bitsliced.top_k(spark, vectors, F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.c, c.c), lambda p: p[1] * p[2])) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.c) = len(q.c)
+), r AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20
+"""
+
+
 def language_model(spark: SparkSession, docs: DataFrame):
     """Learned from text and lang outside the held-out fold."""
     return language.fit(spark, docs.where(remainder(F.col("doc_id"), 4) != 2))
@@ -91,6 +112,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op9_token_counts,
-    op10_language_id)}
-SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL}
+    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op8_bitsliced_top_k,
+    op9_token_counts, op10_language_id)}
+SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL, "op8_bitsliced_top_k": OP8_SQL}
