@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, jaccard_join, language, packing, pii, quality, tokens, warc
+from . import bitsliced, jaccard_join, language, neardup_graph, packing, pii, quality, tokens, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +71,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(spark, docs, words=5, percent=75).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_neardup_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return neardup_graph.near_duplicates(spark, vectors, least=0.93)
+
+
 def op8_bitsliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return bitsliced.top_k(spark, vectors, F.col("vec_id") % 20 == 0, k=20, scale=64)
@@ -112,6 +117,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op8_bitsliced_top_k,
+    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op7_neardup_graph, op8_bitsliced_top_k,
     op9_token_counts, op10_language_id)}
 SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL, "op8_bitsliced_top_k": OP8_SQL}
