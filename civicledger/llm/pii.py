@@ -41,6 +41,11 @@ FIRST_DAY, DAYS = "1900-01-01", 73049          # 1900-01-01 to 2099-12-31
 SIDE = 271                                      # 271 * 271 >= DAYS
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _shift(key: str, kind: str, rnd: Column, half: Column, i: Column) -> Column:
     """Sixteen keyed pseudo-random bits for the symbol ``i`` of a round."""
     text = F.concat_ws("|", F.lit(key), F.lit(kind), rnd.cast("string"), i.cast("string"),
@@ -50,18 +55,20 @@ def _shift(key: str, kind: str, rnd: Column, half: Column, i: Column) -> Column:
 
 def feistel(values: Column, sizes: Column, key: str, kind: str) -> Column:
     """Permutes ``values`` (array of int) within ``sizes`` (alphabet of each)."""
-    half = F.floor(F.size(values) / 2).cast("int")
-    rest = F.size(values) - half
-    state = F.struct(F.slice(values, F.lit(1), half).alias("a"), F.slice(sizes, F.lit(1), half).alias("am"),
-                     F.slice(values, half + 1, rest).alias("b"), F.slice(sizes, half + 1, rest).alias("bm"))
-
     def step(s, rnd):
         moved = F.transform(s["a"], lambda v, i: F.pmod(
             v + _shift(key, kind, rnd, s["b"], i), F.get(s["am"], i).cast("long")).cast("int"))
         return F.struct(s["b"].alias("a"), s["bm"].alias("am"), moved.alias("b"), s["am"].alias("bm"))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state, step)
-    return F.concat(end["a"], end["b"])
+    def permute(x):
+        half = F.floor(F.size(x["v"]) / 2).cast("int")
+        rest = F.size(x["v"]) - half
+        start = F.struct(F.slice(x["v"], F.lit(1), half).alias("a"), F.slice(x["m"], F.lit(1), half).alias("am"),
+                         F.slice(x["v"], half + 1, rest).alias("b"), F.slice(x["m"], half + 1, rest).alias("bm"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step,
+                           lambda end: F.concat(end["a"], end["b"]))
+
+    return let(F.struct(values.alias("v"), sizes.alias("m")), permute)
 
 
 def _chars(text: Column) -> Column:
@@ -93,18 +100,22 @@ def _char(c: Column, v: Column) -> Column:
 
 def by_class(text: Column, key: str, kind: str) -> Column:
     """Digits become digits, small letters small letters, capitals capitals; the rest stays."""
-    chars = _chars(text)
-    new = feistel(F.transform(chars, _value), F.transform(chars, _size), key, kind)
-    return F.array_join(F.zip_with(chars, new, _char), "")
+    return let(_chars(text), lambda chars: F.array_join(F.zip_with(
+        chars, feistel(F.transform(chars, _value), F.transform(chars, _size), key, kind), _char), ""))
+
+
+def _fill(layout: Column, symbols: Column, own) -> Column:
+    """The characters of ``symbols`` (a string) at the places of the layout for which ``own`` holds, in order."""
+    def place(given):
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+        return F.aggregate(_chars(layout), start, lambda s, c: F.when(own(c), F.struct(
+            F.concat(s["out"], F.substring(given, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at")))
+            .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))), lambda end: end["out"])
+    return let(symbols, place)
 
 
 def _refill(layout: Column, digits: Column) -> Column:
-    """``digits`` (a string) at the places of the layout's digits, in order."""
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
-    end = F.aggregate(_chars(layout), start, lambda s, c: F.when(_is(c, "0", "9"), F.struct(
-        F.concat(s["out"], F.substring(digits, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at")))
-        .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))))
-    return end["out"]
+    return _fill(layout, digits, lambda c: _is(c, "0", "9"))
 
 
 def _digits(text: Column) -> Column:
@@ -129,15 +140,16 @@ def luhn_sum(digits: Column, last_weight: int) -> Column:
 
 def card(text: Column, key: str) -> Column:
     """First digit (the network) and Luhn validity stay."""
-    digits = _digits(text)
-    n = F.length(digits)
-    body = F.substring(digits, F.lit(2), n - 2)
-    ints = _ints(body)
-    new = feistel(ints, F.transform(ints, lambda _: F.lit(10)), key, "card")
-    payload = F.concat(F.substring(digits, 1, 1), F.array_join(new.cast("array<string>"), ""))
-    check = F.pmod(10 - F.pmod(luhn_sum(payload, 2), F.lit(10)), F.lit(10)).cast("string")
-    valid = F.pmod(luhn_sum(digits, 1), F.lit(10)) == 0
-    return F.when(valid, _refill(text, F.concat(payload, check))).otherwise(text)
+    def permuted(digits):
+        ints = _ints(F.substring(digits, F.lit(2), F.length(digits) - 2))
+        new = feistel(ints, F.transform(ints, lambda _: F.lit(10)), key, "card")
+        return F.concat(F.substring(digits, 1, 1), F.array_join(new.cast("array<string>"), ""))
+
+    def checked(payload):
+        return F.concat(payload, F.pmod(10 - F.pmod(luhn_sum(payload, 2), F.lit(10)), F.lit(10)).cast("string"))
+
+    return let(_digits(text), lambda digits: F.when(
+        F.pmod(luhn_sum(digits, 1), F.lit(10)) == 0, _refill(text, let(permuted(digits), checked))).otherwise(text))
 
 
 def mod97(text: Column) -> Column:
@@ -149,17 +161,17 @@ def mod97(text: Column) -> Column:
 
 def iban(text: Column, key: str) -> Column:
     """Country, classes of the account's characters and mod-97 validity stay."""
-    flat = F.replace(text, F.lit(" "), F.lit(""))
-    country, account = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat) - 4)
-    valid = mod97(F.concat(account, F.substring(flat, 1, 4))) == 1
-    new = by_class(account, key, "iban")
-    check = F.lpad((98 - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    whole = F.concat(country, check, new)
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
-    spaced = F.aggregate(_chars(text), start, lambda s, c: F.when(c == " ", F.struct(
-        F.concat(s["out"], c).alias("out"), s["at"].alias("at"))).otherwise(F.struct(
-            F.concat(s["out"], F.substring(whole, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))))["out"]
-    return F.when(valid, spaced).otherwise(text)
+    def whole(x):
+        check = F.lpad((98 - mod97(F.concat(x["new"], x["country"], F.lit("00")))).cast("string"), 2, "0")
+        return F.concat(x["country"], check, x["new"])
+
+    def change(flat):
+        country, account = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat) - 4)
+        valid = mod97(F.concat(account, F.substring(flat, 1, 4))) == 1
+        new = F.struct(country.alias("country"), by_class(account, key, "iban").alias("new"))
+        return F.when(valid, _fill(text, let(new, whole), lambda c: c != " ")).otherwise(text)
+
+    return let(F.replace(text, F.lit(" "), F.lit("")), change)
 
 
 def ssn(text: Column, key: str) -> Column:
@@ -168,10 +180,14 @@ def ssn(text: Column, key: str) -> Column:
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     new = feistel(F.array(F.when(area > 666, area - 2).otherwise(area - 1), group - 1, serial - 1),
                   F.array(F.lit(898), F.lit(99), F.lit(9999)), key, "ssn")
-    a = F.get(new, F.lit(0)) + 1
-    return F.when(valid, F.concat_ws("-", F.lpad(F.when(a >= 666, a + 1).otherwise(a).cast("string"), 3, "0"),
-                                     F.lpad((F.get(new, F.lit(1)) + 1).cast("string"), 2, "0"),
-                                     F.lpad((F.get(new, F.lit(2)) + 1).cast("string"), 4, "0"))).otherwise(text)
+
+    def write(n):
+        a = F.get(n, F.lit(0)) + 1
+        return F.concat_ws("-", F.lpad(F.when(a >= 666, a + 1).otherwise(a).cast("string"), 3, "0"),
+                           F.lpad((F.get(n, F.lit(1)) + 1).cast("string"), 2, "0"),
+                           F.lpad((F.get(n, F.lit(2)) + 1).cast("string"), 4, "0"))
+
+    return F.when(valid, let(new, write)).otherwise(text)
 
 
 def ip(text: Column, key: str) -> Column:
@@ -181,33 +197,40 @@ def ip(text: Column, key: str) -> Column:
 
 def phone(text: Column, key: str) -> Column:
     """North American numbers: area and exchange keep a first digit from 2 to 9; a country code stays."""
-    digits = _digits(text)
-    ten = F.substring(digits, F.length(digits) - 9, F.lit(10))
     eight = lambda i: (i == 0) | (i == 3)
-    ints = F.transform(_ints(ten), lambda d, i: F.when(eight(i), d - 2).otherwise(d))
-    new = feistel(ints, F.transform(ints, lambda _, i: F.when(eight(i), 8).otherwise(10)), key, "phone")
-    out = F.array_join(F.transform(new, lambda d, i: F.when(eight(i), d + 2).otherwise(d)).cast("array<string>"), "")
-    return _refill(text, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), out))
+
+    def change(digits):
+        ten = _ints(F.substring(digits, F.length(digits) - 9, F.lit(10)))
+        ints = F.transform(ten, lambda d, i: F.when(eight(i), d - 2).otherwise(d))
+        new = feistel(ints, F.transform(ten, lambda _, i: F.when(eight(i), 8).otherwise(10)), key, "phone")
+        out = F.array_join(F.transform(new, lambda d, i: F.when(eight(i), d + 2).otherwise(d)).cast("array<string>"), "")
+        return _refill(text, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), out))
+
+    return let(_digits(text), change)
 
 
 def intl_phone(text: Column, key: str) -> Column:
     """Eight to fifteen digits; the first two (of the country code) stay."""
-    digits = _digits(text)
-    ints = _ints(F.substring(digits, F.lit(3), F.length(digits) - 2))
-    new = feistel(ints, F.transform(ints, lambda _: F.lit(10)), key, "intl_phone")
-    return F.when(F.length(digits).between(8, 15), _refill(text, F.concat(
-        F.substring(digits, 1, 2), F.array_join(new.cast("array<string>"), "")))).otherwise(text)
+    def change(digits):
+        ints = _ints(F.substring(digits, F.lit(3), F.length(digits) - 2))
+        new = feistel(ints, F.transform(ints, lambda _: F.lit(10)), key, "intl_phone")
+        return F.when(F.length(digits).between(8, 15), _refill(text, F.concat(
+            F.substring(digits, 1, 2), F.array_join(new.cast("array<string>"), "")))).otherwise(text)
+
+    return let(_digits(text), change)
 
 
 def day_number(number: Column, key: str) -> Column:
     """Another day of 1900 to 2099: the network on two symbols, repeated until the day is in range."""
-    def walk(s, i):
+    def step(s):
         pair = feistel(F.array(F.floor(s / SIDE).cast("int"), F.pmod(s, F.lit(SIDE)).cast("int")),
                        F.array(F.lit(SIDE), F.lit(SIDE)), key, "date")
-        return F.when((i > 1) & (s < DAYS), s).otherwise(F.get(pair, F.lit(0)) * SIDE + F.get(pair, F.lit(1)))
+        return let(pair, lambda p: F.get(p, F.lit(0)) * SIDE + F.get(p, F.lit(1)))
+
     # a step leaves the range with a chance of 0.006: 16 steps end outside about never, and then the day stays
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(16)), number, walk)
-    return F.when(end < DAYS, end).otherwise(number)
+    return let(number, lambda n: F.aggregate(
+        F.sequence(F.lit(1), F.lit(16)), n, lambda s, i: F.when((i > 1) & (s < DAYS), s).otherwise(step(s)),
+        lambda end: F.when(end < DAYS, end).otherwise(n)))
 
 
 def _date(value: Column, key: str) -> Column:
@@ -221,18 +244,22 @@ def iso_date(text: Column, key: str) -> Column:
 
 
 def day_date(text: Column, key: str) -> Column:
-    """Day first where that is a date, else month first; the separator stays, day and month get two digits if they had."""
+    """Day first where that is a date, else month first; separator stays, as does whether a day or month may be short."""
+    def write(x):
+        day_first, short = x["first"].isNotNull(), x["flat"].rlike("^[0-9]/|/[0-9]/")
+        styles = {(True, True): "d/M/yyyy", (True, False): "dd/MM/yyyy", (False, True): "M/d/yyyy",
+                  (False, False): "MM/dd/yyyy"}
+        out = F.lit(None).cast("string")
+        for (d, s), style in styles.items():
+            out = F.when((day_first == d) & (short == s), F.date_format(x["new"], style)).otherwise(out)
+        return F.when(F.contains(text, F.lit(".")), F.replace(out, F.lit("/"), F.lit("."))).otherwise(out)
+
     flat = F.replace(text, F.lit("."), F.lit("/"))
     first = F.try_to_timestamp(flat, F.lit("d/M/yyyy")).cast("date")
     second = F.try_to_timestamp(flat, F.lit("M/d/yyyy")).cast("date")
     value = F.coalesce(first, second)
-    new = _date(value, key)
-    short = flat.rlike("^[0-9]/|/[0-9]/")
-    out = F.when(first.isNotNull(), F.when(short, F.date_format(new, "d/M/yyyy")).otherwise(
-        F.date_format(new, "dd/MM/yyyy"))).otherwise(F.when(short, F.date_format(new, "M/d/yyyy")).otherwise(
-            F.date_format(new, "MM/dd/yyyy")))
-    out = F.when(F.contains(text, F.lit(".")), F.replace(out, F.lit("/"), F.lit("."))).otherwise(out)
-    return F.when(value.isNotNull(), out).otherwise(text)
+    return F.when(value.isNotNull(), let(F.struct(flat.alias("flat"), first.alias("first"),
+                                                  _date(value, key).alias("new")), write)).otherwise(text)
 
 
 def email(text: Column, key: str) -> Column:
