@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, jaccard_join, language, neardup_graph, packing, pii, quality, tokens, warc
+from . import bitsliced, jaccard_join, language, neardup_graph, packing, pii, quality, tokens, unigram, warc
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,6 +22,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, docs, tokenizer_path(WORD_TOKENIZER), capacity=4096, end_id=1)
 
 
+def op2_sentencepiece_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded, its ids, and whether they decode to the text again."""
+    return unigram.encode(spark, read_table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 def remainder(spark_id, by: int):
     """crc32 of the id's text modulo ``by``; null for a null id."""
     return F.crc32(spark_id.cast("string").cast("binary")) % by
@@ -117,6 +123,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op7_neardup_graph, op8_bitsliced_top_k,
+    op1_best_fit_packing, op2_sentencepiece_unigram, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op7_neardup_graph, op8_bitsliced_top_k,
     op9_token_counts, op10_language_id)}
 SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL, "op8_bitsliced_top_k": OP8_SQL}
