@@ -222,23 +222,24 @@ def fit(spark: SparkSession, docs: DataFrame, per_language: int = 500, per_docum
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-            text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id_col``, the columns ``keep``, lang_pred and score, for every row of ``docs``."""
+            text_col: str = "text", keep: tuple[str, ...] = (), into: tuple[str, str] = ("lang_pred", "score")
+            ) -> DataFrame:
+    """``id_col``, the columns ``keep``, and ``into``: language and its probability, for every row of ``docs``."""
     cols = list(dict.fromkeys([id_col, *keep]))
     if model is None:
-        return docs.select(*cols, F.lit(UNDEFINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*cols, F.lit(UNDEFINED).alias(into[0]), F.lit(0.0).alias(into[1]))
     shared = spark.sparkContext.broadcast((model.languages, model.params))
-    schema = docs.select(*cols, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = docs.select(*cols, F.lit("").alias(into[0]), F.lit(0.0).alias(into[1])).schema
 
     def run(batches):
         languages, params = shared.value
         for b in batches:
-            texts = [t if t is not None and LETTER.search(t.decode()) else b"" for t in b.column("__text").to_pylist()]
-            p = document_probabilities(texts, params)
-            best = p.argmax(axis=1) if len(texts) else []
-            names = [languages[k] if t else UNDEFINED for k, t in zip(best, texts, strict=True)]
+            texts = [t if t is not None and LETTER.search(t.decode()) else b""
+                     for t in b.column(text_col).cast(pa.binary()).to_pylist()]
+            p = document_probabilities(texts, params) if texts else np.zeros((0, len(languages)))
+            names = [languages[k] if t else UNDEFINED for k, t in zip(p.argmax(axis=1), texts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in cols), pa.array(names, pa.string()),
-                 pa.array(p.max(axis=1) if len(texts) else [], pa.float64())], [*cols, "lang_pred", "score"])
+                 pa.array(p.max(axis=1) if len(p) else [], pa.float64())], [*cols, *into])
 
-    return docs.select(*cols, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*cols, text_col])).mapInArrow(run, schema)

@@ -205,20 +205,19 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str,
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model | None, good: int = 1, id_col: str = "doc_id",
-          text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id_col``, the columns ``keep`` and score: the probability of the class ``good``."""
+          text_col: str = "text", keep: tuple[str, ...] = (), into: str = "score") -> DataFrame:
+    """``id_col``, the columns ``keep`` and ``into``: the probability of the class ``good``."""
+    cols = list(dict.fromkeys([id_col, *keep]))
     if model is None or good not in model.classes:
-        value = 0.5 if model is None else 0.0
-        return docs.select(id_col, *keep, F.lit(value).alias("score"))
+        return docs.select(*cols, F.lit(0.5 if model is None else 0.0).alias(into))
     shared = spark.sparkContext.broadcast((model.folded, model.bias, model.classes.index(good)))
-    cols = list(dict.fromkeys([id_col, *keep]))
-    schema = docs.select(*cols, F.lit(0.0).alias("score")).schema
+    schema = docs.select(*cols, F.lit(0.0).alias(into)).schema
 
     def run(batches):
         folded, bias, at = shared.value
         for b in batches:
-            texts = [t if t is not None else b"" for t in b.column("__text").to_pylist()]
+            texts = [t if t is not None else b"" for t in b.column(text_col).cast(pa.binary()).to_pylist()]
             p = score_texts(texts, folded, bias)[:, at] if texts else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(p, pa.float64())], [*cols, "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(p, pa.float64())], [*cols, into])
 
-    return docs.select(*cols, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*cols, text_col])).mapInArrow(run, schema)
