@@ -38,6 +38,10 @@ def parse(argv):
             p.add_argument("--snapshot-tickers", action="store_true")
             p.add_argument("--severity", choices=("error", "warn"), default="error")
             p.add_argument("--post-tests", choices=("incremental", "full"), default="incremental")
+            p.add_argument("--allow-empty-tickers", action="store_true", help="publish an empty ticker mirror")
+            p.add_argument("--ticker-retention-days", type=int, default=None)
+        p.add_argument("--any-file-name", action="store_true",
+                       help="read every file of a feed's folder, not only those named after the feed")
         if name == "backfill":
             p.add_argument("--start", required=True)
             p.add_argument("--end", required=True)
@@ -49,12 +53,13 @@ def run(argv, spark=None) -> dict:
     from ..session import get_session
     from . import daily
     spark = spark or get_session(app=f"civicledger-{args.command}")
-    wh = daily.Warehouse(spark, args.root, args.landing, layout=args.layout)
+    wh = daily.Warehouse(spark, args.root, args.landing, layout=args.layout, name_globs=not args.any_file_name)
     if args.command == "daily":
         res = daily.run_daily(wh, args.run_date, as_of=args.as_of,
                               materialize_fact=args.materialize_fact,
                               snapshot_ticker_dim=args.snapshot_tickers, severity=args.severity,
-                              post_tests=args.post_tests)
+                              post_tests=args.post_tests, refuse_empty_tickers=not args.allow_empty_tickers,
+                              ticker_retention_days=args.ticker_retention_days)
         return {"command": "daily", "run_date": res.run_date, "status": res.status,
                 "seconds": res.steps.get("seconds", {})}
     if args.command == "backfill":

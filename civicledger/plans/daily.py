@@ -46,8 +46,8 @@ PARTITIONED = {"int_gov_official_trades": ("report_date", ["transaction_id"]),
 
 
 def default_run_date(today: dt.date | None = None) -> dt.date:
-    """Yesterday, when no run date is supplied."""
-    return (today or dt.date.today()) - dt.timedelta(days=1)
+    """Yesterday (UTC, like every time of the run), when no run date is supplied."""
+    return (today or dt.datetime.now(dt.timezone.utc).date()) - dt.timedelta(days=1)
 
 
 @dataclass
@@ -117,6 +117,7 @@ def _empty(spark: SparkSession, like: DataFrame) -> DataFrame:
 def load_trades(wh: Warehouse) -> list[int]:
     if not wh._exists(f"{wh.landing}/government_trades"):
         return []
+    landing.require_matching_files(wh.spark, f"{wh.landing}/government_trades", landing.TRADES_GLOB if wh.globs else None)
     return load_new_files(wh.spark, f"{wh.landing}/government_trades", schemas.GOVERNMENT_TRADES,
                           wh.trades_path, wh.catalog.checkpoint_location("government_trades"),
                           name_glob=landing.TRADES_GLOB if wh.globs else None,
@@ -124,22 +125,20 @@ def load_trades(wh: Warehouse) -> list[int]:
                           layout=wh.layout, spread=True, cluster_by=["transaction_id"])
 
 
-# ticker files stay in the landing area this long; staging re-reads all of them
-TICKER_RETENTION_DAYS = 7
-
-
 def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = False,
-                 retention_days: int | None = TICKER_RETENTION_DAYS) -> int | None:
-    """Truncate-and-load staging from every retained ticker file, then mirror it into the source.
-
-    Retention is applied by file modification time (``modifiedAfter``), the
-    way a storage lifecycle rule expires landed files.  As in the source
-    warehouse, an empty staging empties the mirror; ``refuse_empty=True``
-    refuses to publish an empty staging or mirror instead.
+                 retention_days: int | None = None) -> int | None:
+    """Truncate-and-load staging from every landed ticker file, then mirror it into the source.
+
+    Expiring landed files is the storage's lifecycle rule, not the reader's; a
+    caller may still leave out files older than ``retention_days`` (by
+    modification time).  As in the source warehouse, an empty staging empties
+    the mirror; ``refuse_empty=True`` refuses to publish an empty staging or
+    mirror instead (the daily run's setting).
     """
     path = f"{wh.landing}/stock_tickers"
     if not wh._exists(path):
         return None
+    landing.require_matching_files(wh.spark, path, landing.TICKERS_GLOB if wh.globs else None)
     modified_after = None
     if retention_days is not None:
         cutoff = dt.datetime.fromisoformat(str(as_of)) - dt.timedelta(days=retention_days)
@@ -165,7 +164,7 @@ def text_schema(schema):
                                        else f.dataType, True) for f in schema.fields])
 
 
-MERGED_THROUGH = "_MERGED_THROUGH"
+MERGED_THROUGH = "merged_through"          # property of the price table: the last load batch in it
 
 
 def _loaded_batches(wh: Warehouse) -> list[int]:
@@ -185,42 +184,37 @@ def load_and_dedup_market(wh: Warehouse, as_of) -> list | None:
     date can hold a duplicate.  This equals re-scanning the whole 70-day
     window each day, at the cost of the new data only.
 
-    Recovery: the table remembers the last load batch merged into it
-    (``_MERGED_THROUGH``), and every price row carries the batch that loaded
-    it.  A run merges all loaded batches after the marker -- so prices loaded
-    by a run that died before this step are merged by the next one -- and a
-    re-merged batch first drops its own rows from the touched dates, so a
-    half-finished merge converges.
+    Recovery: the table remembers the last load batch merged into it, published
+    in the same step as the rows, and every price row carries the batch that
+    loaded it.  A run merges all loaded batches after that one, so prices loaded
+    by a run that died before this step are merged by the next; a batch given
+    twice replaces its own rows.
     """
-    from ..sources.store import _FS
     path = f"{wh.landing}/market_close"
     if wh._exists(path):
-        layout = wh.layout
-        load_new_files(wh.spark, path, None, wh.market_loads_path,
+        landing.require_matching_files(wh.spark, path, landing.MARKET_GLOB if wh.globs else None)
+        load_new_files(landing.case_sensitive(wh.spark), path, schemas.MARKET_CLOSE, wh.market_loads_path,
                        wh.catalog.checkpoint_location("market_close"),
                        name_glob=landing.MARKET_GLOB if wh.globs else None,
-                       transform=lambda files: landing.extract_market(landing.records_of(files, layout)),
-                       layout=layout, spread=True)
+                       transform=landing.extract_market_rows, layout=wh.layout, spread=True)
     t = wh.catalog.table("market_close_by_day")
-    fs = _FS(wh.spark, t.root)
-    marker = f"{t.root}/{MERGED_THROUGH}"
-    done = int(fs.read_text(marker)) if fs.exists(marker) else -1
+    done = int(t.properties().get(MERGED_THROUGH, -1))
     batches = [b for b in (_loaded_batches(wh) if wh._exists(wh.market_loads_path) else []) if b > done]
     if not batches:
         return None
     new_rows = wh.spark.read.parquet(wh.market_loads_path).where(F.col(BATCH_COL).isin(batches))
     as_of_date = F.lit(as_of).cast("date") if as_of is not None else F.current_date()
     if not t.exists():
-        t.write(keyed.collapse_duplicates(new_rows, "date_recorded", as_of_date, ignore=[BATCH_COL]))
+        t.write(keyed.collapse_duplicates(new_rows, "date_recorded", as_of_date, ignore=[BATCH_COL]),
+                properties={MERGED_THROUGH: max(batches)})
         touched = ["all"]
     else:
         touched = [r[0] for r in new_rows.select("date_recorded").distinct().collect()]
         current = (t.read_partitions(touched, schema=new_rows.schema)
                    .where(~F.col(BATCH_COL).isin(batches)))
         merged = current.unionByName(new_rows.select(*current.columns))
-        t.replace_partitions(keyed.collapse_duplicates(merged, "date_recorded", as_of_date,
-                                                       ignore=[BATCH_COL]), touched)
-    fs.write_text(marker, str(max(batches)))
+        t.replace_partitions(keyed.collapse_duplicates(merged, "date_recorded", as_of_date, ignore=[BATCH_COL]),
+                             touched, properties={MERGED_THROUGH: max(batches)})
     return touched
 
 
@@ -266,10 +260,10 @@ def publish(wh: Warehouse, audit: dict[str, DataFrame]) -> dict[str, int]:
                 versions[f"{name}_seconds"] = round(time.perf_counter() - started, 3)
                 continue
             nxt = merge.upsert(t.read(), source, keys)
+            versions[name] = t.write(nxt)
         else:
-            nxt = full_build()
-            merge.assert_unique_keys(nxt, keys, f"first build of {name}")
-        versions[name] = t.write(nxt)
+            versions[name] = t.write(full_build(), validate=lambda written, keys=keys, name=name:
+                                     merge.assert_unique_keys(written, keys, f"first build of {name}"))
         versions[f"{name}_seconds"] = round(time.perf_counter() - started, 3)
     return versions
 
@@ -280,9 +274,10 @@ def _snapshot(wh: Warehouse, name: str, src: DataFrame, key: str, updated_at: st
     Layout: open rows live in the partition ``dbt_closed_in_run = NULL``; rows a
     run closes go to the partition of that run's day and are never rewritten
     by later runs.  A run reads the open partition (plus today's, if the day
-    is re-run), applies the change, and replaces those two partitions -- its
-    cost follows the current dimension, not the history.  Re-running a day
-    keeps the rows it closed the first time.
+    is re-run), applies the change, and publishes both partitions in one step --
+    its cost follows the current dimension, not the history.  A run that dies
+    before that step changed nothing; one repeated after it, at whatever time,
+    finds the rows it closed no longer open.
     """
     t = dimension_table(wh, name, key)
     if not t.exists():
@@ -293,15 +288,9 @@ def _snapshot(wh: Warehouse, name: str, src: DataFrame, key: str, updated_at: st
     open_rows = t.read_partitions([None]).drop(CLOSED_IN_RUN)
     closed_today = t.read_partitions([run_day]).drop(CLOSED_IN_RUN)
     step = scd2.apply(open_rows, src, key, updated_at, run_ts)
-    still_open = step.where(F.col(scd2.VALID_TO).isNull())
-    # (1) today's closings first, merged with any from an earlier attempt today
-    #     (a closed version is identified by its id and close time) ...
-    closed = (closed_today.unionByName(step.where(F.col(scd2.VALID_TO).isNotNull()))
-              .dropDuplicates([scd2.SCD_ID, scd2.VALID_TO]))
-    t.replace_partitions(closed.withColumn(CLOSED_IN_RUN, F.lit(run_day)), [run_day])
-    # (2) ... then the open rows.  If (2) fails, a re-run closes the same rows
-    #     again and (1) absorbs them, so the dimension converges.
-    t.replace_partitions(still_open.withColumn(CLOSED_IN_RUN, F.lit(None).cast("date")), [None])
+    nxt = step.withColumn(CLOSED_IN_RUN, F.when(F.col(scd2.VALID_TO).isNotNull(), F.lit(run_day))).unionByName(
+        closed_today.withColumn(CLOSED_IN_RUN, F.lit(run_day)))
+    t.replace_partitions(nxt, [run_day, None])
     return [run_day, None]
 
 
@@ -404,15 +393,36 @@ def post_publish_report(wh: Warehouse, audit: dict[str, DataFrame], mode: str =
     return reduce(DataFrame.unionByName, parts)
 
 
+PASSED = "_TESTED/passed_in_full"
+
+
+def passed_in_full(wh: Warehouse) -> bool:
+    """Whether the published models passed whole-table tests and every later change passed its own."""
+    return wh._exists(f"{wh.root}/{PASSED}")
+
+
+def mark_passed(wh: Warehouse) -> None:
+    from ..sources.store import _FS
+    if not passed_in_full(wh):
+        _FS(wh.spark, wh.root).write_text(f"{wh.root}/{PASSED}", "")
+
+
+def clear_passed(wh: Warehouse) -> None:
+    """Before tables change: until their tests pass again, the next run tests them in full."""
+    from ..sources.store import _FS
+    if passed_in_full(wh):
+        _FS(wh.spark, wh.root).delete(f"{wh.root}/{PASSED}")
+
+
 VERSIONED_TABLES = ("staging_stock_tickers", "stock_tickers", "int_gov_official_trades_audit",
                     "int_gov_officials_audit", "int_market_audit", "int_gov_officials",
                     "fct_government_official_trades")
 
 
 def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
-    """Drop all but the newest ``keep`` versions of the versioned tables (never the current one)."""
+    """Drop all but the newest ``keep`` versions of every table (never the current one)."""
     out = {}
-    for name in VERSIONED_TABLES:
+    for name in (*VERSIONED_TABLES, *PARTITIONED):
         t = wh.catalog.table(name)
         if t.exists():
             out[name] = t.vacuum(keep)
@@ -421,7 +431,14 @@ def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
 
 def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool = False,
               snapshot_ticker_dim: bool = False, severity: str = "error",
-              post_tests: str = "incremental", keep_versions: int | None = 7) -> RunResult:
+              post_tests: str = "incremental", keep_versions: int | None = 7,
+              refuse_empty_tickers: bool = True, ticker_retention_days: int | None = None) -> RunResult:
+    """One report date, end to end.
+
+    ``post_tests="incremental"`` tests the day's slice after publishing where the
+    whole tables passed before; a first build, and any run after one whose
+    failures were only recorded, tests the whole tables.
+    """
     run_date = str(run_date or default_run_date())
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     res = RunResult(run_date, "published")
@@ -440,7 +457,7 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
         res.status = "skipped"
         return res
     lap("availability_gate")
-    res.steps["stock_tickers"] = sync_tickers(wh, as_of)
+    res.steps["stock_tickers"] = sync_tickers(wh, as_of, refuse_empty_tickers, ticker_retention_days)
     lap("ticker_mirror")
     res.steps["market_close_by_day"] = load_and_dedup_market(wh, as_of)
     lap("price_load_dedup")
@@ -448,9 +465,14 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     lap("audit_build")
     res.steps["audit_report"] = _check(quality.run_tests(audit, M.AUDIT_TESTS), severity)
     lap("audit_tests")
+    mode = post_tests if passed_in_full(wh) else "full"
+    clear_passed(wh)
     res.steps["published"] = publish(wh, audit)
     lap("publish")
-    res.steps["published_report"] = _check(post_publish_report(wh, audit, post_tests), severity)
+    report = _check(post_publish_report(wh, audit, mode), severity)
+    res.steps["published_report"], res.steps["post_tests"] = report, mode
+    if not report and not res.steps["audit_report"]:
+        mark_passed(wh)
     lap("published_tests")
     res.steps["dim_scd_gov_officials"] = snapshot_officials(wh, as_of)
     lap("scd2_officials")
@@ -467,25 +489,51 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     return res
 
 
-def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None = None) -> dict:
-    """Replay report dates [start, end] in one job per model (equal to the day-by-day runs).
+MERGE_KEYS = {"int_gov_official_trades_audit": ["transaction_id"], "int_gov_officials_audit": ["member_id"],
+              "int_market_audit": ["date_recorded", "ticker"]}
+
+
+def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None = None, severity: str = "error",
+                 load: bool = True) -> dict:
+    """Replay report dates [start, end]; equal to running the days one by one, gate included.
 
-    Like the replay script it stands in for, only a range that ends before
-    today is accepted (today's reports may still be arriving).
+    New trade and price files are loaded first (exactly once, as in a daily run).
+    Every report date's audit slices are built and tested before anything is
+    published, so a date that the daily run would stop at stops the whole range
+    and leaves the tables as they were.  Trades and prices are then merged in one
+    job each; the small officials table and its dimension advance date by date,
+    because the dimension keeps every version in between.  The published models
+    are tested in full afterwards.  Only a range that ends before today is
+    accepted (today's reports may still be arriving).
     """
-    today = today or dt.date.today()
+    today = today or dt.datetime.now(dt.timezone.utc).date()
     start_d, end_d = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
     if start_d > end_d:
         raise ValueError(f"backfill start {start_d} is after its end {end_d}")
     if end_d >= today:
         raise ValueError(f"backfill must end before today ({today}), not on {end_d}")
+    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    if load:
+        load_trades(wh)
+        load_and_dedup_market(wh, as_of)
     src = M.src_trades(wh.trades_source())
     states = wh.states()
     window = BF.report_range(src, start, end)
-    out = {}
+    dates = sorted(r[0] for r in window.select("report_date").distinct().collect())
+    out: dict = {"dates": [str(d) for d in dates], "audit_report": []}
+    for d in dates:
+        audit = build_audit(wh, str(d))
+        out["audit_report"] += _check(quality.run_tests(audit, M.AUDIT_TESTS), severity)
+        for name, keys in MERGE_KEYS.items():
+            merge.assert_unique_keys(audit[name], keys, f"{name} of {d}")
+    if not dates:
+        return out
+    clear_passed(wh)
     off = wh.catalog.table("int_gov_officials")
-    off_pub = off.read() if off.exists() else M.officials(src.limit(0), states)
-    out["int_gov_officials"] = off.write(BF.backfill_officials(off_pub, src, states, start, end))
+    for d in dates:
+        published = off.read() if off.exists() else M.officials(src.limit(0), states)
+        out["int_gov_officials"] = off.write(BF.backfill_officials(published, src, states, d, d))
+        snapshot_officials(wh, as_of)
     trades = wh.catalog.table("int_gov_official_trades")
     last = BF.last_report_per_trade(M.official_trades(window))
     if trades.exists():
@@ -500,4 +548,7 @@ def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None =
     else:
         mkt.write(prices)
         out["int_market"] = "built"
+    out["published_report"] = _check(post_publish_report(wh, {}, "full"), severity)
+    if not out["published_report"] and not out["audit_report"]:
+        mark_passed(wh)
     return out

@@ -15,6 +15,8 @@ scan when a few large files would otherwise feed few tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +48,16 @@ def _reader(spark: SparkSession, schema, layout: str, name_glob: str | None, mod
     return r
 
 
+def case_sensitive(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` whose column names tell ``afterHours`` from ``afterhours``."""
+    other = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions",
+                "spark.sql.parquet.compression.codec"):
+        other.conf.set(key, spark.conf.get(key))
+    other.conf.set("spark.sql.caseSensitive", "true")
+    return other
+
+
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, name_glob: str | None = None,
                 layout: str = "array", mode: str = "FAILFAST", partitions: int | None = None,
                 modified_after: str | None = None) -> DataFrame:
@@ -68,17 +80,49 @@ def read_pages(spark: SparkSession, path: str, item_schema: T.StructType, field:
     return pages.select(F.explode(field).alias("r")).select("r.*")
 
 
-def write_landing(df: DataFrame, path: str, ds, layout: str = "lines") -> None:
-    """Land a feed for run date ``ds``: gzip JSON under ``path/ds=<ds>``, replacing a re-run.
+def write_landing(df: DataFrame, path: str, ds, layout: str = "lines", feed: str | None = None,
+                  rows_per_file: int = 20_000) -> None:
+    """Land a feed for run date ``ds`` under ``path/ds=<ds>``, replacing a re-run.
 
-    JSON lines (the default) write in parallel, one file per task; the array
-    layout of the source system needs one writer and is only for small feeds.
+    ``lines``: gzip JSON lines, one file per task.  ``array``: every file holds one
+    JSON array of about ``rows_per_file`` records, written in parallel; records
+    are dealt by hash, so no file gathers a hot key.  Files are written beside
+    their place and renamed to ``<ds>_<feed>_<n>.json.gz`` (``feed``: the folder's
+    name unless given), the names that the feeds' readers look for by default.
     """
-    out = df.withColumn("ds", F.lit(str(ds)))
-    if layout == "array":
-        out = out.coalesce(1)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", "gzip").partitionBy("ds").json(path))
+    from .store import _FS
+    if layout not in ("lines", "array"):
+        raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
+    path = path.rstrip("/")
+    feed = feed or path.rsplit("/", 1)[-1].replace("-", "_")
+    own = f"{path}/_landing-{uuid.uuid4().hex}"                     # readers pass over names that begin so
+    if layout == "lines":
+        df.write.option("compression", "gzip").json(own)
+    else:
+        text = df.select(F.to_json(F.struct(*df.columns)).alias("r"))
+        files = max(1, -(-text.count() // rows_per_file))
+        arrays = (text.groupBy(F.pmod(F.xxhash64("r", F.monotonically_increasing_id()), F.lit(files)).alias("file"))
+                  .agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value")))
+        # one row, and so one array, per file
+        arrays.select("value").write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(own)
+    spark = df.sparkSession
+    fs, target = _FS(spark, path), f"{path}/ds={ds}"
+    fs.delete(target)
+    fs.mkdirs(target)
+    for n, name in enumerate(sorted(x for x in fs.list_files(own) if x.startswith("part-"))):
+        fs.rename(f"{own}/{name}", f"{target}/{ds}_{feed}_{n:05d}.json.gz")
+    fs.delete(own)
+
+
+def require_matching_files(spark: SparkSession, path: str, name_glob: str | None) -> None:
+    """Raise if ``path`` holds files but none is named as the feed's files are: nothing would load, silently."""
+    if not name_glob:
+        return
+    files = lambda glob: (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                          .option("pathGlobFilter", glob).load(path).select("path").limit(1))
+    if files(name_glob).isEmpty() and not files("*").isEmpty():
+        raise FileNotFoundError(f"{path}: no file matches {name_glob!r}, though the folder holds files; "
+                                "read it without a name pattern if its folder names the feed")
 
 
 # ---------------------------------------------------------------------------
@@ -151,6 +195,16 @@ def extract_market(records: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def extract_market_rows(raw: DataFrame) -> DataFrame:
+    """Rows read as ``schemas.MARKET_CLOSE`` (by a case-sensitive session) to ``market_close_by_day``."""
+    return raw.select(
+        "status", F.col("from").alias("date_recorded"), "symbol", "open", "high", "low", "close",
+        X.to_whole_long("volume").alias("stock_volume"),
+        F.coalesce(F.col("afterHours"), F.col("afterhours")).alias("after_hours"),
+        F.coalesce(F.col("preMarket"), F.col("premarket")).alias("pre_market"),
+    )
+
+
 def extract_tickers(raw: DataFrame, loaded_at=None) -> DataFrame:
     """Tickers feed to the staging layout: typed columns, SHA-256 row hash, load time.
 
@@ -189,31 +243,38 @@ def path_failures(paths) -> Column:
     return out
 
 
+def _text_schema(paths) -> T.StructType:
+    """The fields that ``paths`` name, nested as in the feed, every leaf as text."""
+    tree: dict = {}
+    for _c, path, _t in paths:
+        at = tree
+        *outer, leaf = path[2:].split(".")
+        for name in outer:
+            at = at.setdefault(name, {})
+        at.setdefault(leaf, None)
+
+    def build(node):
+        return T.StructType([T.StructField(k, T.StringType() if v is None else build(v)) for k, v in node.items()])
+    return build(tree)
+
+
 def read_with_error_policy(spark: SparkSession, path: str, paths, name_glob: str | None = None,
                            max_ratio: float = SKIP_FILE_RATIO, layout: str = "array"):
     """Records of files whose failing-record share is at most ``max_ratio``; returns (records, report).
 
-    Files are read schemaless (VARIANT); a record fails when a present path
-    does not cast to its declared type (``try_variant_get``).  A file that
-    cannot be parsed at all counts as ratio 1.  Failing records of a kept file
-    are left out, the rest load.  (``_corrupt_record`` of a typed
-    read is not used: in multi-line mode one bad element marks every row of
-    its file.)  ``records`` keeps column ``r``; extract it with the feed's
-    extractor.
+    Files are read with every field as text, record by record, so a file may
+    have any size; a record fails when a present value does not cast to its
+    path's type.  A file that cannot be parsed at all counts as ratio 1.
+    Failing records of a kept file are left out, the rest load.  ``records``
+    has a VARIANT column ``r`` of the fields that ``paths`` name; extract it
+    with the feed's extractor.
     """
-    r = (spark.read.option("singleVariantColumn", "v").option("mode", "PERMISSIVE")
-         .option("recursiveFileLookup", "true"))
-    if layout == "array":
-        r = r.option("multiLine", "true")
-    if name_glob:
-        r = r.option("pathGlobFilter", name_glob)
-    files = r.json(path).withColumn("_file", F.col("_metadata.file_path"))
-    if layout == "array":
-        recs = files.select("_file", F.col("v").isNull().alias("_unparsed"),
-                            F.explode_outer(F.col("v").cast("array<variant>")).alias("r"))
-    else:
-        recs = files.select("_file", F.col("v").isNull().alias("_unparsed"), F.col("v").alias("r"))
-    recs = recs.where(F.col("_unparsed") | F.col("r").isNotNull())     # drop empty-array filler
+    fields = _text_schema(paths)
+    schema = T.StructType([*fields.fields, T.StructField("_corrupt_record", T.StringType())])
+    raw = (_reader(case_sensitive(spark), schema, layout, name_glob, "PERMISSIVE").json(path)
+           .withColumn("_file", F.col("_metadata.file_path")))
+    recs = raw.select("_file", F.col("_corrupt_record").isNotNull().alias("_unparsed"),
+                      F.parse_json(F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields.fields]))).alias("r"))
     recs = recs.withColumn("_bad", F.col("_unparsed") | path_failures(paths))
     report = error_ratio(recs, "_file", F.col("_bad"), max_ratio)
     keep = report.where(~F.col("skipped")).select("_file")

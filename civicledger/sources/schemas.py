@@ -31,12 +31,17 @@ GOVERNMENT_TRADES = T.StructType([
     _f("transaction_id", S), _f("transaction_type", S), _f("updated", L),
 ])
 
-# The market-close feed is read schemaless (one VARIANT per record) and
-# extracted by JSON path, because its extended-hours fields arrive in two
-# spellings that differ only in case (``afterHours`` / ``afterhours``): a
-# StructType cannot hold both under Spark's case-insensitive column names,
-# while variant paths are case-sensitive.  volume may arrive as a JSON float:
-# read DOUBLE, round, then cast (7079.6 -> 7080).
+# The extended-hours fields of the market-close feed arrive in two spellings that
+# differ only in case (``afterHours`` / ``afterhours``).  MARKET_CLOSE holds both
+# and is read by a session whose column names are case-sensitive
+# (``landing.case_sensitive``); the paths below read the same fields from records
+# held as VARIANT.  volume may arrive as a JSON float: read DOUBLE, round, then
+# cast (7079.6 -> 7080).
+MARKET_CLOSE = T.StructType([
+    _f("status", S), _f("from", D), _f("symbol", S), _f("open", PRICE), _f("high", PRICE), _f("low", PRICE),
+    _f("close", PRICE), _f("volume", T.DoubleType()), _f("afterHours", PRICE), _f("preMarket", PRICE),
+    _f("afterhours", PRICE), _f("premarket", PRICE),
+])
 MARKET_PATHS = [  # (column, JSON path, type)
     ("status", "$.status", "string"),
     ("date_recorded", "$.from", "date"),

@@ -55,7 +55,7 @@ def test_daily_runs(spark, warehouse):
     os.utime(f"{wh.landing}/stock_tickers/{DAYS[0]}_tickers.json.gz", (old, old))
     new = time.mktime((2024, 6, 11, 0, 0, 0, 0, 0, 0))
     os.utime(f"{wh.landing}/stock_tickers/{DAYS[1]}_tickers.json.gz", (new, new))
-    r2 = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True)
+    r2 = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True, ticker_retention_days=7)
     assert r2.status == "published"
     fact = wh.catalog.read("fct_government_official_trades")
     assert _rows(fact, "transaction_id") == [("T1",), ("T2",), ("T4",), ("T5",)]
@@ -89,7 +89,7 @@ def test_daily_runs(spark, warehouse):
 
     # re-running a day changes nothing
     before = _snapshot_state(wh)
-    r2b = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True)
+    r2b = daily.run_daily(wh, DAYS[1], as_of="2024-06-11 06:00:00", materialize_fact=True, ticker_retention_days=7)
     assert r2b.status == "published" and r2b.steps["trades_batches"] == []
     after = _snapshot_state(wh)
     assert {k: v for k, v in after.items() if k != "stock_tickers"} == \
@@ -103,7 +103,7 @@ def test_daily_runs(spark, warehouse):
                 ("int_gov_officials", "fct_government_official_trades")}
     trades_before = _snapshot_state(wh)["int_gov_official_trades"]
     dim_before = _snapshot_state(wh)["dim_scd_gov_officials"]
-    r3 = daily.run_daily(wh, DAYS[2], as_of="2024-06-12 06:00:00", materialize_fact=True)
+    r3 = daily.run_daily(wh, DAYS[2], as_of="2024-06-12 06:00:00", materialize_fact=True, ticker_retention_days=7)
     assert r3.status == "skipped"
     assert versions == {n: wh.catalog.table(n).current_version() for n in versions}
     assert _snapshot_state(wh)["int_gov_official_trades"] == trades_before
@@ -142,6 +142,9 @@ def test_backfill_equals_day_by_day(spark, tmp_path_factory):
     daily.load_trades(one_job)
     daily.load_and_dedup_market(one_job, "2024-06-11 06:00:00")
     daily.run_backfill(one_job, DAYS[0], DAYS[1])
+    scd = [sorted(map(tuple, daily.dimension(w, "dim_scd_gov_officials").collect()), key=str)
+           for w in (day_by_day, one_job)]
+    assert scd[0] == scd[1]
     for name in ("int_gov_officials", "int_gov_official_trades", "int_market"):
         a = sorted(map(tuple, day_by_day.catalog.read(name).collect()), key=str)
         b = sorted(map(tuple, one_job.catalog.read(name).collect()), key=str)
@@ -186,7 +189,6 @@ def test_command_line(spark, tmp_path_factory, capsys):
 def test_price_merge_recovers(spark, tmp_path_factory):
     """Prices loaded by a run that died before the merge are merged by the next run;
     a merge re-run after losing its marker changes nothing."""
-    import os
     base = tmp_path_factory.mktemp("recover")
     wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
     land_day(wh.landing, DAYS[0])
@@ -196,22 +198,79 @@ def test_price_merge_recovers(spark, tmp_path_factory):
     # the day-2 run dies right after loading its price file
     from civicledger.sources import landing as L
     from civicledger.streaming.incremental import load_new_files
-    load_new_files(spark, f"{wh.landing}/market_close", None, wh.market_loads_path,
+    from civicledger.sources import schemas
+    load_new_files(L.case_sensitive(spark), f"{wh.landing}/market_close", schemas.MARKET_CLOSE, wh.market_loads_path,
                    wh.catalog.checkpoint_location("market_close"), name_glob=L.MARKET_GLOB,
-                   transform=lambda f: L.extract_market(L.records_of(f)))
+                   transform=L.extract_market_rows)
     touched = daily.load_and_dedup_market(wh, "2024-06-11 06:00:00")      # next run: no new files
     assert touched and sorted(map(str, touched)) == ["2024-06-05"]
     merged = sorted(map(tuple, wh.catalog.read("market_close_by_day").collect()), key=str)
     assert len(merged) == len(first) + 2
-    # the merge died before writing its marker: the re-run re-merges the same batch
-    root = wh.catalog.table("market_close_by_day").root
-    with open(f"{root}/{daily.MERGED_THROUGH}", "w") as f:
-        f.write("0")
-    os.remove(f"{root}/.{daily.MERGED_THROUGH}.crc") if os.path.exists(f"{root}/.{daily.MERGED_THROUGH}.crc") else None
+    # a batch that is merged again replaces its own rows
+    t = wh.catalog.table("market_close_by_day")
+    t.replace_partitions(t.read().where("false"), [], properties={daily.MERGED_THROUGH: 0})
     daily.load_and_dedup_market(wh, "2024-06-11 06:00:00")
     assert sorted(map(tuple, wh.catalog.read("market_close_by_day").collect()), key=str) == merged
 
 
+def test_first_build_tests_the_whole_history(spark, tmp_path_factory):
+    """A duplicate in history, outside the run date's slice, fails the first run."""
+    base = tmp_path_factory.mktemp("history")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
+    for day, txn in ((DAYS[0], "T1"), (DAYS[1], "T2"), ("2024-06-12", "T3")):
+        t = trade(txn, OFF_A, "LUMN", "P", "$1,001 - $15,000", "2024-06-03", day)
+        if txn != "T3":
+            t["id"] = "same-record"
+        write_array(f"{wh.landing}/government_trades/{day}_government_trades.json.gz", [t])
+    from civicledger.operators.quality import AuditFailed
+    for _ in range(2):                                        # and again, until it is mended
+        with pytest.raises(AuditFailed):
+            daily.run_daily(wh, "2024-06-12", as_of="2024-06-12 06:00:00")
+    assert not daily.passed_in_full(wh)
+
+
+def test_backfill_stops_where_the_daily_run_stops(spark, tmp_path_factory):
+    from civicledger.operators.quality import AuditFailed
+    base = tmp_path_factory.mktemp("bfgate")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
+    write_array(f"{wh.landing}/government_trades/{DAYS[0]}_government_trades.json.gz",
+                [trade("T1", OFF_A, "LUMN", "P", "$1,001 - $15,000", "2024-06-03", DAYS[0])])
+    write_array(f"{wh.landing}/government_trades/{DAYS[1]}_government_trades.json.gz",
+                [trade("T9", OFF_A, "LUMN", "P", "Over $50,000,000", "2024-06-07", DAYS[1])])
+    with pytest.raises(AuditFailed):
+        daily.run_backfill(wh, DAYS[0], DAYS[1])
+    for name in ("int_gov_officials", "int_gov_official_trades", "int_market", "dim_scd_gov_officials"):
+        assert not wh.catalog.exists(name)
+
+
+def test_old_ticker_files_stay_and_an_empty_mirror_is_refused(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("tick")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l")
+    land_day(wh.landing, DAYS[0])
+    daily.sync_tickers(wh, "2024-06-10 06:00:00")
+    n = wh.catalog.read("stock_tickers").count()
+    daily.sync_tickers(wh, "2099-01-01 06:00:00")
+    assert n and wh.catalog.read("stock_tickers").count() == n
+    from civicledger.sources.store import EmptyVersionError
+    with pytest.raises(EmptyVersionError):
+        daily.sync_tickers(wh, "2099-01-01 06:00:00", refuse_empty=True, retention_days=7)
+    assert wh.catalog.read("stock_tickers").count() == n
+
+
+def test_landed_files_that_no_pattern_matches_raise(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("glob")
+    spark.createDataFrame([(1,)], "id int").write.json(f"{base}/l/government_trades")
+    wh = daily.Warehouse(spark, f"{base}/w", f"{base}/l", layout="lines")
+    with pytest.raises(FileNotFoundError, match="no file matches"):
+        daily.run_daily(wh, DAYS[0])
+
+
+def test_default_run_date_is_utc_yesterday():
+    import datetime as dt
+    assert daily.default_run_date(dt.date(2024, 3, 1)) == dt.date(2024, 2, 29)
+    assert daily.default_run_date() == dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+
+
 def test_command_line_exit_code_on_audit_failure(spark, tmp_path_factory, capsys):
     import json as _json
 

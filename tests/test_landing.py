@@ -103,6 +103,28 @@ def test_pages_data_field_and_array_landing(spark, tmpdir_):
     assert sorted(r.ticker for r in got.collect()) == ["X", "Y"]
     df = spark.createDataFrame([("A", 1), ("B", 2)], "t string, v int")
     landing.write_landing(df, f"{tmpdir_}/arr", "2024-06-10", layout="array")
-    back = spark.read.json(f"{tmpdir_}/arr")
-    assert back.count() == 2
-    assert len([n for n in os.listdir(f"{tmpdir_}/arr/ds=2024-06-10") if n.endswith(".json.gz")]) == 1
+    back = landing.read_landed(spark, f"{tmpdir_}/arr", df.schema, name_glob="*arr*")     # the default reader
+    assert sorted(map(tuple, back.collect())) == [("A", 1), ("B", 2)]
+    assert os.listdir(f"{tmpdir_}/arr") == ["ds=2024-06-10"]
+    many = spark.range(50).selectExpr("cast(id as string) t", "cast(id as int) v")
+    landing.write_landing(many, f"{tmpdir_}/arr", "2024-06-10", layout="array", rows_per_file=10)      # a re-run
+    assert sorted(r.v for r in landing.read_landed(spark, f"{tmpdir_}/arr", df.schema).collect()) == list(range(50))
+    assert len([n for n in os.listdir(f"{tmpdir_}/arr/ds=2024-06-10") if n.endswith(".json.gz")]) > 1
+
+
+def test_a_file_of_any_size_passes_the_error_policy(spark, tmpdir_):
+    """More than 128 MiB of records in one array: every row loads, both spellings included."""
+    rows = [{"status": "OK", "from": "2024-06-03", "symbol": f"S{k}", "open": 1.5, "volume": 7079.6,
+             ("afterHours" if k % 2 else "afterhours"): 2.5, "note": "x" * 1000} for k in range(150)]
+    os.makedirs(f"{tmpdir_}/big")
+    body = json.dumps(rows)[1:-1]
+    with gzip.open(f"{tmpdir_}/big/2024_market_close.json.gz", "wt", compresslevel=1) as f:
+        f.write("[" + ",".join([body] * 900) + "]")
+    n = 150 * 900
+    kept, report = landing.read_with_error_policy(spark, f"{tmpdir_}/big", schemas.MARKET_PATHS)
+    assert [(r.n_rows, r.n_bad, r.skipped) for r in report.collect()] == [(n, 0, False)]
+    got = landing.extract_market(kept)
+    assert got.where("after_hours = 2.5 and stock_volume = 7080").count() == n
+    typed = landing.extract_market_rows(landing.read_landed(
+        landing.case_sensitive(spark), f"{tmpdir_}/big", schemas.MARKET_CLOSE))
+    assert typed.where("after_hours = 2.5 and stock_volume = 7080").count() == n

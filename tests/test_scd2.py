@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from civicledger.operators import scd2
@@ -80,22 +81,20 @@ def test_partitioned_snapshot_equals_whole_table_apply(spark, tmpdir_):
     assert parts == {None, dt.date(2024, 2, 15), dt.date(2024, 3, 15)}
 
 
-def test_partitioned_snapshot_recovers_from_half_done_run(spark, tmpdir_):
-    """Closings written, open rows not: the re-run converges to the clean result."""
+def test_partitioned_snapshot_recovers_from_a_run_that_died(spark, tmpdir_, monkeypatch):
+    """Stopped before the publish, or repeated past midnight: every key is closed once."""
     from civicledger.plans import daily
+    from civicledger.sources.store import PartitionedTable
     wh = daily.Warehouse(spark, f"{tmpdir_}/w", f"{tmpdir_}/l")
     v1 = spark.createDataFrame([("a", "A", D(2024, 1, 1)), ("b", "B", D(2024, 1, 1))], SRC)
     v2 = spark.createDataFrame([("a", "A2", D(2024, 2, 1))], SRC)
     daily._snapshot(wh, "dim_y", v1, "member_id", "updated", "2024-01-15 00:00:00")
-    t = daily.dimension_table(wh, "dim_y", "member_id")
-    # first attempt of the next run dies after step (1): replay step (1) by hand
-    opened = t.read_partitions([None]).drop(daily.CLOSED_IN_RUN)
-    step = scd2.apply(opened, v2, "member_id", "updated", "2024-03-01 00:00:00")
-    from pyspark.sql import functions as F
-    t.replace_partitions(step.where(F.col(scd2.VALID_TO).isNotNull())
-                         .withColumn(daily.CLOSED_IN_RUN, F.lit(dt.date(2024, 3, 1))), [dt.date(2024, 3, 1)])
-    daily._snapshot(wh, "dim_y", v2, "member_id", "updated", "2024-03-01 00:00:00")   # the re-run
-    clean = scd2.apply(scd2.initial(v1, "member_id", "updated"), v2, "member_id", "updated",
-                       D(2024, 3, 1))
+    with monkeypatch.context() as m:
+        m.setattr(PartitionedTable, "_publish", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            daily._snapshot(wh, "dim_y", v2, "member_id", "updated", "2024-02-29 22:30:00")
+    for run in ("2024-02-29 23:59:00", "2024-03-01 01:29:00"):                 # the re-run, and one more
+        daily._snapshot(wh, "dim_y", v2, "member_id", "updated", run)
+    clean = scd2.apply(scd2.initial(v1, "member_id", "updated"), v2, "member_id", "updated", D(2024, 2, 29, 23, 59))
     got = sorted(map(tuple, daily.dimension(wh, "dim_y").select(*clean.columns).collect()), key=str)
     assert got == sorted(map(tuple, clean.collect()), key=str)

@@ -39,7 +39,8 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmpdir_):
     assert not t.exists()
     t.write(spark.createDataFrame([("a", 1, d1), ("b", 2, d2), ("c", 3, d3), ("z", 9, d3)], schema))
     assert t.exists()
-    untouched = f"{t.data_path}/report_date={d1}"
+    before_parts = t.manifest()["partitions"]
+    untouched = f"{t.data_path}/w={before_parts[str(d1)][0]}/report_date={d1}"
     before = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
     # "b" is re-reported on d4 (moves), "c" and "z" are replaced in place, "e" is new
     src = spark.createDataFrame([("b", 20, d4), ("c", 30, d3), ("z", 90, d3), ("e", 5, d4)], schema)
@@ -47,7 +48,8 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmpdir_):
     assert sorted(touched) == [d2, d3, d4]
     got = sorted(map(tuple, t.read().select("transaction_id", "v", "report_date").collect()))
     assert got == [("a", 1, d1), ("b", 20, d4), ("c", 30, d3), ("e", 5, d4), ("z", 90, d3)]
-    assert not os.path.exists(f"{t.data_path}/report_date={d2}")          # emptied partition removed
+    after_parts = t.manifest()["partitions"]
+    assert str(d2) not in after_parts and after_parts[str(d1)] == before_parts[str(d1)]   # emptied / kept
     after = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
     assert before == after                                                 # d1 never rewritten
 
@@ -57,3 +59,61 @@ def test_cluster_conf_sizes_shuffles():
     conf = cluster_conf(total_cores=8000, largest_shuffle_bytes=100 * 1024 ** 4)   # 100 TB
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600                       # 256 MB each
     assert int(cluster_conf(8000, 1024 ** 3)["spark.sql.shuffle.partitions"]) == 24000  # >= 3 per core
+
+
+def _partitioned(spark, root):
+    import datetime as dt
+
+    from civicledger.sources.store import PartitionedTable
+    t = PartitionedTable(spark, root, "d", ["k"])
+    days = [dt.date(2024, 6, i) for i in (1, 2)]
+    t.write(spark.createDataFrame([("a", 1, days[0]), ("b", 2, days[0]), ("c", 3, days[1])], SCHEMA), properties={"p": 1})
+    return t, days
+
+
+SCHEMA = "k string, v int, d date"
+
+
+@pytest.mark.parametrize("step", ["_write", "write_text", "rename"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_replace_that_dies_loses_nothing(spark, tmpdir_, monkeypatch, step, after):
+    """Stopped before or after each file step, readers see the old state or the new one; a re-run gives the clean result."""
+    from civicledger.operators.merge import upsert_partitions
+    t, days = _partitioned(spark, f"{tmpdir_}/t")
+    old = sorted(map(tuple, t.read().collect()))
+    new = sorted([("a", 10, days[0]), ("b", 2, days[0]), ("c", 3, days[1]), ("e", 5, days[1])])
+    src = spark.createDataFrame([("a", 10, days[0]), ("e", 5, days[1])], SCHEMA)
+    owner = t if step == "_write" else t._fs
+    real = getattr(owner, step)
+
+    def dying(*args):
+        if after:
+            real(*args)
+        raise OSError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(owner, step, dying)
+        with pytest.raises(OSError):
+            upsert_partitions(t, src, "k")
+    state = sorted(map(tuple, t.read().collect()))
+    assert state == (new if (step, after) == ("rename", True) else old)
+    upsert_partitions(t, src, "k")
+    assert sorted(map(tuple, t.read().collect())) == new and t.properties() == {"p": 1}
+
+
+def test_partitioned_rollback_vacuum_and_strays(spark, tmpdir_):
+    t, days = _partitioned(spark, f"{tmpdir_}/t")
+    old = sorted(map(tuple, t.read().collect()))
+    reader = t.read()                                             # resolved before the change
+    t.replace_partitions(spark.createDataFrame([("z", 9, days[1])], SCHEMA), [days[1]], properties={"p": 2})
+    assert t.properties() == {"p": 2} and sorted(map(tuple, reader.collect())) == old
+    assert t.rollback() == 1 and sorted(map(tuple, t.read().collect())) == old and t.properties() == {"p": 1}
+    with pytest.raises(ValueError):
+        t.replace_partitions(spark.createDataFrame([("z", 9, days[1])], SCHEMA), [days[0]])
+    t.replace_partitions(spark.createDataFrame([], SCHEMA), [days[0]])
+    assert [r.k for r in t.read().collect()] == ["c"]
+    assert t.vacuum(keep=1) and [r.k for r in t.read().collect()] == ["c"]
+    with pytest.raises(ValueError):
+        t.write(spark.createDataFrame([("q", 1, days[0])], SCHEMA),
+                validate=lambda df: (_ for _ in ()).throw(ValueError("bad")))
+    assert [r.k for r in t.read().collect()] == ["c"]
