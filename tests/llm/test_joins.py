@@ -104,8 +104,9 @@ def test_far_families_split_into_voronoi_cells(spark, monkeypatch):
     rng = np.random.default_rng(9)
     rows = [t for _ in range(12) for t in family(rng, 9, 80, 1)]
     sets = [shingles.shingle_sets([t.encode()], 5)[0] for t in rows]
-    members = spark.createDataFrame([(1, i, bytearray(jaccard_join.pack_text(t.encode())), len(rows))
-                                     for i, t in enumerate(rows)], "region long, point long, members binary, k long")
+    members = spark.createDataFrame([(1, i, bytearray(jaccard_join.pack_text(t.encode())), len(rows), False)
+                                     for i, t in enumerate(rows)],
+                                    "region long, point long, members binary, k long, inside boolean")
     up = Sets()
     for e in jaccard_join.join_regions(spark, Scratch(spark, "t"), members, 75, 5):
         for r in e.collect():
