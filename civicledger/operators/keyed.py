@@ -2,10 +2,9 @@
 
 Scale notes
 -----------
-* ``latest_per_key`` is an aggregate (``max_by`` over an ordering struct), not
-  a ``row_number`` window: the partial aggregate runs map-side, so a key that
-  holds a third of all rows leaves each map task as ONE row before the
-  shuffle.  A window would sort that whole key inside one task.
+* ``latest_per_key`` is ``row_number() = 1``: Spark's WindowGroupLimit keeps one
+  row per key and map task before the shuffle, so a key that holds a third of
+  all rows leaves each map task as ONE row.
 * ``duplicate_report`` / ``collapse_duplicates`` group on all columns; the
   partial count / distinct collapses hot duplicate groups map-side as well.
 """
@@ -14,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import DEDUP_WINDOW_DAYS
@@ -35,19 +34,10 @@ def latest_per_key(df: DataFrame, keys, order_by: Sequence[str], tiebreak: Seque
     tie-break columns are unique within a key.
     """
     keys = _names(keys)
-    parts: list[Column] = []
-    for i, c in enumerate(order_by):
-        if nulls_first:
-            parts.append(F.col(c).isNull().alias(f"_n{i}"))
-        parts.append(F.col(c).alias(f"_o{i}"))
-    for j, c in enumerate(tiebreak):
-        parts.append(F.col(c).alias(f"_t{j}"))
-    rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*parts))
-    return (df.groupBy(*keys)
-              .agg(picked.alias("_latest"))
-              .select(*[F.col(k) for k in keys], *[F.col(f"_latest.{c}").alias(c) for c in rest])
-              .select(*df.columns))
+    order: list[Column] = [F.col(c).desc_nulls_first() if nulls_first else F.col(c).desc_nulls_last() for c in order_by]
+    order += [F.col(c).desc_nulls_last() for c in tiebreak]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", first).where(F.col("_rank") == 1).select(*df.columns)
 
 
 def semi_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -124,14 +114,3 @@ def collapse_duplicates(df: DataFrame, date_col: str, as_of, days: int = DEDUP_W
         cond = e if cond is None else cond & e
     survivors = keyed_singles.join(group_keys, cond, "left_anti").select(*cols, *ignore)
     return survivors.unionByName(groups).unionByName(rest).select(*df.columns)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (the limit is pushed into the
-    scan).  Beyond the bound the frame is returned as is and AQE picks the join
-    from runtime sizes (shuffle join, or broadcast if it measures small).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

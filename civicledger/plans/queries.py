@@ -51,8 +51,10 @@ def _src_mkt(spark, d, raw: bool = False):
     return M.src_market(P.market_raw(spark, d) if raw else P.market(spark, d))
 
 
-def _before(df: DataFrame, date: str) -> DataFrame:
-    return df.where(F.col("report_date") < F.lit(date).cast("date"))
+def _outside(df: DataFrame, start: str, end: str | None = None) -> DataFrame:
+    """All rows but those reported from ``start`` to ``end``: what the table holds before the merge."""
+    inside = F.col("report_date").between(F.lit(start).cast("date"), F.lit(end or start).cast("date"))
+    return df.where(~F.coalesce(inside, F.lit(False)))
 
 
 def _audit_frames(spark, d) -> dict[str, DataFrame]:
@@ -164,19 +166,19 @@ def upsert_trades(spark, d):
     stale = (M.official_trades(src, P.RUN_DATE)
              .withColumn("security_name", F.lit("stale"))
              .withColumn("ownership", F.lit(None).cast("string")))
-    target = M.official_trades(_before(src, P.RUN_DATE)).unionByName(stale)
+    target = M.official_trades(_outside(src, P.RUN_DATE)).unionByName(stale)
     return merge.upsert(target, M.official_trades(src, P.RUN_DATE), "transaction_id")
 
 
 def upsert_officials(spark, d):
     src, st = _src(spark, d), P.states(spark, d)
-    return merge.upsert(M.officials(_before(src, P.RUN_DATE), st),
+    return merge.upsert(M.officials(_outside(src, P.RUN_DATE), st),
                         M.officials(src, st, P.RUN_DATE), "member_id")
 
 
 def upsert_market(spark, d):
     src, mkt = _src(spark, d), _src_mkt(spark, d)
-    return merge.upsert(M.market(mkt, _before(src, P.RUN_DATE)), M.market(mkt, src, P.RUN_DATE),
+    return merge.upsert(M.market(mkt, _outside(src, P.RUN_DATE)), M.market(mkt, src, P.RUN_DATE),
                         ["date_recorded", "ticker"])
 
 
@@ -190,7 +192,7 @@ def collapse_duplicates(spark, d):
 
 def backfill_officials_q(spark, d):
     src, st = _src(spark, d), P.states(spark, d)
-    published = M.officials(_before(src, P.BACKFILL_START), st)
+    published = M.officials(_outside(src, P.BACKFILL_START, P.BACKFILL_END), st)
     return backfill_officials(published, src, st, P.BACKFILL_START, P.BACKFILL_END)
 
 

@@ -30,13 +30,6 @@ def test_latest_equals_row_number(spark):
     assert sorted(map(tuple, ref.collect())) == sorted(map(tuple, got.collect()))
 
 
-def test_latest_is_partial_aggregate_not_window(spark):
-    df = spark.createDataFrame([("a", 1, "x")], "k string, u long, tb string")
-    plan = plan_text(keyed.latest_per_key(df, "k", ["u"], ["tb"]))
-    assert "Window" not in plan
-    assert plan.count("Aggregate") >= 2        # partial (map side) + final
-
-
 def test_collapse_duplicates_window(spark):
     d = dt.date
     rows = [
@@ -68,14 +61,6 @@ def test_semi_join_keeps_left_duplicates_and_ignores_nulls(spark):
     assert "LeftSemi" in plan_text(out)
 
 
-def test_broadcast_if_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in plan_text(spark.range(5).join(keyed.broadcast_if_bounded(small, 50), "id"),
-                                    "extended").lower()
-    assert keyed.broadcast_if_bounded(big, 50) is big
-
-
 def test_collapse_treats_null_as_blank_like_the_source(spark):
     d = dt.date(2024, 6, 1)
     df = spark.createDataFrame([("", d, "AAA"), ("", d, "AAA"), (None, d, "AAA"),   # '' group eats NULL row
