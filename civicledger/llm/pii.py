@@ -31,7 +31,8 @@ PATTERNS = {
     "day_date": r"(?<![0-9/.])[0-3]?[0-9]([/.])[0-3]?[0-9]\1(?:19|20)[0-9]{2}(?![0-9])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?1[ .-]?)?\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|(?:\+?1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}|\+1[2-9][0-9]{2}[2-9][0-9]{6})(?![0-9A-Za-z])",
+    # any three digits are an area or exchange where the layout is unmistakable: +1, or parentheses and a separator
+    "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|(?:1[ .-]?)?\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{6}|(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4})(?![0-9A-Za-z])",
     "intl_phone": r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9A-Za-z])",
 }
 #: Characters without which no pattern can match.
@@ -196,17 +197,19 @@ def ip(text: Column, key: str) -> Column:
 
 
 def phone(text: Column, key: str) -> Column:
-    """North American numbers: area and exchange keep a first digit from 2 to 9; a country code stays."""
-    eight = lambda i: (i == 0) | (i == 3)
-
-    def change(digits):
-        ten = _ints(F.substring(digits, F.length(digits) - 9, F.lit(10)))
-        ints = F.transform(ten, lambda d, i: F.when(eight(i), d - 2).otherwise(d))
-        new = feistel(ints, F.transform(ten, lambda _, i: F.when(eight(i), 8).otherwise(10)), key, "phone")
-        out = F.array_join(F.transform(new, lambda d, i: F.when(eight(i), d + 2).otherwise(d)).cast("array<string>"), "")
-        return _refill(text, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), out))
-
-    return let(_digits(text), change)
+    """North American numbers: a first digit of area or exchange stays within 2 to 9, or 0 to 1; a country code stays."""
+    first = lambda i: (i == 0) | (i == 3)
+
+    def change(x):
+        ten = x["ten"]
+        ints = F.transform(ten, lambda d, i: F.when(first(i) & (d > 1), d - 2).otherwise(d))
+        new = feistel(ints, F.transform(ten, lambda d, i: F.when(~first(i), 10).when(d > 1, 8).otherwise(2)), key, "phone")
+        out = F.array_join(F.transform(new, lambda d, i: F.when(first(i) & (F.get(ten, i) > 1), d + 2).otherwise(d))
+                           .cast("array<string>"), "")
+        return _refill(text, F.concat(F.substring(x["digits"], F.lit(1), F.length(x["digits"]) - 10), out))
+
+    return let(_digits(text), lambda digits: let(F.struct(
+        digits.alias("digits"), _ints(F.substring(digits, F.length(digits) - 9, F.lit(10))).alias("ten")), change))
 
 
 def intl_phone(text: Column, key: str) -> Column:

@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,33 @@ def test_formats_stay_valid_and_equal_values_linked(spark):
     assert datetime.datetime.strptime(us, "%m/%d/%Y") == datetime.datetime.strptime(dotted, "%d.%m.%Y")
 
 
+def test_phones_with_any_area(spark):
+    texts = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(076) 155-8046", "1 (386) 055-8046", "+1 076-555-8046", "+10765558046"]
+    got = one(spark, *texts)
+    for old, new in zip(texts, got, strict=True):
+        assert re.sub(r"\d", "9", old) == re.sub(r"\d", "9", new)
+        was, now = (re.sub(r"\D", "", t)[-10:] for t in (old, new))
+        assert was != now and all((was[i] > "1") == (now[i] > "1") for i in (0, 3))
+    assert got[4].replace(" ", "").replace("-", "") == got[5]
+    kept = ["(017) was seen", "2017 555-7713", "017-555-7713 of 12", "see (12) 555-7713"]
+    assert one(spark, *kept) == kept
+    many = [f"+1 ({k:03d}) 155-0000" for k in range(200)]
+    assert len(set(one(spark, *many))) == 200
+
+
+def test_no_phone_of_the_documents_survives(spark):
+    sf = Path("/root/testdata/sf0.1/documents.parquet")
+    if not sf.exists():
+        pytest.skip("no test data here")
+    of = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    docs = spark.read.parquet(str(sf)).where(F.col("text").rlike(of)).select("doc_id", "text")
+    old = {r.doc_id: re.findall(of, r.text) for r in docs.collect()}
+    new = {r.doc_id: re.findall(of, r.text) for r in pii.pseudonymise(docs, KEY).collect()}
+    assert sum(map(len, old.values())) > 100
+    for k, values in old.items():
+        assert len(values) == len(new[k]) and not any(a == b for a, b in zip(values, new[k], strict=True))
+
+
 def test_clean_and_invalid_text_stays(spark):
     texts = ["Section 4.0. of 12, 300.1.1.1, 1.2.3.4.5", "4041894974608796", "666-12-1234", "2021-02-30", "DE00 3704 0044 0532 0130 00",
              "prose without any of it.\nTwo lines: a = b", "", "ratio 3:4 @ home"]
