@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 
 #: Formats, in the order in which they are tried at a place. Fixed values.
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{DENSE}]]"
 PATTERNS = {
     "credential": r"""(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?["']?[A-Za-z0-9_+/.-]{6,128})""",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9][A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    # letters of any script; of scripts without spaces only a run of their own, as prose may stand right before a value
+    "email": rf"(?:(?<![{WORD}._%+-])[{WORD}_%+-][{WORD}._%+-]{{0,63}}|(?:(?<![{WORD}._%+-])[{WORD}_%+-][{WORD}._%+-]{{0,31}})?[{DENSE}]{{1,16}}(?:[._%+-][0-9]{{1,16}})?)@(?:[{WORD}][{WORD}-]{{0,62}}\.){{1,8}}[A-Za-z]{{2,24}}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "iso_date": r"(?<![0-9-])(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9](?![0-9]|-[0-9])",
@@ -35,6 +38,17 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|(?:1[ .-]?)?\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{6}|(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4})(?![0-9A-Za-z])",
     "intl_phone": r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![0-9A-Za-z])",
 }
+#: Kinds whose greedy pattern may take in what stands beside a value: their valid parts are found first.
+CHECKED = ("iban", "card")
+#: Marks around such a part while a text is scanned again; their first character is escaped where a text holds it.
+MARK = "\ue000"
+OPEN, SHUT, OWN = MARK + "<", MARK + ">", MARK + "!"
+#: Layouts in which a card may also begin behind other digits.
+CARD_LAYOUT = "^(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+                22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+                26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL", 29: "BR PS QA UA", 30: "JO KW MU",
+                31: "MT SC", 32: "LC"}
 #: Characters without which no pattern can match.
 NEEDED = "[0-9@=:]"
 ROUNDS = 8
@@ -84,19 +98,38 @@ def _is(c: Column, low: str, high: str) -> Column:
     return (_code(c) >= ord(low)) & (_code(c) <= ord(high)) & (F.octet_length(c) == 1)
 
 
+#: Ranges of letters beyond ASCII (first, number) that are permuted as one class; other letters within 16 code points.
+LETTERS = ((0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8), (0x100, 432), (0x390, 64), (0x400, 128), (0x1E00, 256),
+           (0x3400, 6592), (0x4E00, 20992), (0xAC00, 11168), (0x20000, 42720))
+
+
+def _range(c: Column, of) -> Column:
+    """``of`` (first, number) of the letters that ``c`` (beyond ASCII) is permuted within."""
+    code, out = _code(c), None
+    for low, n in LETTERS:
+        out = (F if out is None else out).when((code >= low) & (code < low + n), of(F.lit(low), F.lit(n)))
+    return out.otherwise(of(code - F.pmod(code, F.lit(16)), F.lit(16)))
+
+
+def _far(c: Column) -> Column:
+    return c.rlike(r"^[\p{L}\p{M}\p{N}&&[^\x00-\x7f]]$")
+
+
 def _size(c: Column) -> Column:
-    return F.when(_is(c, "0", "9"), 10).when(_is(c, "a", "z") | _is(c, "A", "Z"), 26).otherwise(1)
+    return (F.when(_is(c, "0", "9"), 10).when(_is(c, "a", "z") | _is(c, "A", "Z"), 26)
+            .when(_far(c), _range(c, lambda low, n: n)).otherwise(1))
 
 
 def _value(c: Column) -> Column:
     return (F.when(_is(c, "0", "9"), _code(c) - 48).when(_is(c, "a", "z"), _code(c) - 97)
-            .when(_is(c, "A", "Z"), _code(c) - 65).otherwise(0))
+            .when(_is(c, "A", "Z"), _code(c) - 65).when(_far(c), _code(c) - _range(c, lambda low, n: low)).otherwise(0))
 
 
 def _char(c: Column, v: Column) -> Column:
     """The character of ``c``'s class with value ``v``."""
+    far = F.decode(F.unhex(F.lpad(F.hex((_range(c, lambda low, n: low) + v).cast("long")), 8, "0")), "UTF-32")
     return (F.when(_is(c, "0", "9"), F.char(v + 48)).when(_is(c, "a", "z"), F.char(v + 97))
-            .when(_is(c, "A", "Z"), F.char(v + 65)).otherwise(c))
+            .when(_is(c, "A", "Z"), F.char(v + 65)).when(_far(c), far).otherwise(c))
 
 
 def by_class(text: Column, key: str, kind: str) -> Column:
@@ -281,28 +314,103 @@ KINDS = {"credential": credential, "email": email, "iban": iban, "ssn": ssn, "is
          "day_date": day_date, "ip": ip, "card": card, "phone": phone, "intl_phone": intl_phone}
 
 
+def card_end(m: Column, i: Column) -> Column:
+    """Last place of a valid card that begins at place ``i`` of a match: of the network's usual length, or the longest."""
+    part = lambda e: F.substring(m, i, e - i + 1)
+    usual = F.when(F.substring(m, i, F.lit(2)).rlike("^3[47]"), 15).when(
+        F.substring(m, i, F.lit(2)).rlike("^3[068]"), 14).otherwise(16)
+    ends = F.filter(F.sequence(F.lit(1), F.length(m)), lambda e: (e >= i + 12) & F.substring(m, e, F.lit(2)).rlike(
+        "^[0-9](?:[ -]|$)") & F.length(_digits(part(e))).between(13, 19) & (
+        (i == 1) | part(e).rlike(CARD_LAYOUT)) & (F.pmod(luhn_sum(_digits(part(e)), 1), F.lit(10)) == 0))
+    return let(ends, lambda x: F.coalesce(F.get(F.filter(
+        x, lambda e: F.length(_digits(part(e))) == usual), F.lit(0)), F.array_max(x)))
+
+
+def iban_end(m: Column, i: Column) -> Column:
+    """Last place of a valid IBAN that begins at place ``i`` of a match: of its country's length, or the longest."""
+    part = lambda e: F.substring(m, i, e - i + 1)
+    flat = lambda e: F.replace(part(e), F.lit(" "), F.lit(""))
+    usual = F.lit(0)
+    for n, countries in IBAN_LENGTHS.items():
+        usual = F.when(F.substring(m, i, F.lit(2)).isin(countries.split()), n).otherwise(usual)
+    ends = F.filter(F.sequence(F.lit(1), F.length(m)), lambda e: (e >= i + 11) & F.substring(m, e, F.lit(2)).rlike(
+        "^[A-Z0-9](?: |$)") & part(e).rlike(f"^{PATTERNS['iban']}$") & (
+        mod97(F.concat(F.substring(flat(e), F.lit(5), F.length(flat(e))), F.substring(flat(e), 1, 4))) == 1))
+    return let(ends, lambda x: F.coalesce(F.get(F.filter(
+        x, lambda e: F.length(flat(e)) == usual), F.lit(0)), F.array_max(x)))
+
+
+ENDS = {"iban": iban_end, "card": card_end}
+
+
+def mark_match(m: Column, kind: str) -> Column:
+    """A match of a checked kind with marks around its valid parts, from left to right."""
+    places = F.filter(F.sequence(F.lit(1), F.length(m)), lambda i: (
+        (i == 1) | F.substring(m, i - 1, F.lit(1)).isin(" ", "-")) & (F.substring(m, i, F.lit(1)) != " "))
+
+    def step(s, i):
+        def put(e):
+            return F.when(e.isNull(), s).otherwise(F.struct(
+                F.concat(s["out"], F.substring(m, s["at"], i - s["at"]), F.lit(OPEN), F.substring(m, i, e - i + 1),
+                         F.lit(SHUT)).alias("out"), (e + 1).alias("at")))
+        return F.when(i < s["at"], s).otherwise(let(ENDS[kind](m, i), put))
+
+    return F.aggregate(places, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step,
+                       lambda s: F.concat(s["out"], F.substring(m, s["at"], F.length(m))))
+
+
+def _scan(text: Column, pattern: str, new) -> Column:
+    """``text`` with ``new`` of every match of ``pattern`` in its place."""
+    parts = F.zip_with(F.split(text, pattern, -1), F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), new),
+                       lambda gap, n: F.concat(gap, F.coalesce(n, F.lit(""))))
+    return F.array_join(parts, "")
+
+
+def mark(text: Column, kind: str) -> Column:
+    """Marks the valid values of a checked kind. The second scan starts from other places, as parts are marked then."""
+    raw, done = PATTERNS[kind], CHECKED[:CHECKED.index(kind)]
+    pattern = _any({k: _marked(k) for k in done} | {kind: f"{_marked(kind)}|{raw}"})
+
+    def scan(t):
+        return F.when(t.rlike(raw), _scan(t, pattern, lambda m: F.when(
+            m.rlike(f"^(?:{raw})$"), mark_match(m, kind)).otherwise(m))).otherwise(t)
+
+    return let(scan(text), scan)
+
+
 def pseudonym(match: Column, key: str) -> Column:
     """The pseudonym of one found value, by the first kind whose whole pattern it has."""
-    out = None
+    out = F
     for kind, make in KINDS.items():
-        whole = match.rlike(f"^(?:{PATTERNS[kind]})$")
-        out = F.when(whole, make(match, key)) if out is None else out.when(whole, make(match, key))
+        if kind in CHECKED:
+            inner = F.substring(match, F.lit(len(OPEN) + 1), F.length(match) - len(OPEN) - len(SHUT))
+            out = out.when(match.rlike(f"^{_marked(kind)}$"), let(inner, lambda v: make(v, key)))  # noqa: B023
+        else:
+            out = out.when(match.rlike(f"^(?:{PATTERNS[kind]})$"), make(match, key))
     return out.otherwise(match)
 
 
-def _any() -> str:
+def _marked(kind: str) -> str:
+    return f"{OPEN}{PATTERNS[kind]}{SHUT}"
+
+
+def _any(other: dict[str, str] | None = None) -> str:
     # the group of day_date gets a name of its own, so that its back reference holds within the alternatives
-    return "|".join(p.replace("([/.])", "(?<sep>[/.])").replace(r"\1", r"\k<sep>") for p in PATTERNS.values())
+    return "|".join(p.replace("([/.])", "(?<sep>[/.])").replace(r"\1", r"\k<sep>")
+                    for p in (PATTERNS | (other or {})).values())
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with every found value of ``text_col`` replaced; all columns and rows stay."""
     text = F.col(text_col)
-    found = F.regexp_extract_all(text, F.lit(_any()), F.lit(0))
-    gaps = F.split(text, _any(), -1)
-    parts = F.zip_with(gaps, F.transform(found, lambda m: pseudonym(m, key)),
-                       lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    return docs.withColumn(text_col, F.when(text.rlike(NEEDED), F.array_join(parts, "")).otherwise(text))
+    pattern = _any({k: _marked(k) for k in CHECKED})
+    new = F.replace(text, F.lit(MARK), F.lit(OWN))
+    for kind in CHECKED:
+        new = let(new, lambda t: mark(t, kind))  # noqa: B023
+    new = let(new, lambda t: _scan(t, pattern, lambda m: pseudonym(m, key)))
+    for shown, hidden in ((OPEN, ""), (SHUT, ""), (OWN, MARK)):
+        new = F.replace(new, F.lit(shown), F.lit(hidden))
+    return docs.withColumn(text_col, F.when(text.rlike(NEEDED), new).otherwise(text))
 
 
 def values_found(text: Column) -> Column:

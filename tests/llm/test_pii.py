@@ -93,6 +93,34 @@ def test_no_phone_of_the_documents_survives(spark):
         assert len(values) == len(new[k]) and not any(a == b for a, b in zip(values, new[k], strict=True))
 
 
+def test_values_beside_other_characters(spark):
+    cards = {"4111 1111 1111 1111": ["%s 12/27", "%s 123", "%s BIC", "no. 12 %s", "%s 078-05-1120", "\ue000< %s 12 \ue000"],
+             "4111111111111111": ["%s 123", "%s 12/27", "%s 12 4222222222222", "(%s)"], "3782 822463 10005": ["%s 1234"]}
+    ibans = {"BE68 5390 0754 7034": ["%s BIC GEBABEBB", "%s PLEASE", "REF1 %s", "%s BE68 5390 0754 7034"],
+             "DE89370400440532013000": ["%s BIC COBADEFF", "%s 4111 1111 1111 1111"]}
+    for values, valid in ((cards, luhn), (ibans, iban_ok)):
+        for value, layouts in values.items():
+            alone, *got = one(spark, value, *(layout % value for layout in layouts))
+            assert alone != value and valid(alone.replace(" ", ""))
+            for layout, new in zip(layouts, got, strict=True):
+                before, _, after = layout.partition("%s")
+                assert new.startswith(before + alone)
+                if not re.search("[0-9]{3}.*[0-9]{4}", after):
+                    assert new == layout % alone
+                else:
+                    assert after not in new
+
+
+def test_emails_of_any_script(spark):
+    texts = ["andré.92@mail2.example.com", "jürgen@müller.de", "иван.петров@example.com", "李雷@example.com"]
+    got = one(spark, *texts)
+    for old, new in zip(texts, got, strict=True):
+        assert len(new) == len(old) and new.endswith(old[old.rindex("."):])
+        assert [not c.isalnum() and c for c in old] == [not c.isalnum() and c for c in new]
+        assert sum(a == b for a, b in zip(old.split("@")[0], new.split("@")[0], strict=True)) <= 2
+    assert one(spark, "联系bob@example.com")[0] == "联系" + one(spark, "bob@example.com")[0]
+
+
 def test_clean_and_invalid_text_stays(spark):
     texts = ["Section 4.0. of 12, 300.1.1.1, 1.2.3.4.5", "4041894974608796", "666-12-1234", "2021-02-30", "DE00 3704 0044 0532 0130 00",
              "prose without any of it.\nTwo lines: a = b", "", "ratio 3:4 @ home"]
