@@ -6,11 +6,14 @@ sample, again and again until a shard is small. Each shard's task builds a flat
 graph (nearest candidates and some far ones, robustly pruned, edges in both
 directions) and runs a greedy search for every point from the shard's medoid; a
 search that has found points in range goes on expanding them until none is new.
-The adjacency lists of all shards are united; their edges in range and the links
-that the searches found, verified in double precision, connect points into
-components, and inside a component every pair is verified exactly. A recall
-audit compares a bounded sample of points with a brute-force scan of all rows;
-below the floor the graph is built again with twice the overlap.
+The adjacency lists of all shards are united, and in rounds every point visits
+the other shards of the nearest points it knows and of those it got linked with,
+until there is none new; a visit compares it with the whole shard. Links, verified
+in double precision, connect points into components, and inside a component
+every pair is verified exactly. A recall audit compares a sample of points,
+stratified by the size of their component, with a brute-force scan of all rows;
+below the floor the graph is built again with twice the overlap, and after the
+last attempt every point visits every shard of its label.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label or id, link with nothing; vectors of
@@ -38,8 +41,12 @@ ALPHA = 1.2
 BEAM = 32
 #: Points expanded by one search at most; the exact verification of components makes up for the rest.
 EXPAND = 512
+#: Nearest known points whose shards a point visits.
+BEST = 8
+VISITORS = 256
 BLOCK = 1024
-AUDIT = 256
+#: Points audited of each size class of components (four times as many of single points); classes up to SMALL are one group.
+AUDIT, SMALL = 64, 64
 
 
 def _vectors(column) -> list[np.ndarray]:
@@ -140,7 +147,7 @@ def search(near: np.ndarray, adj: np.ndarray, start: int, least: float) -> np.nd
 
 
 def _shard_graphs(least: float):
-    """Rows (shard, point, v), sorted by shard -> (point, neighbours, linked): adjacency and a forest of verified links."""
+    """Rows (shard, point, v), sorted by shard -> (point, neighbours, sims, linked): adjacency, nearest first, and a forest of verified links."""
 
     def flush(rows):
         x = np.stack([r[2] for r in rows]).astype(np.float64)
@@ -172,7 +179,12 @@ def _shard_graphs(least: float):
                     linked[i] = ids[j].tolist()
                     left[j] = False
                     queue += j.tolist()
-        return [(int(ids[i]), ids[adj[i][adj[i] >= 0]].tolist(), linked[i]) for i in range(len(rows))]
+        out = []
+        for i in range(len(rows)):
+            nbr = np.unique(adj[i][adj[i] >= 0])
+            nbr = nbr[np.argsort(-near[i, nbr], kind="stable")]
+            out.append((int(ids[i]), ids[nbr].tolist(), near[i, nbr].tolist(), linked[i]))
+        return out
 
     def run(batches):
         held: list = []
@@ -180,7 +192,8 @@ def _shard_graphs(least: float):
         def out(got):
             return pa.RecordBatch.from_arrays(
                 [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.list_(pa.int64())),
-                 pa.array([g[2] for g in got], pa.list_(pa.int64()))], ["point", "neighbours", "linked"])
+                 pa.array([g[2] for g in got], pa.list_(pa.float32())), pa.array([g[3] for g in got], pa.list_(pa.int64()))],
+                ["point", "neighbours", "sims", "linked"])
 
         for b in batches:
             for r in zip(b.column("shard").to_pylist(), b.column("point").to_pylist(), _vectors(b.column("v")),
@@ -303,6 +316,108 @@ def deal(spark: SparkSession, scratch: Scratch, points: DataFrame, overlap: int,
     return out.dropDuplicates(["shard", "point"])
 
 
+# --- search across shards -------------------------------------------------------------------
+
+def _visit(least: float):
+    """Rows (shard, salt, visitor, point, v, comp), members first -> (q, near, sims, linked) of every visitor.
+
+    ``near`` are the shard's points nearest to the visitor, ``linked`` one verified
+    point in range of every component but its own.
+    """
+
+    def meet(members, visitors):
+        ids, comps = (np.array([m[k] for m in members], np.int64) for k in (0, 2))
+        x, y = (np.stack([r[1] for r in rows]).astype(np.float64) for rows in (visitors, members))
+        sims = cosines(x, y)
+        best = np.argsort(-sims, axis=1, kind="stable")[:, :BEST]
+        linked = []
+        for (_, _, own), hit in zip(visitors, sims >= least, strict=True):
+            j = np.flatnonzero(hit & (comps != own))
+            linked.append(ids[j[np.unique(comps[j], return_index=True)[1]]].tolist())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in visitors], pa.int64()), pa.array(ids[best].tolist(), pa.list_(pa.int64())),
+             pa.array(np.take_along_axis(sims, best, axis=1).tolist(), pa.list_(pa.float32())),
+             pa.array(linked, pa.list_(pa.int64()))], ["q", "near", "sims", "linked"])
+
+    def run(batches):
+        now, members, visitors = None, [], []
+        for b in batches:
+            for shard, salt, visitor, point, v, comp in zip(
+                    *(b.column(c).to_pylist() for c in ("shard", "salt", "visitor", "point")), _vectors(b.column("v")),
+                    b.column("comp").to_pylist(), strict=True):
+                if (shard, salt) != now:
+                    if visitors:
+                        yield meet(members, visitors)
+                    now, members, visitors = (shard, salt), [], []
+                (visitors if visitor else members).append((point, v, comp))
+                if len(visitors) == VISITORS:
+                    yield meet(members, visitors)
+                    visitors = []
+        if visitors:
+            yield meet(members, visitors)
+    return run
+
+
+def _nearest(known: DataFrame) -> DataFrame:
+    """(q, c, sim) -> the BEST nearest of every q."""
+    return known.groupBy("q").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("sim")).alias("d"), "c"))), 1, BEST)
+                                  .alias("k")).select("q", F.explode("k").alias("k")).select(
+        "q", F.col("k.c").alias("c"), (-F.col("k.d")).alias("sim"))
+
+
+def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: DataFrame, lists: DataFrame,
+           components: DataFrame, least: float, name: str, everywhere: bool = False) -> DataFrame | None:
+    """Verified links (src, dst) between components that visits to other shards find; None where no part has other shards.
+
+    A round's visits are the shards of the nearest points that a point knows (at
+    first from ``lists``, united) and of the points it got linked with, without
+    those it is in or has visited. ``everywhere``: all shards of its part.
+    """
+    comp = points.select("point", "part").join(components, F.col("point") == F.col("id"), "left").select(
+        "point", "part", F.coalesce("component", "point").alias("comp"))
+    members = scratch.stage(shards.join(comp, "point"), f"{name}-members")
+    many = members.groupBy("part").agg(F.countDistinct("shard").alias("s")).where("s > 1").select("part")
+    members = scratch.stage(members.join(many, "part", "left_semi"), f"{name}-split")
+    if members.isEmpty():
+        return None
+    home = members.select("shard", F.col("point").alias("c"))
+    people = members.select("part", "point", "v", "comp").dropDuplicates(["point"])
+    seen = members.select(F.col("point").alias("q"), "shard")
+    if everywhere:
+        asked = people.select("part", F.col("point").alias("q")).join(members.select("part", "shard").distinct(), "part")
+    else:
+        best = scratch.stage(_nearest(lists.join(members.select("point").distinct(), "point", "left_semi").select(
+            F.col("point").alias("q"), F.explode(F.arrays_zip("neighbours", "sims")).alias("k")).select(
+            "q", F.col("k.neighbours").alias("c"), F.col("k.sims").alias("sim"))), f"{name}-best")
+        asked = best.join(home, "c")
+    links, rnd = None, 0
+    while True:
+        visits = scratch.stage(asked.select("q", "shard").distinct().join(seen, ["q", "shard"], "left_anti"),
+                               f"{name}-visits-{rnd}")
+        if visits.isEmpty():
+            return links if links is not None else visits.select(F.col("q").alias("src"), F.col("q").alias("dst"))
+        salted = visits.groupBy("shard").agg((F.floor(F.count(F.lit(1)) / 4096) + 1).cast("int").alias("salts"))
+        rows = members.join(salted, "shard").select(
+            "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("visitor"),
+            "point", "v", "comp").unionByName(
+            visits.join(salted, "shard").join(people.withColumnRenamed("point", "q"), "q").select(
+                "shard", F.pmod(F.xxhash64("q"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("visitor"),
+                F.col("q").alias("point"), "v", "comp"))
+        met = scratch.stage(
+            rows.repartition(_width(spark), "shard", "salt").sortWithinPartitions("shard", "salt", "visitor", "point")
+            .mapInArrow(_visit(least), "q bigint, near array<bigint>, sims array<float>, linked array<bigint>"),
+            f"{name}-met-{rnd}")
+        found = met.select(F.col("q").alias("src"), F.explode("linked").alias("dst"))
+        links = found if links is None else links.unionByName(found)
+        if everywhere:
+            return links
+        known = met.select("q", F.explode(F.arrays_zip("near", "sims")).alias("k")).select(
+            "q", F.col("k.near").alias("c"), F.col("k.sims").alias("sim"))
+        best = scratch.stage(_nearest(best.unionByName(known)), f"{name}-best-{rnd}")
+        asked = best.select("q", "c").unionByName(found.select(F.col("src").alias("q"), F.col("dst").alias("c"))).join(home, "c")
+        seen, rnd = scratch.stage(seen.unionByName(visits.select("q", "shard")), f"{name}-seen-{rnd}"), rnd + 1
+
+
 # --- exact verification ---------------------------------------------------------------------
 
 def _verify(least: float):
@@ -388,18 +503,31 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
     points = scratch.stage(rows.where("point is not null").groupBy("point", "part", "v").agg(
         F.count(F.lit(1)).alias("copies"), F.min("id").alias("id")), "points")
     attempt = 0
+
+    def joined(parts, everywhere, name):
+        more = across(spark, scratch, points, shards, united, parts, least, name, everywhere)
+        if more is None:
+            return parts
+        edges = more.unionByName(parts.select(F.col("id").alias("src"), F.col("component").alias("dst")))
+        return scratch.stage(connected_components(scratch, edges, f"{name}-join"), f"{name}-components")
+
     while True:
-        shards = deal(spark, scratch, points, overlap, f"deal-{attempt}")
+        shards = scratch.stage(deal(spark, scratch, points, overlap, f"deal-{attempt}"), f"shards-{attempt}")
         graph = scratch.stage(
             shards.repartition(_width(spark), "shard").sortWithinPartitions("shard", "point")
-            .mapInArrow(_shard_graphs(least), "point bigint, neighbours array<bigint>, linked array<bigint>"),
+            .mapInArrow(_shard_graphs(least), "point bigint, neighbours array<bigint>, sims array<float>, linked array<bigint>"),
             f"graph-{attempt}")
         # lists of all shards united: their links meet in the points that shards share
-        united = graph.groupBy("point").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"),
+        united = graph.groupBy("point").agg(F.flatten(F.collect_list("neighbours")).alias("neighbours"),
+                                            F.flatten(F.collect_list("sims")).alias("sims"),
                                             F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked"))
         links = united.select(F.col("point").alias("src"), F.explode("linked").alias("dst"))
         components = scratch.stage(connected_components(scratch, links, f"join-{attempt}"), f"components-{attempt}")
+        components = joined(components, False, f"across-{attempt}")
         recall = audit(spark, points, components, least)
+        if recall < recall_floor and attempt == 3:
+            components = joined(components, True, "everywhere")
+            recall = audit(spark, points, components, least)
         if recall >= recall_floor or attempt == 3:
             break
         overlap, attempt = 2 * overlap, attempt + 1

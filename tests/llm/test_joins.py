@@ -217,6 +217,22 @@ def test_near_duplicates(spark, monkeypatch, small):
     assert neardup_graph.near_duplicates(spark, df.where("false")).collect() == []
 
 
+def test_near_duplicates_across_shards(spark, monkeypatch):
+    """Pairs whose points share no shard: found by visits, without the audit's second build."""
+    for name, value in (("SHARD", 24), ("SHARD_MOST", 60), ("SAMPLE", 400)):
+        monkeypatch.setattr(neardup_graph, name, value)
+    rng = np.random.default_rng(8)
+    x = neardup_graph.unit(rng.normal(size=(600, 16)))
+    y = neardup_graph.unit(x + 0.075 * rng.normal(size=x.shape))
+    rows = [(k, [float(c) for c in v], 1) for k, v in enumerate(np.concatenate([x, y]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in neardup_graph.near_duplicates(spark, df, recall_floor=0.0).collect()}
+    near = np.concatenate([x, y]) @ np.concatenate([x, y]).T
+    pairs = [(i, j) for i, j in np.argwhere(near >= 0.93) if i < j]
+    lost = [p for p in pairs if got[p[0]].component_id != got[p[1]].component_id]
+    assert len(pairs) > 300 and len(lost) <= 0.01 * len(pairs)
+
+
 def test_pruned_graph_search_finds_what_is_in_range():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(40, 32))
