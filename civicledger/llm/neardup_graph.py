@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bitsliced import usable
@@ -457,18 +457,35 @@ def _counts(out) -> pa.RecordBatch:
                                        pa.array([int(o[1]) for o in out], pa.int64())], ["point", "n"])
 
 
+def recall_of(strata) -> float:
+    """Lower of two recalls, of components of at most SMALL points and of larger ones, from (size class, points,
+    sampled, linked, whole) rows: share of the points with links whose links all lie inside their component."""
+    out = 1.0
+    for small in (True, False):
+        some = [s for s in strata if (2 ** s[0] <= SMALL) == small and s[2]]
+        linked = sum(n / k * a for _, n, k, a, _ in some)
+        if linked:
+            out = min(out, sum(n / k * w for _, n, k, _, w in some) / linked)
+    return out
+
+
 def audit(spark: SparkSession, points: DataFrame, components: DataFrame, least: float) -> float:
-    """Share of the links of a bounded sample of points, by brute force over all points, that lie inside components."""
+    """``recall_of`` a sample of every size class of components, single points included, by brute force over all points."""
     joined = points.join(components, points["point"] == components["id"], "left").select(
         "part", "point", "v", F.coalesce("component", "point").alias("component"))
-    asked = joined.orderBy(F.xxhash64("point", F.lit("audit"))).limit(AUDIT).collect()
-    if not asked:
+    sizes = joined.groupBy("component").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("size"))
+    sized = joined.join(sizes, "component")
+    number = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not number:
         return 1.0
+    nth = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("point", F.lit("audit")), "point"))
+    asked = sized.withColumn("nth", nth).where(
+        F.col("nth") <= F.when(F.col("size") == 0, 4 * AUDIT).otherwise(AUDIT)).drop("nth").collect()
     shared = spark.sparkContext.broadcast([(r["part"], r["point"], np.array(r["v"]), r["component"]) for r in asked])
 
     def scan(batches):
         for b in batches:
-            links = kept = 0
+            total: dict = {}
             part, point, comp = (np.array(b.column(c).to_pylist(), np.int64) for c in ("part", "point", "component"))
             vectors = _vectors(b.column("v"))
             for p in set(part.tolist()):
@@ -479,13 +496,21 @@ def audit(spark: SparkSession, points: DataFrame, components: DataFrame, least:
                 x = np.stack([vectors[k] for k in at])
                 hit = cosines(np.stack([q[2] for q in queries]), x) >= least
                 hit &= np.array([q[1] for q in queries])[:, None] != point[at][None, :]
-                links += int(hit.sum())
-                kept += int((hit & (np.array([q[3] for q in queries])[:, None] == comp[at][None, :])).sum())
-            yield pa.RecordBatch.from_arrays([pa.array([links], pa.int64()), pa.array([kept], pa.int64())],
-                                             ["links", "kept"])
-
-    r = joined.mapInArrow(scan, "links bigint, kept bigint").agg(F.sum("links").alias("a"), F.sum("kept").alias("b")).first()
-    return 1.0 if not r["a"] else r["b"] / r["a"]
+                lost = hit & (np.array([q[3] for q in queries])[:, None] != comp[at][None, :])
+                total |= {q[1]: (int(h), int(n)) for q, h, n in zip(queries, hit.sum(axis=1), lost.sum(axis=1), strict=True)}
+            rows = [(q, h, n) for q, (h, n) in total.items() if h]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)],
+                                             ["point", "links", "lost"])
+
+    # at most one row a sampled point
+    seen = {r["point"]: r["lost"] for r in joined.mapInArrow(scan, "point bigint, links bigint, lost bigint").groupBy(
+        "point").agg(F.sum("lost").alias("lost")).collect()}
+    strata = []
+    for size, n in number.items():
+        ids = [r["point"] for r in asked if r["size"] == size]
+        strata.append((size, n, len(ids), sum(i in seen for i in ids), sum(seen.get(i) == 0 for i in ids)))
+    shared.unpersist()
+    return recall_of(strata)
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id",

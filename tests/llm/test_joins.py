@@ -233,6 +233,34 @@ def test_near_duplicates_across_shards(spark, monkeypatch):
     assert len(pairs) > 300 and len(lost) <= 0.01 * len(pairs)
 
 
+def test_audit_sees_lost_links_beside_a_large_group(spark):
+    """200 near copies in one component and 150 pairs, every second of them split: many links are kept, many points lost."""
+    rng = np.random.default_rng(9)
+    x = neardup_graph.unit(rng.normal(size=(151, 32)))
+    rows = [(k, 1, [float(c) for c in x[150] + 0.001 * rng.normal(size=32)]) for k in range(200)]
+    rows += [(1000 + 2 * k + t, 1, [float(c) for c in x[k] + 0.001 * t]) for k in range(150) for t in (0, 1)]
+    points = spark.createDataFrame(rows, "point long, part long, v array<double>")
+
+    def recall(split):
+        comps = [(p, 0 if p < 1000 else p - p % 2) for p, *_ in rows if p < 1000 or not (split and p % 4 < 2)]
+        return neardup_graph.audit(spark, points, spark.createDataFrame(comps, "id long, component long"), 0.93)
+
+    assert recall(False) == 1.0
+    assert recall(True) < 0.7
+
+
+def test_every_shard_is_visited_when_asked(spark):
+    """The last resort below the recall floor: all pairs of a label, here over shards that share no point."""
+    rng = np.random.default_rng(10)
+    x = neardup_graph.unit(rng.normal(size=(30, 16)))
+    rows = [(k, 1, [float(c) for c in v]) for k, v in enumerate(np.concatenate([x, x + 0.01]))]
+    points = spark.createDataFrame(rows, "point long, part long, v array<double>")
+    shards = points.select((F.col("point") / 20).cast("long").alias("shard"), "point", "v")
+    none = spark.createDataFrame([], "id long, component long")
+    got = neardup_graph.across(spark, Scratch(spark, "t"), points, shards, None, none, 0.93, "all", True)
+    assert {tuple(sorted(r)) for r in got.collect()} >= {(k, k + 30) for k in range(30)}
+
+
 def test_pruned_graph_search_finds_what_is_in_range():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(40, 32))
