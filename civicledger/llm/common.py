@@ -29,6 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def unused(columns, stem: str) -> str:
+    """A column name that none of ``columns`` has, compared without case."""
+    taken = {c.lower() for c in columns}
+    return next(name for name in (f"_{stem}" + "_" * k for k in range(len(taken) + 1)) if name not in taken)
+
+
 class Scratch:
     """Written tables in the shared folder: they cut lineage and survive lost executors."""
 

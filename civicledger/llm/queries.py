@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, jaccard_join, language, neardup_graph, packing, pii, quality, tokens, unigram, warc
+from . import (bitsliced, jaccard_join, language, license_scan, neardup_graph, packing, pii, quality, tokens, unigram,
+               vector_codes, warc)
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -122,7 +123,54 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text", "matches")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    coded, books = vector_codes.encode(spark, vectors, parts=8, entries=16, rounds=6, scale=4096, keep=("vec_id", "label"))
+    return (vector_codes.with_label_errors(coded).withColumn("codebooks_sha256", F.lit(books.digest()))
+            .select("vec_id", "code", "error", "label_error", "codebooks_sha256"))
+
+
+def _op12_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """The rounds written out: squared distances by joins, the least by a window, means by grouping."""
+    ctes = [f"""kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""", f"""cut AS MATERIALIZED (
+  SELECT vec_id, i // (len(c) // {parts}) AS p, i % (len(c) // {parts}) AS j, c[i + 1] AS v
+  FROM (SELECT vec_id, c, unnest(range(len(c))) AS i FROM kept)
+)""", f"""book0 AS MATERIALIZED (
+  SELECT p, e, j, v FROM cut JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept
+                                   QUALIFY e < {entries}) USING (vec_id)
+)"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""near{r} AS MATERIALIZED (
+  SELECT vec_id, p, e, far FROM (
+    SELECT vec_id, p, e, sum((x.v - b.v) * (x.v - b.v)) AS far FROM cut x JOIN book{r} b USING (p, j) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY far, e) = 1
+)""")
+        if r < rounds:
+            ctes.append(f"""book{r + 1} AS MATERIALIZED (
+  SELECT p, e, j, coalesce(n.v, b.v) AS v FROM book{r} b LEFT JOIN (
+    SELECT p, e, j, CAST(floor(CAST(sum(v) AS DOUBLE) / count(*)) AS BIGINT) AS v
+    FROM cut JOIN near{r} USING (vec_id, p) GROUP BY p, e, j) n USING (p, e, j)
+)""")
+    return "WITH " + ", ".join(ctes) + f""", coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, j)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_sentencepiece_unigram, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op7_neardup_graph, op8_bitsliced_top_k,
-    op9_token_counts, op10_language_id)}
-SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL, "op8_bitsliced_top_k": OP8_SQL}
+    op9_token_counts, op10_language_id, op11_license_scan, op12_vector_codes)}
+SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL, "op8_bitsliced_top_k": OP8_SQL,
+                       "op12_vector_codes": _op12_sql()}
