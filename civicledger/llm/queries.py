@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bitsliced, jaccard_join, language, license_scan, neardup_graph, packing, pii, quality, tokens, unigram,
-               vector_codes, warc)
+from . import (bitsliced, jaccard_join, language, license_scan, neardup_graph, packing, pii, prefix_trie, quality, tokens,
+               unigram, vector_codes, warc)
 from .common import Scratch, read_table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -169,8 +169,58 @@ FROM coded JOIN kept USING (vec_id)
 """
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.of_conversations(spark, read_table(spark, sf_dir, "conversations"),
+                                         lender=lambda c: c - c % 5, length=lambda c: remainder(c, 9))
+    return nodes.withColumnRenamed("saved", "saved_tokens")
+
+
+#: crc32 by its definition (reflected polynomial, bit by bit); nodes by their prefixes; sums over all pairs of a node and
+#: its descendants.
+OP13_SQL = """
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+hs AS (
+  SELECT c, c - c % 5 AS lender, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295) % 9 AS h
+  FROM ids
+), t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS r
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+plan AS (SELECT hs.c, lender, h, least(h, coalesce(n.n, 0)) AS taken FROM hs LEFT JOIN n ON n.c = hs.lender),
+built AS (
+  SELECT plan.c, taken + r - h AS place, role, text FROM plan JOIN t USING (c) WHERE r >= h
+  UNION ALL SELECT plan.c, r, role, text FROM plan JOIN t ON t.c = plan.lender WHERE r < taken
+), prefix AS MATERIALIZED (
+  SELECT c, CAST(place + 1 AS BIGINT) AS depth, strlen(text) AS bytes,
+         md5(string_agg(md5(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY place)) AS k
+  FROM built
+  UNION ALL SELECT c, 0, 0, '' FROM ids
+), node AS MATERIALIZED (
+  SELECT k, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM prefix GROUP BY k, depth
+), edge AS MATERIALIZED (
+  SELECT DISTINCT p.k, q.k AS up FROM prefix p JOIN prefix q ON q.c = p.c AND q.depth = p.depth - 1
+), child AS (SELECT up AS k, count(*) AS n_children FROM edge GROUP BY up),
+under AS MATERIALIZED (SELECT DISTINCT p.k, q.k AS low FROM prefix p JOIN prefix q ON q.c = p.c AND q.depth >= p.depth),
+total AS (
+  SELECT under.k, count(*) FILTER (child.n_children IS NULL) AS n_leaves, sum((node.n_convs - 1) * node.bytes) AS saved_tokens
+  FROM under JOIN node ON node.k = under.low LEFT JOIN child ON child.k = under.low GROUP BY under.k
+), ends AS (
+  SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest
+  FROM (SELECT c, arg_max(k, depth) AS k FROM prefix GROUP BY c) GROUP BY k
+)
+SELECT node.conv_id, node.depth, u.conv_id AS parent_conv_id, node.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM node JOIN total USING (k) LEFT JOIN child USING (k) LEFT JOIN ends USING (k)
+LEFT JOIN edge ON edge.k = node.k LEFT JOIN node u ON u.k = edge.up
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_sentencepiece_unigram, op3_quality_classifier, op4_feistel_pseudonyms, op5_warc_normaliser, op6_jaccard_join, op7_neardup_graph, op8_bitsliced_top_k,
-    op9_token_counts, op10_language_id, op11_license_scan, op12_vector_codes)}
+    op9_token_counts, op10_language_id, op11_license_scan, op12_vector_codes, op13_prefix_trie)}
 SQL: dict[str, str] = {"op5_warc_normaliser": OP5_SQL, "op8_bitsliced_top_k": OP8_SQL,
-                       "op12_vector_codes": _op12_sql()}
+                       "op12_vector_codes": _op12_sql(), "op13_prefix_trie": OP13_SQL}
