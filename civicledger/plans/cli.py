@@ -3,6 +3,7 @@
     spark-submit civicledger/plans/cli.py daily     --root R --landing L [--run-date D] [--as-of T]
     spark-submit civicledger/plans/cli.py backfill  --root R --landing L --start D --end D
     spark-submit civicledger/plans/cli.py freshness --root R --landing L [--as-of T]
+    spark-submit civicledger/plans/cli.py quarantine --root R --landing L
 
 ``--root`` and ``--landing`` name shared storage (HDFS / object store paths);
 the checkpoint folder comes from the cluster's ``spark.checkpoint.dir``.
@@ -26,11 +27,11 @@ import sys
 def parse(argv):
     ap = argparse.ArgumentParser(prog="civicledger")
     sub = ap.add_subparsers(dest="command", required=True)
-    for name in ("daily", "backfill", "freshness"):
+    for name in ("daily", "backfill", "freshness", "quarantine"):
         p = sub.add_parser(name)
         p.add_argument("--root", required=True, help="warehouse root on shared storage")
         p.add_argument("--landing", required=True, help="landing root of the three feeds")
-        p.add_argument("--layout", choices=("array", "lines"), default="array")
+        p.add_argument("--layout", choices=("array", "lines", "pages"), default="array")
         p.add_argument("--as-of", default=None, help="run time, 'YYYY-MM-DD HH:MM:SS' (default now, UTC)")
         if name == "daily":
             p.add_argument("--run-date", default=None, help="report date (default yesterday)")
@@ -40,6 +41,8 @@ def parse(argv):
             p.add_argument("--post-tests", choices=("incremental", "full"), default="incremental")
             p.add_argument("--allow-empty-tickers", action="store_true", help="publish an empty ticker mirror")
             p.add_argument("--ticker-retention-days", type=int, default=None)
+        p.add_argument("--on-error", choices=("abort", "skip-file"), default="abort",
+                       help="skip-file: keep files out in which more than a tenth of the records are bad, load the rest")
         p.add_argument("--any-file-name", action="store_true",
                        help="read every file of a feed's folder, not only those named after the feed")
         if name == "backfill":
@@ -53,7 +56,8 @@ def run(argv, spark=None) -> dict:
     from ..session import get_session
     from . import daily
     spark = spark or get_session(app=f"civicledger-{args.command}")
-    wh = daily.Warehouse(spark, args.root, args.landing, layout=args.layout, name_globs=not args.any_file_name)
+    wh = daily.Warehouse(spark, args.root, args.landing, layout=args.layout, name_globs=not args.any_file_name,
+                         on_error=args.on_error.replace("-", "_"))
     if args.command == "daily":
         res = daily.run_daily(wh, args.run_date, as_of=args.as_of,
                               materialize_fact=args.materialize_fact,
@@ -65,6 +69,8 @@ def run(argv, spark=None) -> dict:
     if args.command == "backfill":
         out = daily.run_backfill(wh, args.start, args.end, as_of=args.as_of)
         return {"command": "backfill", "start": args.start, "end": args.end, "result": out}
+    if args.command == "quarantine":
+        return {"command": "quarantine", "files": [r.asDict() for r in daily.quarantine(wh).collect()]}   # files kept out
     import datetime as dt
     as_of = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     rows = [r.asDict() for r in daily.source_freshness(wh, as_of).collect()]   # three rows

@@ -17,15 +17,15 @@ from __future__ import annotations
 import datetime as dt
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import keyed, merge, quality, scd2
-from ..sources import landing, schemas, seeds
+from ..sources import landing, ledger, schemas, seeds
 from ..sources.store import Catalog, PartitionedTable
-from ..streaming.incremental import BATCH_COL, load_new_files
 from . import backfill as BF
 from . import models as M
 
@@ -38,13 +38,20 @@ TICKER_SCD_COLUMNS = M.TICKER_COLUMNS + ["watermark_timestamp"]
 CLOSED_IN_RUN = "dbt_closed_in_run"
 
 # large tables changed partition by partition
-PARTITIONED = {"int_gov_official_trades": ("report_date", ["transaction_id"]),
+TRADES, PRICE_LOADS = "source/government_trades", "raw/market_close"
+PARTITIONED = {TRADES: ("report_date", ["transaction_id"]),
+               PRICE_LOADS: ("date_recorded", ["symbol"]),
+               "int_gov_official_trades": ("report_date", ["transaction_id"]),
                "int_market": ("date_recorded", ["ticker"]),
                "market_close_by_day": ("date_recorded", ["symbol"]),
                "dim_scd_gov_officials": (CLOSED_IN_RUN, ["member_id"]),
                "scd_tickers": (CLOSED_IN_RUN, ["ticker"])}
 
 
+# the ticker files that the mirror was last built from
+TICKER_FILES = "ledger_stock_tickers"
+
+
 def default_run_date(today: dt.date | None = None) -> dt.date:
     """Yesterday (UTC, like every time of the run), when no run date is supplied."""
     return (today or dt.datetime.now(dt.timezone.utc).date()) - dt.timedelta(days=1)
@@ -61,44 +68,43 @@ class Warehouse:
     """Table locations of one warehouse: landed feeds in, versioned tables out."""
 
     def __init__(self, spark: SparkSession, root: str, landing_root: str, layout: str = "array",
-                 name_globs: bool = True):
-        """``layout``: landed files are JSON arrays (the feeds' format) or JSON lines;
+                 name_globs: bool = True, on_error: str = "abort"):
+        """``layout``: landed files are JSON arrays (the feeds' format), JSON lines or pages of the API;
         ``name_globs``: select files by the feed name patterns (off for Spark-written
-        part files, whose folder already names the feed)."""
+        part files, whose folder already names the feed); ``on_error``: ``abort`` a load at a bad
+        value, or ``skip_file``: keep files with too many bad records out and load the rest."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.landing = landing_root.rstrip("/")
         self.layout = layout
         self.globs = name_globs
+        self.on_error = on_error
         self.catalog = Catalog(spark, self.root, partitioned=PARTITIONED)
 
-    # raw, append-only load targets (one partition per micro-batch)
+    # loaded files: rows carry the file that brought them
     @property
     def trades_path(self) -> str:
-        return f"{self.root}/source/government_trades"
+        return f"{self.root}/{TRADES}"
 
     @property
     def market_loads_path(self) -> str:
-        return f"{self.root}/raw/market_close"
+        return f"{self.root}/{PRICE_LOADS}"
 
     def _exists(self, path: str) -> bool:
         from ..sources.store import _FS
         return _FS(self.spark, path).exists(path)
 
-    def trades_source(self) -> DataFrame:
-        return self.spark.read.parquet(self.trades_path).drop(BATCH_COL)
+    def trades_source(self, dates=None) -> DataFrame:
+        """The loaded trades, or only those of the report dates ``dates`` (no other folder is listed)."""
+        t = self.catalog.table(TRADES)
+        return (t.read() if dates is None else t.read_partitions(dates)).drop(ledger.FILE)
 
     def prices(self, dates=None) -> DataFrame:
-        """The price source (all of it, or only ``dates``); empty before the first load.
-
-        Rows carry the load batch that brought them (``_batch``, bookkeeping
-        for recovery); the models select their columns by name.
-        """
+        """The price source (all of it, or only ``dates``); empty before the first load."""
         t = self.catalog.table("market_close_by_day")
-        schema = T.StructType(schemas.MARKET_SOURCE.fields + [T.StructField(BATCH_COL, T.LongType())])
         if dates is not None:
-            return t.read_partitions(dates, schema=schema)
-        return t.read() if t.exists() else self.spark.createDataFrame([], schema)
+            return t.read_partitions(dates, schema=schemas.MARKET_SOURCE)
+        return t.read() if t.exists() else self.spark.createDataFrame([], schemas.MARKET_SOURCE)
 
     def states(self) -> DataFrame:
         t = self.catalog.table("states")
@@ -114,15 +120,28 @@ def _empty(spark: SparkSession, like: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # steps
 # ---------------------------------------------------------------------------
+def _load(wh: Warehouse, feed: str, table: str, schema: T.StructType, extract, name_glob: str,
+          reader: SparkSession | None = None) -> ledger.Loaded | None:
+    """New and corrected files of a feed into its table; None if the feed has no folder."""
+    path = f"{wh.landing}/{feed}"
+    if not wh._exists(path):
+        return None
+    name_glob = name_glob if wh.globs else None
+    landing.require_matching_files(wh.spark, path, name_glob)
+    return ledger.load_files(wh.spark, path, wh.catalog.table(table), schema,
+                             lambda raw: extract(raw, keep=[ledger.FILE]), name_glob, wh.layout, wh.on_error, reader=reader)
+
+
 def load_trades(wh: Warehouse) -> list[int]:
-    if not wh._exists(f"{wh.landing}/government_trades"):
-        return []
-    landing.require_matching_files(wh.spark, f"{wh.landing}/government_trades", landing.TRADES_GLOB if wh.globs else None)
-    return load_new_files(wh.spark, f"{wh.landing}/government_trades", schemas.GOVERNMENT_TRADES,
-                          wh.trades_path, wh.catalog.checkpoint_location("government_trades"),
-                          name_glob=landing.TRADES_GLOB if wh.globs else None,
-                          transform=landing.extract_trades, partition_by=["report_date"],
-                          layout=wh.layout, spread=True, cluster_by=["transaction_id"])
+    """The table's new state, or nothing if every landed file was loaded as it is."""
+    done = _load(wh, "government_trades", TRADES, schemas.GOVERNMENT_TRADES, landing.extract_trades, landing.TRADES_GLOB)
+    return [] if done is None or done.state is None else [done.state]
+
+
+def quarantine(wh: Warehouse) -> DataFrame:
+    """Files that the error policy kept out of the trades and prices."""
+    parts = [ledger.quarantined(wh.spark, wh.catalog.table(t)).withColumn("table_name", F.lit(t)) for t in (TRADES, PRICE_LOADS)]
+    return parts[0].unionByName(parts[1])
 
 
 def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = False,
@@ -150,6 +169,10 @@ def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = False,
     staging = wh.catalog.table("staging_stock_tickers")
     staging.write(staged, refuse_empty=refuse_empty)
     staged = staging.read()
+    files = ledger.listing(wh.spark, path, landing.TICKERS_GLOB if wh.globs else None)
+    if modified_after:
+        files = files.where(F.col("modified") > F.lit(modified_after).cast("timestamp"))
+    wh.catalog.table(TICKER_FILES).write(files.drop("path"))
     target_t = wh.catalog.table("stock_tickers")
     target = target_t.read() if target_t.exists() else _empty(wh.spark, staged)
     nxt = merge.mirror_sync(target, staged, "ticker", "row_hash", "last_updated_utc",
@@ -164,62 +187,58 @@ def text_schema(schema):
                                        else f.dataType, True) for f in schema.fields])
 
 
-MERGED_THROUGH = "merged_through"          # property of the price table: the last load batch in it
-
-
-def _loaded_batches(wh: Warehouse) -> list[int]:
-    """Batch ids present in the raw price loads (from partition names, no data read)."""
-    from ..sources.store import _FS
-    fs = _FS(wh.spark, wh.market_loads_path)
-    prefix = f"{BATCH_COL}="
-    return sorted(int(n[len(prefix):]) for n in fs.list_dirs(wh.market_loads_path)
-                  if n.startswith(prefix))
+MERGED_THROUGH = "merged_through"          # property of the price table: the last state of the loads in it
+ANY_AGE = 1_000_000                        # days
 
 
 def load_and_dedup_market(wh: Warehouse, as_of) -> list | None:
-    """Append new price files, then collapse recent exact duplicates; return the dates rewritten.
+    """Load new price files, then collapse recent exact duplicates; return the dates rewritten.
 
-    Only the dates that received new rows are read and rewritten: every
+    Only the dates whose loaded rows changed are read and rewritten: every
     earlier run already collapsed the dates it touched, so no other recent
     date can hold a duplicate.  This equals re-scanning the whole 70-day
-    window each day, at the cost of the new data only.
+    window each day, at the cost of the new data only.  A date that lost rows
+    (a corrected file) is made anew from all its loaded rows, each row once.
 
-    Recovery: the table remembers the last load batch merged into it, published
-    in the same step as the rows, and every price row carries the batch that
-    loaded it.  A run merges all loaded batches after that one, so prices loaded
-    by a run that died before this step are merged by the next; a batch given
-    twice replaces its own rows.
+    Recovery: the table remembers the state of the loads that was merged into it,
+    published in the same step as the rows.  A run merges what the loads changed
+    since that state, so prices loaded by a run that died before this step are
+    merged by the next, and nothing is merged twice.
     """
-    path = f"{wh.landing}/market_close"
-    if wh._exists(path):
-        landing.require_matching_files(wh.spark, path, landing.MARKET_GLOB if wh.globs else None)
-        load_new_files(landing.case_sensitive(wh.spark), path, schemas.MARKET_CLOSE, wh.market_loads_path,
-                       wh.catalog.checkpoint_location("market_close"),
-                       name_glob=landing.MARKET_GLOB if wh.globs else None,
-                       transform=landing.extract_market_rows, layout=wh.layout, spread=True)
+    _load(wh, "market_close", PRICE_LOADS, schemas.MARKET_CLOSE, landing.extract_market_rows, landing.MARKET_GLOB,
+          landing.case_sensitive(wh.spark))
+    loads = wh.catalog.table(PRICE_LOADS)
+    now = loads.current_version()
     t = wh.catalog.table("market_close_by_day")
-    done = int(t.properties().get(MERGED_THROUGH, -1))
-    batches = [b for b in (_loaded_batches(wh) if wh._exists(wh.market_loads_path) else []) if b > done]
-    if not batches:
+    since = t.properties().get(MERGED_THROUGH)
+    if now is None or since == now:
         return None
-    new_rows = wh.spark.read.parquet(wh.market_loads_path).where(F.col(BATCH_COL).isin(batches))
     as_of_date = F.lit(as_of).cast("date") if as_of is not None else F.current_date()
-    if not t.exists():
-        t.write(keyed.collapse_duplicates(new_rows, "date_recorded", as_of_date, ignore=[BATCH_COL]),
-                properties={MERGED_THROUGH: max(batches)})
-        touched = ["all"]
-    else:
-        touched = [r[0] for r in new_rows.select("date_recorded").distinct().collect()]
-        current = (t.read_partitions(touched, schema=new_rows.schema)
-                   .where(~F.col(BATCH_COL).isin(batches)))
-        merged = current.unionByName(new_rows.select(*current.columns))
-        t.replace_partitions(keyed.collapse_duplicates(merged, "date_recorded", as_of_date, ignore=[BATCH_COL]),
-                             touched, properties={MERGED_THROUGH: max(batches)})
+    collapsed = lambda rows, **how: keyed.collapse_duplicates(rows, "date_recorded", as_of_date, **how)
+    columns, done = schemas.MARKET_SOURCE.fieldNames(), {MERGED_THROUGH: now}
+    change = loads.changed_partitions(since) if t.exists() else None
+    if change is None:
+        t.current_state()
+        t.write(collapsed(loads.read().select(*columns)), properties=done)
+        return ["all"]
+    added, rewritten = change
+    touched = [*added, *rewritten]
+    current = t.read_partitions(touched, schema=schemas.MARKET_SOURCE)
+    if not touched:
+        t.annotate(done)
+        return None
+    parts = []
+    if added:
+        new_rows = loads.read_folders(added, loads.schema()).select(*columns)
+        parts.append(collapsed(t.read_partitions(list(added)).select(*columns).unionByName(new_rows)))
+    if rewritten:
+        parts.append(collapsed(loads.read_partitions(rewritten).select(*columns), days=ANY_AGE))
+    t.replace_partitions(reduce(DataFrame.unionByName, parts).select(*current.columns), touched, properties=done)
     return touched
 
 
 def build_audit(wh: Warehouse, run_date) -> dict[str, DataFrame]:
-    src = M.src_trades(wh.trades_source())
+    src = M.src_trades(wh.trades_source([run_date]))
     # prices are needed only on the trade dates reported today: read just those
     # date partitions (a few) instead of listing the whole price history
     trade_dates = [r[0] for r in M.report_slice(src, run_date).select("transaction_date")
@@ -320,25 +339,16 @@ def dimension(wh: Warehouse, name: str) -> DataFrame:
 
 
 def source_freshness(wh: Warehouse, as_of) -> DataFrame:
-    """Freshness of the three source tables from load metadata, not from a data scan.
+    """Freshness of the three source tables from their ledgers: when the newest file in each was landed.
 
-    The last load of a streamed source is its checkpoint's latest committed
-    batch; the ticker mirror's is its current version.  Like the source
-    warehouse's check, this reads metadata only, so it costs the same at any
-    table size.
+    A run that finds no new file does not make a table fresh.  Reads the ledgers
+    only (a row a file), so it costs the same at any table size.
     """
-    from ..sources.store import _FS
-    fs = _FS(wh.spark, wh.root)
-    marks = {
-        "government_trades": f"{wh.catalog.checkpoint_location('government_trades')}/commits",
-        "market_close_by_day": f"{wh.catalog.checkpoint_location('market_close')}/commits",
-        "stock_tickers": f"{wh.root}/stock_tickers",
-    }
-    tables = {}
-    for name, path in marks.items():
-        ms = fs.latest_mtime(path)
-        ts = None if ms is None else dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).replace(tzinfo=None)
-        tables[name] = (wh.spark.createDataFrame([(ts,)], "loaded_at timestamp_ntz"), "loaded_at")
+    tables = {"government_trades": (ledger.newest_file(wh.spark, wh.catalog.table(TRADES)), "loaded_at"),
+              "market_close_by_day": (ledger.newest_file(wh.spark, wh.catalog.table(PRICE_LOADS)), "loaded_at")}
+    files = wh.catalog.table(TICKER_FILES)
+    listed = files.read() if files.exists() else wh.spark.createDataFrame([], "modified timestamp")
+    tables["stock_tickers"] = (listed.select(F.col("modified").cast("timestamp_ntz").alias("loaded_at")), "loaded_at")
     return quality.source_freshness(tables, as_of)
 
 
@@ -389,7 +399,6 @@ def post_publish_report(wh: Warehouse, audit: dict[str, DataFrame], mode: str =
     parts += [quality.check_unique_against(trades, today, name, c) for c in spec.unique]
     parts.append(quality.run_tests({"int_gov_officials": officials},
                                    [t for t in M.PUBLISHED_TESTS if t.model == "int_gov_officials"]))
-    from functools import reduce
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -414,7 +423,7 @@ def clear_passed(wh: Warehouse) -> None:
         _FS(wh.spark, wh.root).delete(f"{wh.root}/{PASSED}")
 
 
-VERSIONED_TABLES = ("staging_stock_tickers", "stock_tickers", "int_gov_official_trades_audit",
+VERSIONED_TABLES = ("staging_stock_tickers", TICKER_FILES, "stock_tickers", "int_gov_official_trades_audit",
                     "int_gov_officials_audit", "int_market_audit", "int_gov_officials",
                     "fct_government_official_trades")
 
@@ -424,7 +433,12 @@ def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
     out = {}
     for name in (*VERSIONED_TABLES, *PARTITIONED):
         t = wh.catalog.table(name)
-        if t.exists():
+        if not t.exists():
+            continue
+        if name in (TRADES, PRICE_LOADS):
+            merged = wh.catalog.table("market_close_by_day").properties().get(MERGED_THROUGH)
+            out[name] = ledger.vacuum(wh.spark, t, keep, spare=[merged] if name == PRICE_LOADS else [])
+        else:
             out[name] = t.vacuum(keep)
     return out
 
@@ -453,7 +467,7 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     res.steps["trades_batches"] = load_trades(wh)
     lap("load_trades")
     # availability gate: nothing reported for the run date -> skip, tables unchanged
-    if not wh._exists(wh.trades_path) or M.report_slice(wh.trades_source(), run_date).isEmpty():
+    if not wh.catalog.exists(TRADES) or M.report_slice(wh.trades_source([run_date]), run_date).isEmpty():
         res.status = "skipped"
         return res
     lap("availability_gate")

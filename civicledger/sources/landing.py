@@ -16,6 +16,7 @@ scan when a few large files would otherwise feed few tasks.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ PAGE_FIELDS = ("results", "data")
 SKIP_FILE_RATIO = 0.10
 
 
-def _reader(spark: SparkSession, schema, layout: str, name_glob: str | None, mode: str,
+def reader(spark: SparkSession, schema, layout: str, name_glob: str | None, mode: str,
             modified_after: str | None = None):
     r = spark.read.schema(schema).option("mode", mode).option("recursiveFileLookup", "true")
     if modified_after:
@@ -66,7 +67,7 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, name_glob:
     ``modified_after`` ('YYYY-MM-DDTHH:MM:SS') ignores files older than that,
     which is how a retention window over the landing area is applied.
     """
-    df = _reader(spark, schema, layout, name_glob, mode, modified_after).json(path)
+    df = reader(spark, schema, layout, name_glob, mode, modified_after).json(path)
     return df.repartition(partitions) if partitions else df
 
 
@@ -76,7 +77,7 @@ def read_pages(spark: SparkSession, path: str, item_schema: T.StructType, field:
     if field not in PAGE_FIELDS:
         raise ValueError(f"page field must be one of {PAGE_FIELDS}")
     page = T.StructType([T.StructField(field, T.ArrayType(item_schema), True)])
-    pages = _reader(spark, page, "array", name_glob, mode).json(path)
+    pages = reader(spark, page, "array", name_glob, mode).json(path)
     return pages.select(F.explode(field).alias("r")).select("r.*")
 
 
@@ -107,10 +108,14 @@ def write_landing(df: DataFrame, path: str, ds, layout: str = "lines", feed: str
         arrays.select("value").write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(own)
     spark = df.sparkSession
     fs, target = _FS(spark, path), f"{path}/ds={ds}"
-    fs.delete(target)
     fs.mkdirs(target)
-    for n, name in enumerate(sorted(x for x in fs.list_files(own) if x.startswith("part-"))):
-        fs.rename(f"{own}/{name}", f"{target}/{ds}_{feed}_{n:05d}.json.gz")
+    # file by file over the old ones, then the old ones beyond them: the day is never without files
+    written = [f"{ds}_{feed}_{n:05d}.json.gz" for n in range(len([x for x in fs.list_files(own) if x.startswith("part-")]))]
+    for source, name in zip(sorted(x for x in fs.list_files(own) if x.startswith("part-")), written, strict=True):
+        fs.move(f"{own}/{source}", f"{target}/{name}")
+    for name in fs.list_files(target):
+        if name not in written:
+            fs.delete(f"{target}/{name}")
     fs.delete(own)
 
 
@@ -128,8 +133,8 @@ def require_matching_files(spark: SparkSession, path: str, name_glob: str | None
 # ---------------------------------------------------------------------------
 # extracts (COPY projections)
 # ---------------------------------------------------------------------------
-def extract_trades(raw: DataFrame) -> DataFrame:
-    """Flatten a trades feed to the 28-column source table."""
+def extract_trades(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Flatten a trades feed to the 28-column source table; ``keep`` names further columns to carry along."""
     fi, se = "filer_info", "security"
     return raw.select(
         "amendment_number", "amount", "chamber", "disclosure_url",
@@ -151,7 +156,7 @@ def extract_trades(raw: DataFrame) -> DataFrame:
         F.col(f"{se}.ticker").alias("security_ticker"),
         F.col(f"{se}.type").alias("security_type"),
         "transaction_date", "transaction_id", "transaction_type",
-        F.col("updated").alias("record_updated"),
+        F.col("updated").alias("record_updated"), *keep,
     )
 
 
@@ -195,13 +200,13 @@ def extract_market(records: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def extract_market_rows(raw: DataFrame) -> DataFrame:
+def extract_market_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Rows read as ``schemas.MARKET_CLOSE`` (by a case-sensitive session) to ``market_close_by_day``."""
     return raw.select(
         "status", F.col("from").alias("date_recorded"), "symbol", "open", "high", "low", "close",
         X.to_whole_long("volume").alias("stock_volume"),
         F.coalesce(F.col("afterHours"), F.col("afterhours")).alias("after_hours"),
-        F.coalesce(F.col("preMarket"), F.col("premarket")).alias("pre_market"),
+        F.coalesce(F.col("preMarket"), F.col("premarket")).alias("pre_market"), *keep,
     )
 
 
@@ -271,7 +276,7 @@ def read_with_error_policy(spark: SparkSession, path: str, paths, name_glob: str
     """
     fields = _text_schema(paths)
     schema = T.StructType([*fields.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = (_reader(case_sensitive(spark), schema, layout, name_glob, "PERMISSIVE").json(path)
+    raw = (reader(case_sensitive(spark), schema, layout, name_glob, "PERMISSIVE").json(path)
            .withColumn("_file", F.col("_metadata.file_path")))
     recs = raw.select("_file", F.col("_corrupt_record").isNotNull().alias("_unparsed"),
                       F.parse_json(F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields.fields]))).alias("r"))

@@ -73,11 +73,13 @@ def test_daily_runs(spark, warehouse):
     assert daily.snapshot_tickers(wh, "2024-06-11 06:00:00") is not None
     scd_t = {(r.ticker, r.dbt_valid_to is None) for r in daily.dimension(wh, "scd_tickers").collect()}
     assert scd_t == {("LUMN", True), ("QRTZ", True), ("VRDA", True)}
-    # freshness from load metadata: everything was loaded moments ago
+    # freshness from the ledgers: trades and prices were landed moments ago, the newest ticker file on 2024-06-11
     import datetime as _dt
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     fresh = {r.table_name: r.status for r in daily.source_freshness(wh, now).collect()}
-    assert fresh == {"government_trades": "pass", "market_close_by_day": "pass", "stock_tickers": "pass"}
+    assert fresh == {"government_trades": "pass", "market_close_by_day": "pass", "stock_tickers": "error"}
+    then = {r.table_name: r.status for r in daily.source_freshness(wh, "2024-06-11 12:00:00").collect()}
+    assert then["stock_tickers"] == "pass"
 
     # old versions are vacuumed down to the retention; the current one stays
     assert daily.vacuum(wh, keep=1)["int_gov_officials"] == [1]
