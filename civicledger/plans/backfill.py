@@ -10,14 +10,44 @@ table.  The result equals the day-by-day replay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+import json
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyed import latest_per_key
 from ..operators.merge import upsert
+from ..sources.store import _FS
 from . import models as M
 
 
+def windows(start: dt.date, end: dt.date, days: int | None) -> Iterator[tuple[dt.date, dt.date]]:
+    """The range [start, end] in consecutive windows of ``days`` days (one window if None)."""
+    while start <= end:
+        last = end if days is None else min(end, start + dt.timedelta(days=days - 1))
+        yield start, last
+        start = last + dt.timedelta(days=1)
+
+
+class Progress:
+    """How far a backfill of one range has come, kept in a file under the warehouse root until it is through."""
+
+    def __init__(self, spark: SparkSession, root: str, start: dt.date, end: dt.date):
+        self._fs = _FS(spark, root)
+        self.path = f"{root}/_backfill/{start}_{end}.json"
+        held = json.loads(self._fs.read_text(self.path)) if self._fs.exists(self.path) else {}
+        self.done_through = dt.date.fromisoformat(held["done_through"]) if held else None
+
+    def finished(self, last: dt.date) -> None:
+        self.done_through = last
+        self._fs.write_text(self.path, json.dumps({"done_through": str(last)}))
+
+    def close(self) -> None:
+        self._fs.delete(self.path)
+
+
 def report_range(df: DataFrame, start, end, col: str = "report_date") -> DataFrame:
     return df.where(F.col(col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 

@@ -48,6 +48,8 @@ def parse(argv):
         if name == "backfill":
             p.add_argument("--start", required=True)
             p.add_argument("--end", required=True)
+            p.add_argument("--window-days", type=int, default=None, help="publish and record the range in windows of so many days")
+            p.add_argument("--snapshot-tickers", action="store_true")
     return ap.parse_args(argv)
 
 
@@ -67,7 +69,8 @@ def run(argv, spark=None) -> dict:
         return {"command": "daily", "run_date": res.run_date, "status": res.status,
                 "seconds": res.steps.get("seconds", {})}
     if args.command == "backfill":
-        out = daily.run_backfill(wh, args.start, args.end, as_of=args.as_of)
+        out = daily.run_backfill(wh, args.start, args.end, as_of=args.as_of, window_days=args.window_days,
+                                 snapshot_ticker_dim=args.snapshot_tickers)
         return {"command": "backfill", "start": args.start, "end": args.end, "result": out}
     if args.command == "quarantine":
         return {"command": "quarantine", "files": [r.asDict() for r in daily.quarantine(wh).collect()]}   # files kept out

@@ -19,13 +19,13 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import keyed, merge, quality, scd2
 from ..sources import landing, ledger, schemas, seeds
-from ..sources.store import Catalog, PartitionedTable
+from ..sources.store import HIVE_NULL_PARTITION, Catalog, PartitionedTable
 from . import backfill as BF
 from . import models as M
 
@@ -144,15 +144,22 @@ def quarantine(wh: Warehouse) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def landed_on() -> Column:
+    """The run date in a landed file's name or folder; without one, the day of its modification."""
+    name = F.regexp_extract("file", r"(\d{4}-\d{2}-\d{2})[^/]*(?:/[^/]*)?$", 1)
+    return F.coalesce(F.try_to_date(F.nullif(name, F.lit("")), "yyyy-MM-dd"), F.to_date("modified"))
+
+
 def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = False,
-                 retention_days: int | None = None) -> int | None:
+                 retention_days: int | None = None, until=None) -> int | None:
     """Truncate-and-load staging from every landed ticker file, then mirror it into the source.
 
     Expiring landed files is the storage's lifecycle rule, not the reader's; a
     caller may still leave out files older than ``retention_days`` (by
     modification time).  As in the source warehouse, an empty staging empties
     the mirror; ``refuse_empty=True`` refuses to publish an empty staging or
-    mirror instead (the daily run's setting).
+    mirror instead (the daily run's setting).  ``until`` leaves out files of later
+    run dates, which gives the mirror as of that date.
     """
     path = f"{wh.landing}/stock_tickers"
     if not wh._exists(path):
@@ -162,16 +169,18 @@ def sync_tickers(wh: Warehouse, as_of, refuse_empty: bool = False,
     if retention_days is not None:
         cutoff = dt.datetime.fromisoformat(str(as_of)) - dt.timedelta(days=retention_days)
         modified_after = cutoff.strftime("%Y-%m-%dT%H:%M:%S")
-    raw = landing.read_landed(wh.spark, path, text_schema(schemas.TICKERS),
-                              name_glob=landing.TICKERS_GLOB if wh.globs else None,
-                              layout=wh.layout, modified_after=modified_after)
+    files = ledger.listing(wh.spark, path, landing.TICKERS_GLOB if wh.globs else None)
+    if modified_after:
+        files = files.where(F.col("modified") > F.lit(modified_after).cast("timestamp"))
+    if until is not None:
+        files = files.where(landed_on() <= F.lit(str(until)).cast("date"))
+    paths = [r[0] for r in files.select("path").collect()]      # the reader needs them
+    raw = (ledger.read_records(wh.spark, paths, text_schema(schemas.TICKERS), wh.layout, "FAILFAST") if paths
+           else wh.spark.createDataFrame([], text_schema(schemas.TICKERS)))
     staged = landing.extract_tickers(raw, as_of)
     staging = wh.catalog.table("staging_stock_tickers")
     staging.write(staged, refuse_empty=refuse_empty)
     staged = staging.read()
-    files = ledger.listing(wh.spark, path, landing.TICKERS_GLOB if wh.globs else None)
-    if modified_after:
-        files = files.where(F.col("modified") > F.lit(modified_after).cast("timestamp"))
     wh.catalog.table(TICKER_FILES).write(files.drop("path"))
     target_t = wh.catalog.table("stock_tickers")
     target = target_t.read() if target_t.exists() else _empty(wh.spark, staged)
@@ -219,7 +228,7 @@ def load_and_dedup_market(wh: Warehouse, as_of) -> list | None:
     change = loads.changed_partitions(since) if t.exists() else None
     if change is None:
         t.current_state()
-        t.write(collapsed(loads.read().select(*columns)), properties=done)
+        t.write(collapsed(loads.read().select(*columns)), properties=done, pack=True)
         return ["all"]
     added, rewritten = change
     touched = [*added, *rewritten]
@@ -281,8 +290,9 @@ def publish(wh: Warehouse, audit: dict[str, DataFrame]) -> dict[str, int]:
             nxt = merge.upsert(t.read(), source, keys)
             versions[name] = t.write(nxt)
         else:
+            how = {"pack": True} if name in PARTITIONED else {}
             versions[name] = t.write(full_build(), validate=lambda written, keys=keys, name=name:
-                                     merge.assert_unique_keys(written, keys, f"first build of {name}"))
+                                     merge.assert_unique_keys(written, keys, f"first build of {name}"), **how)
         versions[f"{name}_seconds"] = round(time.perf_counter() - started, 3)
     return versions
 
@@ -428,6 +438,25 @@ VERSIONED_TABLES = ("staging_stock_tickers", TICKER_FILES, "stock_tickers", "int
                     "fct_government_official_trades")
 
 
+def compact(wh: Warehouse, from_folders: int | None = None) -> dict[str, int]:
+    """Pack the date folders of the large tables where they are many; {table: new state}."""
+    from ..sources.store import COMPACT_FROM, PublishConflict
+    out = {}
+    for name in (TRADES, PRICE_LOADS, "int_gov_official_trades", "int_market", "market_close_by_day"):
+        t = wh.catalog.table(name)
+        if name == PRICE_LOADS and wh.catalog.table("market_close_by_day").properties().get(MERGED_THROUGH) != t.current_version():
+            continue                                    # what is not merged yet is known by its folders
+        try:
+            state = t.compact(from_folders or COMPACT_FROM) if t.exists() else None
+        except PublishConflict:
+            continue
+        if state is not None:
+            out[name] = state
+            if name == PRICE_LOADS:                     # the same rows: all of them are merged
+                wh.catalog.table("market_close_by_day").annotate({MERGED_THROUGH: state})
+    return out
+
+
 def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
     """Drop all but the newest ``keep`` versions of every table (never the current one)."""
     out = {}
@@ -497,6 +526,8 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
         res.steps["fct_government_official_trades"] = wh.catalog.table(
             "fct_government_official_trades").write(fact(wh))
         lap("fact")
+    res.steps["compacted"] = compact(wh)
+    lap("compact")
     if keep_versions:
         res.steps["vacuumed"] = vacuum(wh, keep_versions)
         lap("vacuum")
@@ -508,17 +539,22 @@ MERGE_KEYS = {"int_gov_official_trades_audit": ["transaction_id"], "int_gov_offi
 
 
 def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None = None, severity: str = "error",
-                 load: bool = True) -> dict:
+                 load: bool = True, window_days: int | None = None, snapshot_ticker_dim: bool = False) -> dict:
     """Replay report dates [start, end]; equal to running the days one by one, gate included.
 
     New trade and price files are loaded first (exactly once, as in a daily run).
-    Every report date's audit slices are built and tested before anything is
-    published, so a date that the daily run would stop at stops the whole range
-    and leaves the tables as they were.  Trades and prices are then merged in one
-    job each; the small officials table and its dimension advance date by date,
-    because the dimension keeps every version in between.  The published models
-    are tested in full afterwards.  Only a range that ends before today is
+    The range is worked off in windows of ``window_days`` (all at once if None).  A
+    window's audit slices are built and tested, date by date, before anything of it is
+    published, so a date that the daily run would stop at stops the window and leaves the
+    tables as the windows before it made them.  Then trades and prices are merged in one
+    job each, and after these facts the small officials table, its dimension and the ticker
+    mirror advance date by date, as the dimensions keep every version in between.  The
+    published models are tested in full at the end.  Only a range that ends before today is
     accepted (today's reports may still be arriving).
+
+    A finished window is recorded under the warehouse root; the same range run again
+    after a stop goes on behind it.  Repeating a window that was stopped halfway changes
+    nothing that it had published.
     """
     today = today or dt.datetime.now(dt.timezone.utc).date()
     start_d, end_d = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
@@ -526,43 +562,78 @@ def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None =
         raise ValueError(f"backfill start {start_d} is after its end {end_d}")
     if end_d >= today:
         raise ValueError(f"backfill must end before today ({today}), not on {end_d}")
+    if window_days is not None and window_days < 1:
+        raise ValueError("window_days must be at least 1")
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     if load:
         load_trades(wh)
         load_and_dedup_market(wh, as_of)
-    src = M.src_trades(wh.trades_source())
+    out: dict = {"dates": [], "audit_report": [], "windows": []}
+    if not wh.catalog.exists(TRADES):
+        return out
+    loaded = wh.catalog.table(TRADES).manifest()["partitions"]
+    dates = sorted(d for d in (dt.date.fromisoformat(v) for v in loaded if v != HIVE_NULL_PARTITION) if start_d <= d <= end_d)
+    record = BF.Progress(wh.spark, wh.root, start_d, end_d)
+    for first, last in BF.windows(start_d, end_d, window_days):
+        if record.done_through is not None and last <= record.done_through:
+            continue
+        days = [d for d in dates if first <= d <= last]
+        out["dates"] += [str(d) for d in days]
+        if days:
+            _backfill_window(wh, days, as_of, severity, snapshot_ticker_dim, out)
+        record.finished(last)
+        out["windows"].append([str(first), str(last)])
+    if out["dates"]:
+        out["published_report"] = _check(post_publish_report(wh, {}, "full"), severity)
+        if not out["published_report"] and not out["audit_report"]:
+            mark_passed(wh)
+    record.close()
+    return out
+
+
+def _backfill_window(wh: Warehouse, dates: list[dt.date], as_of, severity: str, snapshot_ticker_dim: bool, out: dict) -> None:
+    src = M.src_trades(wh.trades_source(dates))
     states = wh.states()
-    window = BF.report_range(src, start, end)
-    dates = sorted(r[0] for r in window.select("report_date").distinct().collect())
-    out: dict = {"dates": [str(d) for d in dates], "audit_report": []}
     for d in dates:
         audit = build_audit(wh, str(d))
         out["audit_report"] += _check(quality.run_tests(audit, M.AUDIT_TESTS), severity)
         for name, keys in MERGE_KEYS.items():
             merge.assert_unique_keys(audit[name], keys, f"{name} of {d}")
-    if not dates:
-        return out
     clear_passed(wh)
-    off = wh.catalog.table("int_gov_officials")
-    for d in dates:
-        published = off.read() if off.exists() else M.officials(src.limit(0), states)
-        out["int_gov_officials"] = off.write(BF.backfill_officials(published, src, states, d, d))
-        snapshot_officials(wh, as_of)
     trades = wh.catalog.table("int_gov_official_trades")
-    last = BF.last_report_per_trade(M.official_trades(window))
+    latest = BF.last_report_per_trade(M.official_trades(src))
     if trades.exists():
-        out["int_gov_official_trades"] = merge.upsert_partitions(trades, last, "transaction_id")
+        out["int_gov_official_trades"] = merge.upsert_partitions(trades, latest, "transaction_id")
     else:
-        trades.write(last)
+        trades.write(latest, pack=True)
         out["int_gov_official_trades"] = "built"
     mkt = wh.catalog.table("int_market")
-    prices = M.market(M.src_market(wh.prices()), window)
+    trade_dates = [r[0] for r in src.select("transaction_date").distinct().collect()]
+    prices = M.market(M.src_market(wh.prices(trade_dates)), src)
     if mkt.exists():
         out["int_market"] = merge.upsert_partitions(mkt, prices, ["date_recorded", "ticker"])
     else:
-        mkt.write(prices)
+        mkt.write(prices, pack=True)
         out["int_market"] = "built"
-    out["published_report"] = _check(post_publish_report(wh, {}, "full"), severity)
-    if not out["published_report"] and not out["audit_report"]:
-        mark_passed(wh)
-    return out
+    for d in dates:
+        off = wh.catalog.table("int_gov_officials")
+        published = off.read() if off.exists() else M.officials(src.limit(0), states)
+        out["int_gov_officials"] = off.write(BF.backfill_officials(published, src, states, d, d))
+        snapshot_officials(wh, as_of)
+        if _tickers_behind(wh, d):
+            out["stock_tickers"] = sync_tickers(wh, as_of, refuse_empty=True, until=d)
+            if snapshot_ticker_dim:
+                snapshot_tickers(wh, as_of)
+
+
+def _tickers_behind(wh: Warehouse, day: dt.date) -> bool:
+    """Whether files of run dates up to ``day`` are landed that the mirror was not built from (nor from later ones)."""
+    path = f"{wh.landing}/stock_tickers"
+    if not wh._exists(path):
+        return False
+    glob = landing.TICKERS_GLOB if wh.globs else None
+    newest = lambda files: files.agg(F.max(landed_on())).first()[0]
+    landed = newest(ledger.listing(wh.spark, path, glob).where(landed_on() <= F.lit(str(day)).cast("date")))
+    files = wh.catalog.table(TICKER_FILES)
+    mirrored = newest(files.read()) if files.exists() else None
+    return landed is not None and (mirrored is None or mirrored < landed)

@@ -129,7 +129,7 @@ def cast_failures(schema: T.StructType, outer: str = "") -> Column:
 
 
 # -- reading ----------------------------------------------------------------------------------------
-def _records(spark: SparkSession, paths: list[str], schema: T.StructType, layout: str, mode: str) -> DataFrame:
+def read_records(spark: SparkSession, paths: list[str], schema: T.StructType, layout: str, mode: str) -> DataFrame:
     """The records of the files with the file each came from."""
     named = F.col("_metadata.file_path").alias(FILE)
     if layout == "pages":
@@ -151,7 +151,7 @@ def _records(spark: SparkSession, paths: list[str], schema: T.StructType, layout
 
 def _checked(spark: SparkSession, paths: list[str], schema: T.StructType, layout: str) -> DataFrame:
     """All records as text leaves with whether they are bad."""
-    raw = _records(spark, paths, text_leaves(schema), layout, "PERMISSIVE")
+    raw = read_records(spark, paths, text_leaves(schema), layout, "PERMISSIVE")
     return raw.withColumn(BAD, F.col(CORRUPT).isNotNull() | cast_failures(schema))
 
 
@@ -203,7 +203,7 @@ def load_files(spark: SparkSession, path: str, table: PartitionedTable, schema:
     bad = {}
     paths = [r["path"] for r in coming]
     if policy == "abort":
-        rows = _records(reader, paths, schema, layout, "FAILFAST")
+        rows = read_records(reader, paths, schema, layout, "FAILFAST")
     else:
         checked = _checked(reader, paths, schema, layout)
         ratios = landing.error_ratio(checked, FILE, F.col(BAD), max_ratio).collect()
@@ -241,7 +241,8 @@ def load_files(spark: SparkSession, path: str, table: PartitionedTable, schema:
                           F.coalesce("partitions", F.array().cast("array<string>")).alias("partitions"), at.alias("loaded_at")))
         return {LEDGER: _write_ledger(spark, table, rest.unionByName(loaded))}
 
-    out.state = table.append(rows, rewritten=affected, properties=ledgered)
+    # a first load is a table's history: many dates, packed
+    out.state = table.append(rows, rewritten=affected, properties=ledgered, pack=not table.exists())
     return out
 
 
