@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +58,24 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lean(run):
+    """A function over batches whose worker gives memory back when the task ends.
+
+    Workers are reused: what allocators and memos keep from one stage would add to what the next one needs.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _STATE.clear()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):       # another C library
+                pass
+    return wrapped
+
+
 def worker_state(key, make):
     """One object per Python worker and key; kept between tasks of a reused worker."""
     if key not in _STATE:

@@ -318,3 +318,35 @@ def test_too_large_components_are_refused(spark):
     df = spark.createDataFrame([(0, [1e9, 1.0], 0), (1, [1.0, 1.0], 0)], SCHEMA)
     with pytest.raises(Exception, match="too large"):
         bitsliced.top_k(spark, df, F.lit(True)).collect()
+
+
+def test_leaves_are_bounded_by_shingles_too(spark, monkeypatch):
+    """Few but long near copies are split like many short ones, with the same components."""
+    monkeypatch.setattr(jaccard_join, "LEAF_SHINGLES", 3000)
+    rng = np.random.default_rng(12)
+    texts = [t for k in range(3) for t in family(rng, 12, 900, 1 + 4 * k)] + family(rng, 5, 400, 120)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    seen = []
+    real = jaccard_join._by_blocks
+
+    def noted(*args):
+        out = real(*args)
+        seen.append(out.count())
+        return out
+    monkeypatch.setattr(jaccard_join, "_by_blocks", noted)
+    got = jaccard_join.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got.collect()) == brute_components(rows)
+    assert seen                                             # regions beyond a leaf went on to pivots and blocks
+
+
+def test_a_leaf_of_long_texts_is_several(spark):
+    """600 near copies of 20,000 words are far more than one task's leaf."""
+    size = spark.range(600).select(jaccard_join.units(F.count(F.lit(1)), F.sum(F.lit(20_000))).alias("k")).first()[0]
+    assert size >= 20 * jaccard_join.LEAF
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", 1, 2, 3, 4), (2, "a b c d e f", 1, 2, 3, 4), (3, None, 1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __hash int, __own int, _own int, _HASH int")
+    got = jaccard_join.one_of_each(spark, df)
+    assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 3]
