@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.keyindex import KeyIndex
 from .keyed import latest_per_key
 
 
@@ -123,7 +124,8 @@ def upsert_partitions(table, source: DataFrame, keys) -> list:
 
     Touched = partitions of the target that hold a source key (a key may move
     between partitions) plus the partitions the source rows fall into.  Only
-    those are read (partition pruning) and rewritten.  The list of touched
+    those are read and rewritten; where keys are is looked up in a key index
+    beside the table (``sources.keyindex``), made by the first such merge.  The list of touched
     partition values -- a few dates -- is the only thing that reaches the
     driver.  Returns it.
     """
@@ -138,17 +140,22 @@ def upsert_partitions(table, source: DataFrame, keys) -> list:
             return []
         part_rows = table.read_partitions(touched, schema=source.schema)
     else:
-        # a key may have moved: find its old partition with a scan of (partition, key) only
-        target = table.read()
-        touched_df = (affected_partitions(target, source, keys, pcol)
-                      .unionByName(source.select(pcol)).distinct())
-        touched = [r[0] for r in touched_df.collect()]
+        # a key may have moved: its old partition is found in the key index, without one in a scan of (partition, key)
+        index = KeyIndex(table, keys)
+        known = index.exists()
+        at = F.col(pcol).cast("string").alias("at")
+        held = (index.partitions_of(source) if known else
+                affected_partitions(table.read(), source, keys, pcol).select(at))
+        touched = [r[0] for r in held.unionByName(source.select(at)).distinct().collect()]
         if not touched:
             return []
-        values = [v for v in touched if v is not None]
-        pick = F.col(pcol).isin(values) if values else F.lit(False)
-        if len(values) < len(touched):
-            pick = pick | F.col(pcol).isNull()
-        part_rows = target.where(pick)
+        part_rows = table.read_partitions(touched)
+        nxt = upsert(part_rows, source.select(*part_rows.columns), keys)
+        table.replace_partitions(nxt, touched, properties=index.moved(source) if known else None)
+        if not known:
+            index.build()
+        kind = part_rows.schema[pcol].dataType
+        return [r[0] for r in table.spark.createDataFrame([(t,) for t in touched], "at string")
+                .select(F.col("at").cast(kind)).collect()]
     table.replace_partitions(upsert(part_rows, source.select(*part_rows.columns), keys), touched)
     return touched

@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from ..operators import keyed, merge, quality, scd2
 from ..sources import landing, ledger, schemas, seeds
-from ..sources.store import HIVE_NULL_PARTITION, Catalog, PartitionedTable
+from ..sources.keyindex import KeyIndex
+from ..sources.store import HIVE_NULL_PARTITION, Catalog, PartitionedTable, Snapshots
 from . import backfill as BF
 from . import models as M
 
@@ -362,15 +363,48 @@ def source_freshness(wh: Warehouse, as_of) -> DataFrame:
     return quality.source_freshness(tables, as_of)
 
 
+PUBLISHED = ("int_gov_officials", "int_gov_official_trades", "int_market")
+
+
+def record_state(wh: Warehouse) -> dict[str, int]:
+    """Note the published models' present states as belonging together; readers of the fact see these."""
+    state = {n: wh.catalog.table(n).current_version() for n in PUBLISHED if wh.catalog.exists(n)}
+    Snapshots(wh.spark, wh.root).record(state)
+    return state
+
+
+def published(wh: Warehouse, name: str) -> DataFrame:
+    """A published model in the state that was recorded last (its newest one before the first record)."""
+    return wh.catalog.table(name).read(Snapshots(wh.spark, wh.root).current().get(name))
+
+
 def fact(wh: Warehouse) -> DataFrame:
     """The published fact, as a view over the published models (as in the source warehouse).
 
+    The three models are read in the states that one run left, also while another run publishes.
     Materialising it (``run_daily(materialize_fact=True)``) rewrites the whole
     fact each day; as a view, readers pay the two joins instead.
     """
-    return M.fact_trades(wh.catalog.read("int_gov_officials"),
-                         wh.catalog.read("int_gov_official_trades"),
-                         wh.catalog.read("int_market"))
+    return M.fact_trades(*(published(wh, n) for n in PUBLISHED))
+
+
+def register_views(wh: Warehouse) -> list[str]:
+    """Temporary views of the session over one common state: the published models, the fact and the dimensions.
+
+    Plain SQL over them stays on that state until this is called again.
+    """
+    state = Snapshots(wh.spark, wh.root).current()
+    frames = {n: wh.catalog.table(n).read(state.get(n)) for n in PUBLISHED if wh.catalog.exists(n)}
+    if len(frames) == len(PUBLISHED):
+        frames["fct_government_official_trades"] = M.fact_trades(*(frames[n] for n in PUBLISHED))
+    for n in ("dim_scd_gov_officials", "scd_tickers"):
+        if wh.catalog.exists(n):
+            frames[n] = dimension(wh, n)
+    if wh.catalog.exists("stock_tickers"):
+        frames["stock_tickers"] = wh.catalog.read("stock_tickers")
+    for n, df in frames.items():
+        df.createOrReplaceTempView(n)
+    return list(frames)
 
 
 # ---------------------------------------------------------------------------
@@ -458,17 +492,20 @@ def compact(wh: Warehouse, from_folders: int | None = None) -> dict[str, int]:
 
 
 def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
-    """Drop all but the newest ``keep`` versions of every table (never the current one)."""
-    out = {}
+    """Drop all but the newest ``keep`` versions of every table (never the current or the recorded one)."""
+    out, state = {}, Snapshots(wh.spark, wh.root).current()
     for name in (*VERSIONED_TABLES, *PARTITIONED):
         t = wh.catalog.table(name)
         if not t.exists():
             continue
+        spare = [state[name]] if name in state else []
         if name in (TRADES, PRICE_LOADS):
             merged = wh.catalog.table("market_close_by_day").properties().get(MERGED_THROUGH)
             out[name] = ledger.vacuum(wh.spark, t, keep, spare=[merged] if name == PRICE_LOADS else [])
         else:
-            out[name] = t.vacuum(keep)
+            out[name] = t.vacuum(keep, spare=spare)
+            if name == "int_gov_official_trades":
+                KeyIndex(t, ["transaction_id"]).vacuum(keep)
     return out
 
 
@@ -511,6 +548,7 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     mode = post_tests if passed_in_full(wh) else "full"
     clear_passed(wh)
     res.steps["published"] = publish(wh, audit)
+    record_state(wh)
     lap("publish")
     report = _check(post_publish_report(wh, audit, mode), severity)
     res.steps["published_report"], res.steps["post_tests"] = report, mode
@@ -584,9 +622,11 @@ def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None =
         record.finished(last)
         out["windows"].append([str(first), str(last)])
     if out["dates"]:
+        # the windows are through: readers move on to what they published
         out["published_report"] = _check(post_publish_report(wh, {}, "full"), severity)
         if not out["published_report"] and not out["audit_report"]:
             mark_passed(wh)
+        record_state(wh)
     record.close()
     return out
 
