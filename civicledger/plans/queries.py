@@ -75,8 +75,8 @@ def src_trades(spark, d):
 
 def market_extract(spark, d):
     """Price records as landed JSON (half with the lower-case extended-hours spelling),
-    parsed to VARIANT and extracted by path into ``market_close_by_day``."""
-    from ..sources.landing import extract_market
+    parsed once into the feed's types and extracted into ``market_close_by_day``."""
+    from ..sources.landing import parse_market
     m = P.market_raw(spark, d)
     record = F.to_json(F.struct(
         "status", F.col("date_recorded").alias("from"), "symbol", "open", "high", "low", "close",
@@ -85,7 +85,7 @@ def market_extract(spark, d):
     lower = F.replace(F.replace(record, F.lit('"afterHours"'), F.lit('"afterhours"')),
                       F.lit('"preMarket"'), F.lit('"premarket"'))
     text = F.when(F.col("stock_volume") % 2 == 0, record).otherwise(lower)
-    return extract_market(m.select(F.parse_json(text).alias("r")))
+    return parse_market(m.select(text.alias("record")), "record")
 
 
 def trades_extract(spark, d):
@@ -271,9 +271,10 @@ def source_freshness(spark, d):
 
 
 def json_path_extract(spark, d):
+    from ..sources.landing import extract_paths
     ev = P.table(spark, d, "events")
-    return ev.select("event_id", "event_type",
-                     F.from_json("props", "k BIGINT").getField("k").alias("k"), "value")
+    return extract_paths(ev.select(F.parse_json("props").alias("r"), "event_id", "event_type", "value"),
+                         [("k", "$.k", "bigint")], keep=["event_id", "event_type", "value"])
 
 
 def epoch_to_ts(spark, d):

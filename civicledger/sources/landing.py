@@ -179,14 +179,14 @@ def records_of(files: DataFrame, layout: str = "array") -> DataFrame:
     return files.select(F.col("v").alias("r"))
 
 
-def extract_paths(records: DataFrame, paths, strict: bool = True) -> DataFrame:
+def extract_paths(records: DataFrame, paths, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Typed columns from a VARIANT record by JSON path (case-sensitive).
 
     ``strict`` casts with ``variant_get`` (a value that does not cast aborts the
     load, the active policy); otherwise ``try_variant_get`` gives NULL.
     """
     get = F.variant_get if strict else F.try_variant_get
-    return records.select(*[get(F.col("r"), p, t).alias(c) for c, p, t in paths])
+    return records.select(*[get(F.col("r"), p, t).alias(c) for c, p, t in paths], *keep)
 
 
 def extract_market(records: DataFrame, strict: bool = True) -> DataFrame:
@@ -210,6 +210,22 @@ def extract_market_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def parse_market(records: DataFrame, text: str) -> DataFrame:
+    """Market-close records held as JSON text to ``market_close_by_day``, with one typed parse a record.
+
+    A bad value aborts.  Both spellings of a name are fields of the parsed record; they get names of
+    their own by place, so a session need not tell them apart.
+    """
+    parsed = records.select(F.from_json(F.col(text), schemas.MARKET_CLOSE, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    (status, day, symbol, o, h, lo, c, volume, after, pre, after_lower, pre_lower) = named = [
+        f"_{i}" for i in range(len(schemas.MARKET_CLOSE.fields))]
+    raw = parsed.toDF(*named)
+    return raw.select(
+        F.col(status).alias("status"), F.col(day).alias("date_recorded"), F.col(symbol).alias("symbol"), F.col(o).alias("open"),
+        F.col(h).alias("high"), F.col(lo).alias("low"), F.col(c).alias("close"), X.to_whole_long(volume).alias("stock_volume"),
+        F.coalesce(after, after_lower).alias("after_hours"), F.coalesce(pre, pre_lower).alias("pre_market"))
+
+
 def extract_tickers(raw: DataFrame, loaded_at=None) -> DataFrame:
     """Tickers feed to the staging layout: typed columns, SHA-256 row hash, load time.
 
