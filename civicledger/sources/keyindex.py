@@ -33,7 +33,7 @@ class KeyIndex:
 
     def _named(self) -> dict | None:
         """{state, buckets, keys} as the table names it, if it is an index of these keys."""
-        found = self.table.properties().get(KEY_INDEX)
+        found = self.table.key_index()
         return found if found and found["keys"] == self.keys else None
 
     def exists(self) -> bool:
