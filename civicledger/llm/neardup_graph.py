@@ -13,7 +13,8 @@ in double precision, connect points into components, and inside a component
 every pair is verified exactly. A recall audit compares a sample of points,
 stratified by the size of their component, with a brute-force scan of all rows;
 below the floor the graph is built again with twice the overlap, and after the
-last attempt every point visits every shard of its label.
+last attempt every point visits every shard of its label; a recall that is then
+still below the floor raises an error.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label or id, link with nothing; vectors of
@@ -55,12 +56,19 @@ def _vectors(column) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by powers of two (exact), so that squares of tiny or huge components neither vanish nor overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """In double precision, of every row of ``x`` with every row of ``y``."""
+    x, y = scaled(x), scaled(y)
     return (x @ y.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
 
 
@@ -478,8 +486,13 @@ def audit(spark: SparkSession, points: DataFrame, components: DataFrame, least:
     number = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not number:
         return 1.0
-    nth = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("point", F.lit("audit")), "point"))
-    asked = sized.withColumn("nth", nth).where(
+    # points below a hash threshold are about twice the sample; only they are ranked
+    wanted = {k: AUDIT * (4 if k == 0 else 1) for k in number}
+    place = F.pmod(F.xxhash64("point", F.lit("audit")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    share = F.create_map(*(F.lit(x) for k, n in number.items() for x in (k, min(1.0, 2 * wanted[k] / n))))
+    few = sized.where(place <= share[F.col("size")])
+    nth = F.row_number().over(Window.partitionBy("size").orderBy(place, "point"))
+    asked = few.withColumn("nth", nth).where(
         F.col("nth") <= F.when(F.col("size") == 0, 4 * AUDIT).otherwise(AUDIT)).drop("nth").collect()
     shared = spark.sparkContext.broadcast([(r["part"], r["point"], np.array(r["v"]), r["component"]) for r in asked])
 
@@ -556,6 +569,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
         if recall >= recall_floor or attempt == 3:
             break
         overlap, attempt = 2 * overlap, attempt + 1
+    if recall < recall_floor:
+        raise RuntimeError(f"audited recall {recall:.3f} is below {recall_floor} after the last attempt")
     member = points.join(components.withColumnRenamed("id", "p"), F.col("point") == F.col("p")).select(
         "component", "point", "v", "copies", "id")
     member = scratch.stage(member, "members")

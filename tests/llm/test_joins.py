@@ -249,6 +249,25 @@ def test_audit_sees_lost_links_beside_a_large_group(spark):
     assert recall(True) < 0.7
 
 
+def test_tiny_and_huge_vectors(spark):
+    """Squares of the components vanish or overflow; cosines, links and the audit stay exact."""
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(30, 8))
+    rows = [(3 * k + j, [float(c) for c in v * size], 1) for k, v in enumerate(x)
+            for j, size in enumerate((1e-200, 1.0, 1e200))]
+    got = neardup_graph.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA)).collect()
+    near = neardup_graph.unit(x) @ neardup_graph.unit(x).T >= 0.93
+    assert {r.vec_id: r.n_links for r in got} == {3 * k + j: 3 * int(near[k].sum()) - 1 for k in range(30) for j in range(3)}
+    assert {r.audit_recall for r in got} == {1.0}
+
+
+def test_a_recall_below_the_floor_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(neardup_graph, "audit", lambda *_: 0.5)
+    df = spark.createDataFrame([(k, [1.0, float(k)], 1) for k in range(6)], SCHEMA)
+    with pytest.raises(RuntimeError, match="below 0.95"):
+        neardup_graph.near_duplicates(spark, df)
+
+
 def test_every_shard_is_visited_when_asked(spark):
     """The last resort below the recall floor: all pairs of a label, here over shards that share no point."""
     rng = np.random.default_rng(10)
