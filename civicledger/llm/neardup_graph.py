@@ -136,21 +136,26 @@ def search(near: np.ndarray, adj: np.ndarray, start: int, least: float) -> np.nd
     m = len(near)
     q = np.arange(m)
     seen = np.zeros((m, m), bool)
-    done = np.zeros((m, m), bool)
     seen[:, start] = True
+    # similarities of what is seen and not expanded
+    front = np.full((m, m), -np.inf, np.float32)
+    front[:, start] = near[:, start]
     active = q
     for step in range(BEAM + EXPAND):
-        sims = np.where(seen[active] & ~done[active], near[active], -np.inf)
-        best = sims.argmax(axis=1)
-        value = sims[np.arange(len(active)), best]
+        best = (front if len(active) == m else front[active]).argmax(axis=1)
+        value = front[active, best]
         go = value >= least if step >= BEAM else value > -np.inf
         active, best = active[go], best[go]
         if not len(active):
             break
-        done[active, best] = True
+        front[active, best] = -np.inf
         nbr = adj[best]
         r, c = np.nonzero(nbr >= 0)
-        seen[active[r], nbr[r, c]] = True
+        r, c = active[r], nbr[r, c]
+        new = ~seen[r, c]
+        r, c = r[new], c[new]
+        seen[r, c] = True
+        front[r, c] = near[r, c]
     return seen & (near >= least)
 
 
@@ -333,36 +338,42 @@ def _visit(least: float):
     point in range of every component but its own.
     """
 
-    def meet(members, visitors):
-        ids, comps = (np.array([m[k] for m in members], np.int64) for k in (0, 2))
-        x, y = (np.stack([r[1] for r in rows]).astype(np.float64) for rows in (visitors, members))
-        sims = cosines(x, y)
-        best = np.argsort(-sims, axis=1, kind="stable")[:, :BEST]
-        linked = []
-        for (_, _, own), hit in zip(visitors, sims >= least, strict=True):
-            j = np.flatnonzero(hit & (comps != own))
-            linked.append(ids[j[np.unique(comps[j], return_index=True)[1]]].tolist())
+    def meet(members, visitors, ids, comps, units):
+        x = unit(np.stack([r[1] for r in visitors]).astype(np.float64)).astype(np.float32)
+        sims = x @ units.T
+        best = np.argpartition(-sims, min(BEST, len(ids)) - 1, axis=1)[:, :BEST]
+        linked: list[list[int]] = [[] for _ in visitors]
+        maybe = (sims >= least - 1e-4) & (np.array([r[2] for r in visitors])[:, None] != comps[None, :])
+        for i in np.flatnonzero(maybe.any(axis=1)):
+            # what single precision finds near the bound is decided in double precision
+            j = np.flatnonzero(maybe[i])
+            j = j[cosines(np.array([visitors[i][1]], np.float64), np.stack([members[k][1] for k in j]).astype(np.float64))[0]
+                  >= least]
+            linked[i] = ids[j[np.unique(comps[j], return_index=True)[1]]].tolist()
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in visitors], pa.int64()), pa.array(ids[best].tolist(), pa.list_(pa.int64())),
              pa.array(np.take_along_axis(sims, best, axis=1).tolist(), pa.list_(pa.float32())),
              pa.array(linked, pa.list_(pa.int64()))], ["q", "near", "sims", "linked"])
 
     def run(batches):
-        now, members, visitors = None, [], []
+        now, members, visitors, home = None, [], [], None
         for b in batches:
             for shard, salt, visitor, point, v, comp in zip(
                     *(b.column(c).to_pylist() for c in ("shard", "salt", "visitor", "point")), _vectors(b.column("v")),
                     b.column("comp").to_pylist(), strict=True):
                 if (shard, salt) != now:
                     if visitors:
-                        yield meet(members, visitors)
-                    now, members, visitors = (shard, salt), [], []
+                        yield meet(members, visitors, *home)
+                    now, members, visitors, home = (shard, salt), [], [], None
+                if visitor and home is None:
+                    ids, comps = (np.array([m[k] for m in members], np.int64) for k in (0, 2))
+                    home = ids, comps, unit(np.stack([m[1] for m in members]).astype(np.float64)).astype(np.float32)
                 (visitors if visitor else members).append((point, v, comp))
                 if len(visitors) == VISITORS:
-                    yield meet(members, visitors)
+                    yield meet(members, visitors, *home)
                     visitors = []
         if visitors:
-            yield meet(members, visitors)
+            yield meet(members, visitors, *home)
     return run
 
 
@@ -383,18 +394,21 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
     """
     comp = points.select("point", "part").join(components, F.col("point") == F.col("id"), "left").select(
         "point", "part", F.coalesce("component", "point").alias("comp"))
-    members = scratch.stage(shards.join(comp, "point"), f"{name}-members")
-    many = members.groupBy("part").agg(F.countDistinct("shard").alias("s")).where("s > 1").select("part")
-    members = scratch.stage(members.join(many, "part", "left_semi"), f"{name}-split")
-    if members.isEmpty():
+    comp = scratch.stage(comp, f"{name}-parts")
+    many = (shards.select("point", "shard").join(comp, "point").groupBy("part")
+            .agg((F.min("shard") != F.max("shard")).alias("split")).where("split").select("part"))
+    many = scratch.stage(many, f"{name}-many")
+    if many.isEmpty():
         return None
+    comp = comp.join(many, "part", "left_semi")
+    members = scratch.stage(shards.join(comp, "point"), f"{name}-members")
     home = members.select("shard", F.col("point").alias("c"))
-    people = members.select("part", "point", "v", "comp").dropDuplicates(["point"])
+    people = points.select("point", "v").join(comp, "point")
     seen = members.select(F.col("point").alias("q"), "shard")
     if everywhere:
         asked = people.select("part", F.col("point").alias("q")).join(members.select("part", "shard").distinct(), "part")
     else:
-        best = scratch.stage(_nearest(lists.join(members.select("point").distinct(), "point", "left_semi").select(
+        best = scratch.stage(_nearest(lists.join(comp, "point", "left_semi").select(
             F.col("point").alias("q"), F.explode(F.arrays_zip("neighbours", "sims")).alias("k")).select(
             "q", F.col("k.neighbours").alias("c"), F.col("k.sims").alias("sim"))), f"{name}-best")
         asked = best.join(home, "c")
@@ -556,8 +570,9 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
             .mapInArrow(_shard_graphs(least), "point bigint, neighbours array<bigint>, sims array<float>, linked array<bigint>"),
             f"graph-{attempt}")
         # lists of all shards united: their links meet in the points that shards share
-        united = graph.groupBy("point").agg(F.flatten(F.collect_list("neighbours")).alias("neighbours"),
-                                            F.flatten(F.collect_list("sims")).alias("sims"),
+        # (lists are nearest first: the BEST of all are among the BEST of each)
+        united = graph.groupBy("point").agg(F.flatten(F.collect_list(F.slice("neighbours", 1, BEST))).alias("neighbours"),
+                                            F.flatten(F.collect_list(F.slice("sims", 1, BEST))).alias("sims"),
                                             F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked"))
         links = united.select(F.col("point").alias("src"), F.explode("linked").alias("dst"))
         components = scratch.stage(connected_components(scratch, links, f"join-{attempt}"), f"components-{attempt}")
