@@ -24,14 +24,18 @@ from pyspark.sql import functions as F
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 WORD = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{DENSE}]]"
+MONTH = "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
 PATTERNS = {
-    "credential": r"""(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?["']?[A-Za-z0-9_+/.-]{6,128})""",
+    "credential": r"""(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?i:password|passwd|pwd|secret|token|api[_-]?key)[ ]?[=:][ ]?(?:["'][^\s"']{6,}["']|["']?[A-Za-z0-9_+/.-]{6,})|(?:gh[opsu]_|github_pat_)[A-Za-z0-9_]{20,}|sk-[A-Za-z0-9_-]{20,})""",
     # letters of any script; of scripts without spaces only a run of their own, as prose may stand right before a value
-    "email": rf"(?:(?<![{WORD}._%+-])[{WORD}_%+-][{WORD}._%+-]{{0,63}}|(?:(?<![{WORD}._%+-])[{WORD}_%+-][{WORD}._%+-]{{0,31}})?[{DENSE}]{{1,16}}(?:[._%+-][0-9]{{1,16}})?)@(?:[{WORD}][{WORD}-]{{0,62}}\.){{1,8}}[A-Za-z]{{2,24}}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "email": rf"(?:(?<![{WORD}._%+-])[{WORD}_%+-][{WORD}._%+-]*+|(?:(?<![{WORD}._%+-])[{WORD}_%+-][{WORD}._%+-]{{0,31}})?[{DENSE}]{{1,16}}(?:[._%+-][0-9]{{1,16}})?)@(?:[{WORD}][{WORD}-]{{0,62}}\.){{1,8}}[A-Za-z]{{2,24}}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}[0-9]{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "iso_date": r"(?<![0-9-])(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9](?![0-9]|-[0-9])",
-    "day_date": r"(?<![0-9/.])[0-3]?[0-9]([/.])[0-3]?[0-9]\1(?:19|20)[0-9]{2}(?![0-9])",
+    "iso_date": r"(?<![0-9-])(?:19|20)[0-9]{2}(?<ymd>[-/.])[01][0-9]\k<ymd>[0-3][0-9](?![0-9]|[-/.][0-9])",
+    "day_date": r"(?<![0-9/.-])[0-3]?[0-9](?<dmy>[-/.])[0-3]?[0-9]\k<dmy>(?:19|20)[0-9]{2}(?![0-9])",
+    "named_date": rf"(?<![0-9A-Za-z])(?:[0-3]?[0-9] {MONTH},? |{MONTH} [0-3]?[0-9],? )(?:19|20)[0-9]{{2}}(?![0-9A-Za-z])",
+    # eight groups, or fewer around a double colon with a digit in them
+    "ipv6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     # any three digits are an area or exchange where the layout is unmistakable: +1, or parentheses and a separator
@@ -52,6 +56,8 @@ IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT B
 #: Characters without which no pattern can match.
 NEEDED = "[0-9@=:]"
 ROUNDS = 8
+#: Symbols that a network permutes together; longer values are permuted block by block.
+BLOCK = 128
 FIRST_DAY, DAYS = "1900-01-01", 73049          # 1900-01-01 to 2099-12-31
 SIDE = 271                                      # 271 * 271 >= DAYS
 
@@ -133,9 +139,12 @@ def _char(c: Column, v: Column) -> Column:
 
 
 def by_class(text: Column, key: str, kind: str) -> Column:
-    """Digits become digits, small letters small letters, capitals capitals; the rest stays."""
-    return let(_chars(text), lambda chars: F.array_join(F.zip_with(
-        chars, feistel(F.transform(chars, _value), F.transform(chars, _size), key, kind), _char), ""))
+    """Digits become digits, small letters small letters, capitals capitals; the rest stays. Of any length."""
+    def block(part):
+        return let(_chars(part), lambda chars: F.array_join(F.zip_with(
+            chars, feistel(F.transform(chars, _value), F.transform(chars, _size), key, kind), _char), ""))
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), block), "")
 
 
 def _fill(layout: Column, symbols: Column, own) -> Column:
@@ -275,8 +284,10 @@ def _date(value: Column, key: str) -> Column:
 
 
 def iso_date(text: Column, key: str) -> Column:
-    value = F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
-    return F.when(value.isNotNull(), F.date_format(_date(value, key), "yyyy-MM-dd")).otherwise(text)
+    """Year first; the separator stays."""
+    value = F.try_to_timestamp(F.translate(text, "/.", "--"), F.lit("yyyy-MM-dd")).cast("date")
+    new = F.replace(F.date_format(_date(value, key), "yyyy-MM-dd"), F.lit("-"), F.substring(text, 5, 1))
+    return F.when(value.isNotNull(), new).otherwise(text)
 
 
 def day_date(text: Column, key: str) -> Column:
@@ -288,9 +299,9 @@ def day_date(text: Column, key: str) -> Column:
         out = F.lit(None).cast("string")
         for (d, s), style in styles.items():
             out = F.when((day_first == d) & (short == s), F.date_format(x["new"], style)).otherwise(out)
-        return F.when(F.contains(text, F.lit(".")), F.replace(out, F.lit("/"), F.lit("."))).otherwise(out)
+        return F.replace(out, F.lit("/"), F.regexp_extract(text, "[-/.]", 0))
 
-    flat = F.replace(text, F.lit("."), F.lit("/"))
+    flat = F.translate(text, ".-", "//")
     first = F.try_to_timestamp(flat, F.lit("d/M/yyyy")).cast("date")
     second = F.try_to_timestamp(flat, F.lit("M/d/yyyy")).cast("date")
     value = F.coalesce(first, second)
@@ -298,6 +309,33 @@ def day_date(text: Column, key: str) -> Column:
                                                   _date(value, key).alias("new")), write)).otherwise(text)
 
 
+def named_date(text: Column, key: str) -> Column:
+    """Order, commas and the length of the month's name stay; a day below 10 is written with a zero where one stood."""
+    day, month = F.regexp_extract(text, "[0-9]+", 0), F.regexp_extract(text, "[A-Za-z]+", 0)
+    gap = F.regexp_extract(text, "(,? )[0-9]{4}$", 1)
+    value = F.try_to_timestamp(F.concat_ws("-", day, F.substring(month, 1, 3), F.right(text, F.lit(4))),
+                               F.lit("d-MMM-yyyy")).cast("date")
+
+    def write(new):
+        d = F.date_format(new, "d")
+        d = F.when(day.startswith("0"), F.lpad(d, 2, "0")).otherwise(d)
+        m = F.when((F.length(month) > 3) | (month == "May"), F.date_format(new, "MMMM")).otherwise(F.date_format(new, "MMM"))
+        pair = F.when(text.rlike("^[0-9]"), F.concat_ws(" ", d, m)).otherwise(F.concat_ws(" ", m, d))
+        return F.concat(pair, gap, F.date_format(new, "yyyy"))
+
+    return F.when(value.isNotNull(), let(_date(value, key), write)).otherwise(text)
+
+
+def ipv6(text: Column, key: str) -> Column:
+    """Hexadecimal digits are permuted, groups keep their lengths; addresses are linked as they are written."""
+    def change(chars):
+        new = feistel(F.transform(chars, lambda c: F.when(c == ":", 0).otherwise(F.conv(c, 16, 10).cast("int"))),
+                      F.transform(chars, lambda c: F.when(c == ":", 1).otherwise(16)), key, "ipv6")
+        return F.array_join(F.zip_with(chars, new, lambda c, v: F.when(c == ":", c).otherwise(F.hex(v.cast("long")))), "")
+
+    return let(let(_chars(text), change), lambda new: F.when(text.rlike("[A-F]"), new).otherwise(F.lower(new)))
+
+
 def email(text: Column, key: str) -> Column:
     """Local part and host by class; the top-level domain stays."""
     name = F.regexp_extract(text, r"^(.*)\.[A-Za-z]+$", 1)
@@ -306,12 +344,14 @@ def email(text: Column, key: str) -> Column:
 
 def credential(text: Column, key: str) -> Column:
     """The name of the setting stays, its value is permuted by class."""
-    name = F.regexp_extract(text, r"""^(AKIA|[A-Za-z_-]+[ ]?[=:][ ]?["']?)""", 1)
-    return F.concat(name, by_class(F.substring(text, F.length(name) + 1, F.length(text)), key, "credential"))
+    name = F.regexp_extract(text, r"""^(AKIA|gh[opsu]_|github_pat_|sk-|[A-Za-z_-]+[ ]?[=:][ ]?["']?)""", 1)
+    end = F.regexp_extract(text, """["']$""", 0)
+    value = F.substring(text, F.length(name) + 1, F.length(text) - F.length(name) - F.length(end))
+    return F.concat(name, by_class(value, key, "credential"), end)
 
 
 KINDS = {"credential": credential, "email": email, "iban": iban, "ssn": ssn, "iso_date": iso_date,
-         "day_date": day_date, "ip": ip, "card": card, "phone": phone, "intl_phone": intl_phone}
+         "day_date": day_date, "named_date": named_date, "ipv6": ipv6, "ip": ip, "card": card, "phone": phone, "intl_phone": intl_phone}
 
 
 def card_end(m: Column, i: Column) -> Column:
@@ -332,9 +372,9 @@ def iban_end(m: Column, i: Column) -> Column:
     flat = lambda e: F.replace(part(e), F.lit(" "), F.lit(""))
     usual = F.lit(0)
     for n, countries in IBAN_LENGTHS.items():
-        usual = F.when(F.substring(m, i, F.lit(2)).isin(countries.split()), n).otherwise(usual)
+        usual = F.when(F.upper(F.substring(m, i, F.lit(2))).isin(countries.split()), n).otherwise(usual)
     ends = F.filter(F.sequence(F.lit(1), F.length(m)), lambda e: (e >= i + 11) & F.substring(m, e, F.lit(2)).rlike(
-        "^[A-Z0-9](?: |$)") & part(e).rlike(f"^{PATTERNS['iban']}$") & (
+        "^[A-Za-z0-9](?: |$)") & part(e).rlike(f"^{PATTERNS['iban']}$") & (
         mod97(F.concat(F.substring(flat(e), F.lit(5), F.length(flat(e))), F.substring(flat(e), 1, 4))) == 1))
     return let(ends, lambda x: F.coalesce(F.get(F.filter(
         x, lambda e: F.length(flat(e)) == usual), F.lit(0)), F.array_max(x)))
@@ -395,9 +435,7 @@ def _marked(kind: str) -> str:
 
 
 def _any(other: dict[str, str] | None = None) -> str:
-    # the group of day_date gets a name of its own, so that its back reference holds within the alternatives
-    return "|".join(p.replace("([/.])", "(?<sep>[/.])").replace(r"\1", r"\k<sep>")
-                    for p in (PATTERNS | (other or {})).values())
+    return "|".join((PATTERNS | (other or {})).values())
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:

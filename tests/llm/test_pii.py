@@ -121,6 +121,46 @@ def test_emails_of_any_script(spark):
     assert one(spark, "联系bob@example.com")[0] == "联系" + one(spark, "bob@example.com")[0]
 
 
+def test_more_layouts_of_dates(spark):
+    iso, slash, dots, dash, us, named, short, first, comma = one(
+        spark, "1985-03-12", "1985/03/12", "1985.03.12", "12-03-1985", "born 03-25-1999.", "12 March 1985", "12 Mar 1985",
+        "March 12, 1985", "on 05 May 1985,")
+    day = datetime.date.fromisoformat(iso)
+    assert day != datetime.date(1985, 3, 12)
+    assert slash == f"{day:%Y/%m/%d}" and dots == f"{day:%Y.%m.%d}" and dash == f"{day:%d-%m-%Y}"
+    assert us != "born 03-25-1999." and datetime.datetime.strptime(us, "born %m-%d-%Y.")
+    assert named == f"{day.day} {day:%B %Y}" and short == f"{day.day} {day:%b %Y}" and first == f"{day:%B} {day.day}, {day:%Y}"
+    assert re.fullmatch(r"on \d\d [A-Z][a-z]+ \d{4},", comma) and comma != "on 05 May 1985,"
+    kept = ["31 February 1999", "Version 2.0, January 2004", "May 2004", "12 March", "078-05-19850", "12/03-1985", "1985.03-12"]
+    assert one(spark, *kept) == kept
+
+
+def test_addresses_and_small_ibans(spark):
+    texts = ["2001:db8::8a2e:370:7334", "2001:0DB8:85A3:0000:0000:8A2E:0370:7334", "de89 3704 0044 0532 0130 00"]
+    small, full, iban = one(spark, *texts)
+    groups = [int(x, 16) if x != ":" else 0 for x in texts[0]]
+    new = feistel(groups, [1 if c == ":" else 16 for c in texts[0]], "ipv6")
+    assert small == "".join(c if c == ":" else f"{v:x}" for c, v in zip(texts[0], new, strict=True))
+    assert re.fullmatch("(?:[0-9A-F]{4}:){7}[0-9A-F]{4}", full) and full != texts[1]
+    assert iban_ok(iban) and iban != texts[2] and iban.upper() == one(spark, texts[2].upper())[0]
+    kept = ["at 12:30:45 and 1:2:3", "std::string a::b", "ab12 this that more with 1234"]
+    assert one(spark, *kept) == kept
+
+
+def test_values_of_any_length(spark):
+    secret = "abc123XYZ/" * 60
+    texts = [f"token={secret}", f"token={secret}", "x" * 90 + ".92@example.com", 'password: "p@ssw0rd!x"', "ghp_" + "aB3" * 12,
+             "sk-" + "Ab1c" * 10]
+    long, same, mail, quoted, hub, sk = one(spark, *texts)
+    value = long.removeprefix("token=")
+    blocks = [secret[k:k + pii.BLOCK] for k in range(0, len(secret), pii.BLOCK)]
+    assert long == same and value == "".join(by_class(b, "credential") for b in blocks)
+    assert len(mail) == len(texts[2]) and mail.endswith(".com") and mail[:80] != texts[2][:80]
+    assert re.fullmatch(r'password: "[a-z]@[a-z]{3}\d[a-z]{2}![a-z]"', quoted) and quoted != texts[3]
+    assert one(spark, "password='abcdef1'")[0][10:17] == one(spark, "password=abcdef1")[0][9:]
+    assert hub[:4] == "ghp_" and hub != texts[4] and sk[:3] == "sk-" and sk != texts[5]
+
+
 def test_clean_and_invalid_text_stays(spark):
     texts = ["Section 4.0. of 12, 300.1.1.1, 1.2.3.4.5", "4041894974608796", "666-12-1234", "2021-02-30", "DE00 3704 0044 0532 0130 00",
              "prose without any of it.\nTwo lines: a = b", "", "ratio 3:4 @ home"]
