@@ -17,8 +17,8 @@ ranking merges.
 Defined cases: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows with a null id; a query meets only vectors
 of its own dimension; rows that repeat a query's id are not its candidates;
-repeated candidate rows are ranked each; components of 2^24 and more after
-scaling raise an error (the slices would not fit the score).
+repeated candidate rows are ranked each; components of 2^62 and more after
+scaling, and results whose score is no 64-bit number, raise an error.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-LARGEST = 1 << 24
+LARGEST = 1 << 62
 
 
 def usable(vector: Column) -> Column:
@@ -118,6 +118,16 @@ class Slices:
         return np.concatenate([unpack(sure, self.n), unpack(open_, self.n)[:k - have]])
 
 
+def products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of rows with ``query``, by whole numbers of any size where 64 bits might not do."""
+    if not len(values) or np.abs(values).max() * float(np.abs(query).astype(float).sum()) < LARGEST:
+        return values @ query
+    found = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in values.tolist()]
+    if any(not -(1 << 63) <= x < 1 << 63 for x in found):
+        raise ValueError("a score is too large for a 64-bit number")
+    return np.array(found, np.int64)
+
+
 ROW = "block bigint, part int, kind int, ids binary, vectors binary, dim int"
 
 
@@ -126,12 +136,13 @@ def _bundle(kind: int, most: int):
 
     def emit(rows):
         values = np.array([r[2] for r in rows], np.int64)
-        if np.abs(values).max() >= LARGEST:
+        narrow = values.astype(np.int32)
+        if values.max() >= LARGEST or values.min() <= -LARGEST:
             raise ValueError("a component is too large for the index")
         return pa.RecordBatch.from_arrays(
             [pa.array([rows[0][0]], pa.int64()), pa.array([0], pa.int32()), pa.array([kind], pa.int32()),
              pa.array([np.array([r[1] for r in rows], np.int64).tobytes()], pa.binary()),
-             pa.array([values.astype(np.int32).tobytes()], pa.binary()), pa.array([values.shape[1]], pa.int32())],
+             pa.array([(narrow if (narrow == values).all() else values).tobytes()], pa.binary()), pa.array([values.shape[1]], pa.int32())],
             ["block", "part", "kind", "ids", "vectors", "dim"])
 
     def run(batches):
@@ -159,7 +170,10 @@ def _search(k: int):
                 key = (cols[0][i].as_py(), cols[1][i].as_py())
                 ids = np.frombuffer(cols[3][i].as_buffer(), np.int64)
                 dim = cols[5][i].as_py()
-                v = np.frombuffer(cols[4][i].as_buffer(), np.int32).reshape(-1, dim).astype(np.int64)
+                # components take 4 bytes where all of a bundle fit
+                held = cols[4][i].as_buffer()
+                v = np.frombuffer(held, np.int32 if held.size == 4 * dim * len(ids) else np.int64)
+                v = v.reshape(-1, dim).astype(np.int64)
                 if key != now:
                     now, slices = key, []
                 if cols[2][i].as_py() == 0:
@@ -172,7 +186,7 @@ def _search(k: int):
                     for qid, q in zip(ids.tolist(), v, strict=True):
                         own = pack(have == qid)
                         at = s.top(q, k, s.all & ~own)
-                        out.append((np.full(len(at), qid), have[at], s.values[at] @ q))
+                        out.append((np.full(len(at), qid), have[at], products(s.values[at], q)))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[j] for o in out]).astype(np.int64))
                                                       for j in range(3)], ["query_id", "vec_id", "score"])

@@ -333,10 +333,18 @@ def test_slices_add_up():
         assert sorted((values[s.top(q, 7, s.all)] @ q).tolist()) == sorted(exact.tolist())[-7:]
 
 
-def test_too_large_components_are_refused(spark):
-    df = spark.createDataFrame([(0, [1e9, 1.0], 0), (1, [1.0, 1.0], 0)], SCHEMA)
-    with pytest.raises(Exception, match="too large"):
-        bitsliced.top_k(spark, df, F.lit(True)).collect()
+def test_large_components(spark):
+    """Beyond 32 bits and beyond doubles: scores are exact; an error only where one is no 64-bit number."""
+    rng = np.random.default_rng(21)
+    rows = [(k, [float(c) for c in v], 0) for k, v in enumerate(rng.integers(-9, 9, (40, 4)) / 4)]
+    rows += [(100, [1e9, 1.0, 0.0, -2.0], 0), (101, [0.25, 3e14, 1.0, 0.5], 0), (102, [-1e10, 1.0, 2.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = bitsliced.top_k(spark, df, F.col("vec_id") < 40, k=5, block_rows=16, chunk=7)
+    want = [r for r in brute_top(rows, 5, 1) if r[0] < 40]
+    assert sorted(map(tuple, got.collect())) == want
+    for far in ([1e10, 1.0, 0.0, 0.0], [1e300, 0.0, 0.0, 0.0]):
+        with pytest.raises(Exception, match="too large"):
+            bitsliced.top_k(spark, df.unionByName(spark.createDataFrame([(103, far, 0)], SCHEMA)), F.lit(True)).collect()
 
 
 def test_leaves_are_bounded_by_shingles_too(spark, monkeypatch):
