@@ -192,8 +192,12 @@ def fit(spark: SparkSession, docs: DataFrame, per_language: int = 500, per_docum
     languages = sorted(r[0] for r in known.select("lang").distinct().collect())
     if not languages:
         return None
-    # ranked by hash alone, then joined: texts are not sorted; equal texts rank alike
-    ranks = (known.select("lang", F.xxhash64("text").alias("h")).distinct()
+    # ranked by hash alone, then joined: texts are not sorted; equal texts rank alike. Only hashes in the lowest
+    # part, about twice the sample, are ranked, whatever a language's share
+    hashes = known.select("lang", F.xxhash64("text").alias("h")).distinct()
+    counts = hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    low = (F.col("h") / F.lit(2.0 ** 64) + 0.5) * F.col("n") <= 2 * per_language + 50
+    ranks = (hashes.join(counts, "lang").where(low)
              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
              .where(F.col("k") <= per_language).select(F.col("lang").alias("l"), F.col("h").alias("hh")))
 
