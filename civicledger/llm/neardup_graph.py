@@ -265,19 +265,26 @@ def _assign(overlap: int):
     def run(batches):
         now, centres = None, []
         for b in batches:
-            out = []
+            out, held = [], []
+
+            def flush():
+                if held:
+                    near = (np.stack([v for _, v in held]) @ np.array(centres).T).argsort(axis=1)[:, ::-1][:, :overlap] if len(
+                        centres) else np.zeros((len(held), 1), int)
+                    out.extend((now[0], n, p) for (p, _), some in zip(held, near.tolist(), strict=True) for n in some)
+                    held.clear()
+
             for shard, salt, point, v, centre in zip(
                     *(b.column(c).to_pylist() for c in ("shard", "salt", "point")), _vectors(b.column("v")),
                     b.column("centre").to_pylist(), strict=True):
                 if (shard, salt) != now:
+                    flush()
                     now, centres = (shard, salt), []
                 if centre:
                     centres.append(v)
-                    continue
-                if not isinstance(centres, np.ndarray):
-                    centres = np.array(centres)
-                near = (centres @ v).argsort()[::-1][:overlap] if len(centres) else [0]
-                out += [(shard, int(n), point) for n in near]
+                else:
+                    held.append((point, v))
+            flush()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)],
                                                  ["shard", "nth", "point"])
@@ -377,11 +384,14 @@ def _visit(least: float):
     return run
 
 
+def _zipped(sims: str, ids: str):
+    """A list of (d, c), d the negative similarity."""
+    return F.zip_with(sims, ids, lambda s, c: F.struct((-s).alias("d"), c.alias("c")))
+
+
 def _nearest(known: DataFrame) -> DataFrame:
-    """(q, c, sim) -> the BEST nearest of every q."""
-    return known.groupBy("q").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("sim")).alias("d"), "c"))), 1, BEST)
-                                  .alias("k")).select("q", F.explode("k").alias("k")).select(
-        "q", F.col("k.c").alias("c"), (-F.col("k.d")).alias("sim"))
+    """(q, k), k lists of (d, c), nearest first -> the BEST nearest of every q."""
+    return known.groupBy("q").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("k")))), 1, BEST).alias("k"))
 
 
 def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: DataFrame, lists: DataFrame,
@@ -409,9 +419,8 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
         asked = people.select("part", F.col("point").alias("q")).join(members.select("part", "shard").distinct(), "part")
     else:
         best = scratch.stage(_nearest(lists.join(comp, "point", "left_semi").select(
-            F.col("point").alias("q"), F.explode(F.arrays_zip("neighbours", "sims")).alias("k")).select(
-            "q", F.col("k.neighbours").alias("c"), F.col("k.sims").alias("sim"))), f"{name}-best")
-        asked = best.join(home, "c")
+            F.col("point").alias("q"), F.col("near").alias("k"))), f"{name}-best")
+        asked = best.select("q", F.explode("k.c").alias("c")).join(home, "c")
     links, rnd = None, 0
     while True:
         visits = scratch.stage(asked.select("q", "shard").distinct().join(seen, ["q", "shard"], "left_anti"),
@@ -433,11 +442,14 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
         links = found if links is None else links.unionByName(found)
         if everywhere:
             return links
-        known = met.select("q", F.explode(F.arrays_zip("near", "sims")).alias("k")).select(
-            "q", F.col("k.near").alias("c"), F.col("k.sims").alias("sim"))
-        best = scratch.stage(_nearest(best.unionByName(known)), f"{name}-best-{rnd}")
-        asked = best.select("q", "c").unionByName(found.select(F.col("src").alias("q"), F.col("dst").alias("c"))).join(home, "c")
-        seen, rnd = scratch.stage(seen.unionByName(visits.select("q", "shard")), f"{name}-seen-{rnd}"), rnd + 1
+        # a point without a visit knows no shard that it has not been to, and learns of none: it is done
+        on = visits.select("q").distinct()
+        best = scratch.stage(_nearest(best.join(on, "q", "left_semi").unionByName(
+            met.select("q", _zipped("sims", "near").alias("k")))), f"{name}-best-{rnd}")
+        asked = best.select("q", F.explode("k.c").alias("c")).unionByName(
+            found.select(F.col("src").alias("q"), F.col("dst").alias("c"))).join(home, "c")
+        seen = scratch.stage(seen.join(on, "q", "left_semi").unionByName(visits.select("q", "shard")), f"{name}-seen-{rnd}")
+        rnd += 1
 
 
 # --- exact verification ---------------------------------------------------------------------
@@ -571,8 +583,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
             f"graph-{attempt}")
         # lists of all shards united: their links meet in the points that shards share
         # (lists are nearest first: the BEST of all are among the BEST of each)
-        united = graph.groupBy("point").agg(F.flatten(F.collect_list(F.slice("neighbours", 1, BEST))).alias("neighbours"),
-                                            F.flatten(F.collect_list(F.slice("sims", 1, BEST))).alias("sims"),
+        united = graph.groupBy("point").agg(F.flatten(F.collect_list(F.slice(_zipped("sims", "neighbours"), 1, BEST))).alias("near"),
                                             F.array_distinct(F.flatten(F.collect_list("linked"))).alias("linked"))
         links = united.select(F.col("point").alias("src"), F.explode("linked").alias("dst"))
         components = scratch.stage(connected_components(scratch, links, f"join-{attempt}"), f"components-{attempt}")
