@@ -37,6 +37,7 @@ def parse(argv):
             p.add_argument("--run-date", default=None, help="report date (default yesterday)")
             p.add_argument("--materialize-fact", action="store_true")
             p.add_argument("--snapshot-tickers", action="store_true")
+            p.add_argument("--colocate", action="store_true", help="lay trades and prices out in buckets for the fact's join")
             p.add_argument("--severity", choices=("error", "warn"), default="error")
             p.add_argument("--post-tests", choices=("incremental", "full"), default="incremental")
             p.add_argument("--allow-empty-tickers", action="store_true", help="publish an empty ticker mirror")
@@ -65,7 +66,7 @@ def run(argv, spark=None) -> dict:
                               materialize_fact=args.materialize_fact,
                               snapshot_ticker_dim=args.snapshot_tickers, severity=args.severity,
                               post_tests=args.post_tests, refuse_empty_tickers=not args.allow_empty_tickers,
-                              ticker_retention_days=args.ticker_retention_days)
+                              ticker_retention_days=args.ticker_retention_days, colocate_fact=args.colocate)
         return {"command": "daily", "run_date": res.run_date, "status": res.status,
                 "seconds": res.steps.get("seconds", {})}
     if args.command == "backfill":

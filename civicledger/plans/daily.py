@@ -25,8 +25,9 @@ from pyspark.sql import types as T
 
 from ..operators import keyed, merge, quality, scd2
 from ..sources import landing, ledger, schemas, seeds
+from ..sources.colocated import Colocated
 from ..sources.keyindex import KeyIndex
-from ..sources.store import HIVE_NULL_PARTITION, Catalog, PartitionedTable, Snapshots
+from ..sources.store import HIVE_NULL_PARTITION, Catalog, PartitionedTable, PublishConflict, Snapshots
 from . import backfill as BF
 from . import models as M
 
@@ -373,9 +374,26 @@ def record_state(wh: Warehouse) -> dict[str, int]:
     return state
 
 
-def published(wh: Warehouse, name: str) -> DataFrame:
-    """A published model in the state that was recorded last (its newest one before the first record)."""
-    return wh.catalog.table(name).read(Snapshots(wh.spark, wh.root).current().get(name))
+def colocated(wh: Warehouse) -> Colocated:
+    """Published trades and prices in buckets of (day, ticker), the key that the fact joins them on."""
+    keys = {"int_gov_official_trades": ["transaction_date", "security_ticker"], "int_market": ["date_recorded", "ticker"]}
+    return Colocated(wh.spark, f"{wh.root}/_colocated", {n: wh.catalog.table(n) for n in keys}, keys)
+
+
+def colocate(wh: Warehouse) -> int | None:
+    """Bring the co-bucketed layout to the recorded state; None if it stands for that or another run is at it."""
+    try:
+        return colocated(wh).refresh(Snapshots(wh.spark, wh.root).current())
+    except PublishConflict:
+        return None
+
+
+def published_models(wh: Warehouse) -> dict[str, DataFrame]:
+    """The published models that exist, in one common state; trades and prices in buckets where these are laid out for it."""
+    state = Snapshots(wh.spark, wh.root).current()
+    frames = {n: wh.catalog.table(n).read(state.get(n)) for n in PUBLISHED if wh.catalog.exists(n)}
+    layout = colocated(wh)
+    return frames | ((layout.read(state) or {}) if layout.exists() else {})
 
 
 def fact(wh: Warehouse) -> DataFrame:
@@ -383,9 +401,12 @@ def fact(wh: Warehouse) -> DataFrame:
 
     The three models are read in the states that one run left, also while another run publishes.
     Materialising it (``run_daily(materialize_fact=True)``) rewrites the whole
-    fact each day; as a view, readers pay the two joins instead.
+    fact each day; as a view, readers pay the two joins instead. With the co-bucketed layout
+    (``colocate``) the join of trades and prices shuffles neither, and the officials are broadcast
+    where the planner finds them small.
     """
-    return M.fact_trades(*(published(wh, n) for n in PUBLISHED))
+    frames = published_models(wh)
+    return M.fact_trades(*(frames[n] for n in PUBLISHED))
 
 
 def register_views(wh: Warehouse) -> list[str]:
@@ -393,8 +414,7 @@ def register_views(wh: Warehouse) -> list[str]:
 
     Plain SQL over them stays on that state until this is called again.
     """
-    state = Snapshots(wh.spark, wh.root).current()
-    frames = {n: wh.catalog.table(n).read(state.get(n)) for n in PUBLISHED if wh.catalog.exists(n)}
+    frames = published_models(wh)
     if len(frames) == len(PUBLISHED):
         frames["fct_government_official_trades"] = M.fact_trades(*(frames[n] for n in PUBLISHED))
     for n in ("dim_scd_gov_officials", "scd_tickers"):
@@ -474,7 +494,7 @@ VERSIONED_TABLES = ("staging_stock_tickers", TICKER_FILES, "stock_tickers", "int
 
 def compact(wh: Warehouse, from_folders: int | None = None) -> dict[str, int]:
     """Pack the date folders of the large tables where they are many; {table: new state}."""
-    from ..sources.store import COMPACT_FROM, PublishConflict
+    from ..sources.store import COMPACT_FROM
     out = {}
     for name in (TRADES, PRICE_LOADS, "int_gov_official_trades", "int_market", "market_close_by_day"):
         t = wh.catalog.table(name)
@@ -506,18 +526,22 @@ def vacuum(wh: Warehouse, keep: int) -> dict[str, list[int]]:
             out[name] = t.vacuum(keep, spare=spare)
             if name == "int_gov_official_trades":
                 KeyIndex(t, ["transaction_id"]).vacuum(keep)
+    if (layout := colocated(wh)).exists():
+        layout.vacuum(keep)
     return out
 
 
 def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool = False,
               snapshot_ticker_dim: bool = False, severity: str = "error",
               post_tests: str = "incremental", keep_versions: int | None = 7,
-              refuse_empty_tickers: bool = True, ticker_retention_days: int | None = None) -> RunResult:
+              refuse_empty_tickers: bool = True, ticker_retention_days: int | None = None,
+              colocate_fact: bool = False) -> RunResult:
     """One report date, end to end.
 
     ``post_tests="incremental"`` tests the day's slice after publishing where the
     whole tables passed before; a first build, and any run after one whose
-    failures were only recorded, tests the whole tables.
+    failures were only recorded, tests the whole tables. ``colocate_fact`` lays trades
+    and prices out in buckets for the fact's join; later runs keep an existing layout up.
     """
     run_date = str(run_date or default_run_date())
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
@@ -560,6 +584,9 @@ def run_daily(wh: Warehouse, run_date=None, as_of=None, materialize_fact: bool =
     if snapshot_ticker_dim:
         res.steps["scd_tickers"] = snapshot_tickers(wh, as_of)
         lap("scd2_tickers")
+    if colocate_fact or colocated(wh).exists():
+        res.steps["colocated"] = colocate(wh)
+        lap("colocate")
     if materialize_fact:
         res.steps["fct_government_official_trades"] = wh.catalog.table(
             "fct_government_official_trades").write(fact(wh))
@@ -627,6 +654,8 @@ def run_backfill(wh: Warehouse, start, end, as_of=None, today: dt.date | None =
         if not out["published_report"] and not out["audit_report"]:
             mark_passed(wh)
         record_state(wh)
+        if colocated(wh).exists():
+            out["colocated"] = colocate(wh)
     record.close()
     return out
 
