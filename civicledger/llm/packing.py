@@ -128,23 +128,30 @@ def mutate(lengths, a, capacity, rng) -> np.ndarray:
 
 
 def first_population(lengths: np.ndarray, capacity: int, size: int, rng) -> list[np.ndarray]:
+    """Best fits of the pieces from long to short, and in noisy such orders; the first alone where it needs the fewest bins."""
     people = []
     for k in range(size):
         noise = 1 + (0.25 * rng.random(len(lengths)) if k else 0)
         bins = np.zeros(len(lengths), np.int64)
         best_fit(lengths, np.argsort(-lengths * noise, kind="stable"), bins, [], capacity)
         people.append(bins.astype(np.int32))
+        if bins.max() + 1 <= -(-int(lengths.sum()) // capacity):
+            break
     return people
 
 
 def evolve(lengths: np.ndarray, people: list[np.ndarray], capacity: int, generations: int, rng) -> list[np.ndarray]:
-    """Steady state: a child of two parents, mutated now and then, replaces the worst when it is better."""
+    """Steady state: a child of two parents, mutated now and then, replaces the worst when it is better.
+
+    Ends where the fewest bins that the tokens need are reached, or after ``generations``
+    generations in a row that have not saved a bin.
+    """
     scored = sorted(((fitness(lengths, p, capacity), k, p) for k, p in enumerate(people)), key=lambda x: (x[0], -x[1]),
                     reverse=True)
     least = -(-int(lengths.sum()) // capacity)
-    for g in range(generations * len(scored)):
-        if -scored[0][0][0] <= least:
-            break
+    g = saved = 0
+    while -scored[0][0][0] > least and g - saved < generations * len(scored):
+        fewest, g = scored[0][0][0], g + 1
         i, j = (int(x) for x in rng.choice(len(scored), 2, replace=False)) if len(scored) > 1 else (0, 0)
         child = crossover(lengths, scored[i][2], scored[j][2], capacity, rng)
         if rng.random() < 0.4:
@@ -153,6 +160,8 @@ def evolve(lengths: np.ndarray, people: list[np.ndarray], capacity: int, generat
         if f > scored[-1][0]:
             scored[-1] = (f, g + len(people), child)
             scored.sort(key=lambda x: (x[0], -x[1]), reverse=True)
+        if scored[0][0][0] > fewest:
+            saved = g
     return [p for _, _, p in scored]
 
 
@@ -217,7 +226,7 @@ def problem_count(pieces: int, tokens: int, capacity: int, problem_size: int, be
 
 
 def pack(spark: SparkSession, items: DataFrame, capacity: int, problem_size: int = 1536, islands: int = 2,
-         population: int = 4, epochs: int = 2, generations: int = 1, least_part: float = 0.1,
+         population: int = 16, epochs: int = 4, generations: int = 16, least_part: float = 0.1,
          scratch: Scratch | None = None) -> DataFrame:
     """Groups ``items`` (id unique, length from 1 to capacity) -> (id, level, problem, bin, offset)."""
     scratch = scratch or Scratch(spark, "pack")

@@ -144,3 +144,30 @@ def test_genetic_steps_keep_groupings_valid():
     assert np.bincount(child, weights=lengths).max() <= 100 and len(child) == 300
     after = packing.evolve(lengths, people, 100, 6, rng)
     assert packing.fitness(lengths, after[0], 100) >= before
+
+
+def hard_cases():
+    """Pieces that fit by threes at most, and triplets that fill a sequence exactly."""
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(900, 1500, 500), rng.integers(900, 1500, 500)
+    return [rng.integers(1000, 2049, 1500), np.concatenate([a, b, 4096 - a - b])]
+
+
+@pytest.mark.parametrize("case, gain", [(0, 0.01), (1, 0.015)])
+def test_the_search_packs_hard_cases_tighter_than_best_fit(spark, case, gain):
+    lengths = hard_cases()[case]
+    plain = packing.first_population(lengths, 4096, 1, np.random.default_rng(0))[0].max() + 1
+    items = spark.createDataFrame(list(enumerate(lengths.tolist())), "id long, length int")
+    got = packing.pack(spark, items, 4096).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault((r.level, r.problem, r.bin), []).append(int(lengths[r.id]))
+    assert sorted(r.id for r in got) == list(range(1500)) and max(map(sum, bins.values())) <= 4096
+    assert len(bins) <= (1 - gain) * plain
+
+
+def test_a_best_fit_that_needs_the_fewest_bins_is_not_searched_on():
+    lengths = np.array([4000, 96, 2048, 2048, 1])
+    people = packing.first_population(lengths, 4096, 16, np.random.default_rng(0))
+    assert len(people) == 1 and people[0].max() + 1 == 3
+    assert packing.evolve(lengths, people, 4096, 16, None)[0].tolist() == people[0].tolist()
