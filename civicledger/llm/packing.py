@@ -128,18 +128,23 @@ def mutate(lengths, a, capacity, rng) -> np.ndarray:
 
 
 def first_population(lengths: np.ndarray, capacity: int, size: int, rng) -> list[np.ndarray]:
-    """Best fits of the pieces from long to short, and in noisy such orders; the first alone where it needs the fewest bins."""
     people = []
     for k in range(size):
         noise = 1 + (0.25 * rng.random(len(lengths)) if k else 0)
         bins = np.zeros(len(lengths), np.int64)
         best_fit(lengths, np.argsort(-lengths * noise, kind="stable"), bins, [], capacity)
         people.append(bins.astype(np.int32))
-        if bins.max() + 1 <= -(-int(lengths.sum()) // capacity):
-            break
     return people
 
 
+def starters(lengths: np.ndarray, capacity: int, size: int, rng) -> list[np.ndarray]:
+    """The first population, or plain best fit alone where that needs the fewest bins."""
+    first = first_population(lengths, capacity, 1, rng)
+    if first[0].max() + 1 <= -(-int(lengths.sum()) // capacity):
+        return first
+    return first_population(lengths, capacity, size, rng)
+
+
 def evolve(lengths: np.ndarray, people: list[np.ndarray], capacity: int, generations: int, rng) -> list[np.ndarray]:
     """Steady state: a child of two parents, mutated now and then, replaces the worst when it is better.
 
@@ -178,7 +183,7 @@ def _epoch(level: int, epoch: int, capacity: int, size: int, generations: int):
                 lengths = np.asarray(b.column("lengths")[row].values.to_numpy(), np.int64)
                 rng = np.random.default_rng([level, epoch, problem, island])
                 given = [np.asarray(p.values.to_numpy()) for p in b.column("people")[row]]
-                people = given or first_population(lengths, capacity, size, rng)
+                people = given or starters(lengths, capacity, size, rng)
                 people = evolve(lengths, people, capacity, generations, rng)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([problem], pa.int64()), pa.array([island], pa.int32()),

@@ -168,6 +168,6 @@ def test_the_search_packs_hard_cases_tighter_than_best_fit(spark, case, gain):
 
 def test_a_best_fit_that_needs_the_fewest_bins_is_not_searched_on():
     lengths = np.array([4000, 96, 2048, 2048, 1])
-    people = packing.first_population(lengths, 4096, 16, np.random.default_rng(0))
+    people = packing.starters(lengths, 4096, 16, np.random.default_rng(0))
     assert len(people) == 1 and people[0].max() + 1 == 3
     assert packing.evolve(lengths, people, 4096, 16, None)[0].tolist() == people[0].tolist()
