@@ -4,6 +4,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +234,42 @@ def test_near_duplicates_across_shards(spark, monkeypatch):
     assert len(pairs) > 300 and len(lost) <= 0.01 * len(pairs)
 
 
+def test_rounds_write_few_rows(spark, monkeypatch):
+    """Float vectors over many shards, found exactly; what the rounds write is bounded: a shard is laid out once, as rows
+    of many vectors, and visits that learn nothing leave no row."""
+    for name, value in (("SHARD", 24), ("SHARD_MOST", 60), ("SAMPLE", 400)):
+        monkeypatch.setattr(neardup_graph, name, value)
+    written, stage = {}, Scratch.stage
+
+    def counted(self, df, name):
+        out = stage(self, df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", counted)
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(500, 16)).astype(np.float32)
+    x[1::5] = x[::5] + np.float32(0.02)
+    x[2, :2], x[3] = (0.0, 1.0), x[2]
+    x[3, 0] = -0.0                                # an equal vector
+    rows = [(k, [float(c) for c in v], 1) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = neardup_graph.near_duplicates(spark, df).collect()
+    assert sorted(str((r.vec_id, r.n_links, r.component_id, r.kept)) for r in got) == brute_links(rows)
+    rounds = sum(n for name, n in written.items() if name.startswith("across-0-") and "join" not in name)
+    assert rounds <= 15 * len(rows), written
+
+
+def test_bytes_and_lists_read_alike():
+    values, lengths = np.arange(7, dtype=np.float32), np.array([2, 0, 4, 1])
+    packed = neardup_graph._bytes(values, lengths, "f4")
+    for column in (packed, pa.array([[0.0, 1.0], None, [2.0, 3.0, 4.0, 5.0], [6.0]], pa.list_(pa.float32()))):
+        for a, z in ((0, 4), (1, 3), (2, 4), (1, 2), (3, 3)):
+            got, many = neardup_graph._flat(column.slice(a, z - a), "f4")
+            assert many.tolist() == lengths[a:z].tolist()
+            assert got.tolist() == values[lengths[:a].sum():lengths[:z].sum()].tolist()
+
+
 def test_audit_sees_lost_links_beside_a_large_group(spark):
     """200 near copies in one component and 150 pairs, every second of them split: many links are kept, many points lost."""
     rng = np.random.default_rng(9)
