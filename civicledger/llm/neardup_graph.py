@@ -174,11 +174,16 @@ def robust_prune(near: np.ndarray, cand: np.ndarray, keep: int) -> np.ndarray:
     out = np.full((m, keep), -1)
     count = np.zeros(m, int)
     for r in range(c):
-        take = alive[:, r] & (count < keep)
-        out[rows[take], count[take]] = cand[take, r]
+        take = rows[alive[:, r] & (count < keep)]
+        if not len(take):
+            if (count == keep).all():
+                break
+            continue
+        out[take, count[take]] = cand[take, r]
         count[take] += 1
-        shadow = ALPHA * (1 - near[safe[:, r][:, None], safe]) <= own
-        alive &= ~(shadow & take[:, None])
+        later = safe[take, r + 1:]
+        shadow = ALPHA * (1 - near[safe[take, r][:, None], later]) <= own[take, r + 1:]
+        alive[take, r + 1:] &= ~shadow
     return out
 
 
@@ -449,7 +454,7 @@ def _visit(least: float, dtype: str):
     """Rows (shard, salt, visitor, point, v, comp, floor, comps, ids, counts, homes), the shard's block first -> news of visitors.
 
     A visitor gets the shard's BEST points nearest to it, without those less similar
-    than ``floor`` (its BEST known ones are at least as near), and in ``linked`` one
+    than ``floor`` (its BEST known ones, ``ids``, are at least as near) and those known, and in ``linked`` one
     verified point in range of every component but its own.
     """
 
@@ -464,16 +469,26 @@ def _visit(least: float, dtype: str):
         own, floor = _matrix(visitors.column("v"), dtype), visitors.column("floor").to_numpy()
         n = len(own)
         sims = unit(own).astype(np.float32) @ units.T
-        best = np.argpartition(-sims, min(BEST, len(ids)) - 1, axis=1)[:, :BEST]
-        near = np.take_along_axis(sims, best, axis=1)
-        r, c = np.nonzero(near >= floor[:, None])
-        best, near, many = best[r, c], near[r, c], np.bincount(r, minlength=n)
+        # most visitors see a few points above their floor; of more, the nearest
+        above = sims >= floor[:, None]
+        more = np.flatnonzero(np.count_nonzero(above, axis=1) > BEST)
+        if len(more):
+            best = np.argpartition(-sims[more], BEST - 1, axis=1)[:, :BEST]
+            above[more] = False
+            above[more[:, None], best] = True
+        r, best = np.nonzero(above)
+        known, many = _flat(visitors.column("ids"))
+        told = np.zeros(len(r), bool)
+        for k in range(int(many.max())):        # the k-th point that each visitor knows
+            told |= (many[r] > k) & (known[np.minimum((np.cumsum(many) - many)[r] + k, len(known) - 1)] == ids[best])
+        r, best = r[~told], best[~told]
+        near, many = sims[r, best], np.bincount(r, minlength=n)
         linked: list[list[int]] = [[] for _ in range(n)]
         places: list[np.ndarray] = [np.zeros(0, np.int64)] * n
-        maybe = (sims >= least - 1e-4) & (visitors.column("comp").to_numpy()[:, None] != comps[None, :])
+        maybe, comp = sims >= least - 1e-4, visitors.column("comp").to_numpy()
         for i in np.flatnonzero(maybe.any(axis=1)):
             # what single precision finds near the bound is decided in double precision
-            j = np.flatnonzero(maybe[i])
+            j = np.flatnonzero(maybe[i] & (comps != comp[i]))
             j = j[cosines(own[i:i + 1], x[j])[0] >= least]
             j = j[np.unique(comps[j], return_index=True)[1]]
             linked[i], places[i] = ids[j].tolist(), homes[_spans(start[j], counts[j])]
@@ -580,7 +595,6 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
     those it is in or has visited. ``everywhere``: all shards of its part.
     A shard's vectors, components and dealing are laid out once, as rows of many points.
     """
-    width = _width(spark)
     homes = shards.groupBy("point").agg(F.collect_set("shard").alias("homes"))
     facts = (points.select("point", "part").join(components, F.col("point") == F.col("id"), "left")
              .select("point", "part", F.coalesce("component", "point").alias("comp")).join(homes, "point"))
@@ -599,7 +613,7 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
     else:
         parted = parted.selectExpr("*", "CAST(NULL AS binary) AS ids", "CAST(NULL AS binary) AS sims")
     laid = scratch.stage(
-        parted.repartition(width, "shard").sortWithinPartitions("shard", "kind", "point")
+        parted.repartition(_width(spark), "shard").sortWithinPartitions("shard", "kind", "point")
         .mapInArrow(_blocks(dtype), "shard bigint, point bigint, v binary, comps binary, ids binary, sims binary, "
                                     "counts binary, homes binary"), f"{name}-blocks")
     blocks = laid.where("v IS NOT NULL").drop("sims")
@@ -608,13 +622,14 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
 
     def learned(rows, at):
         rows = rows.select("q", "v", "comp", "ids", "sims", "counts", "homes", "near_linked", "seen", "ask")
-        return scratch.stage(rows.repartition(width, "q").sortWithinPartitions("q").mapInArrow(_learn(dtype), state_schema), at)
+        return scratch.stage(rows.repartition("q").sortWithinPartitions("q").mapInArrow(_learn(dtype), state_schema), at)
 
     if everywhere:
         every = facts.select("part", F.explode("homes").alias("shard")).distinct()
         visits = (facts.join(every, "part").where(~F.array_contains("homes", F.col("shard")))
                   .join(points.select("point", "v"), "point")
-                  .selectExpr("shard", "point", "v", "comp", "CAST('-Infinity' AS float) AS floor"))
+                  .selectExpr("shard", "point", "v", "comp", "CAST('-Infinity' AS float) AS floor",
+                              "CAST(NULL AS binary) AS ids"))
     else:
         news = laid.where("v IS NULL").selectExpr("point AS q", "ids", "sims", "counts", "homes")
         state = learned(
@@ -626,7 +641,7 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
         if not everywhere:
             if state.isEmpty():
                 return links if links is not None else state.selectExpr("q AS src", "q AS dst")
-            visits = state.selectExpr("explode(ask) AS shard", "q AS point", "v", "comp", "floor")
+            visits = state.selectExpr("explode(ask) AS shard", "q AS point", "v", "comp", "floor", "ids")
         # written first: Spark then knows its size and need not shuffle vectors to join it
         salted = scratch.stage(visits.groupBy("shard").agg((F.floor(F.count(F.lit(1)) / 4096) + 1).cast("int").alias("salts")),
                                f"{name}-salted-{rnd}")
@@ -636,7 +651,7 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
             *visits.columns, F.pmod(F.xxhash64("point"), F.col("salts")).cast("int").alias("salt"),
             F.lit(True).alias("visitor")), allowMissingColumns=True)
         met = scratch.stage(
-            rows.repartition(width, "shard", "salt").sortWithinPartitions("shard", "salt", "visitor", "point")
+            rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "visitor", "point")
             .mapInArrow(_visit(least, dtype), f"q bigint, {NEWS}, linked array<bigint>"), f"{name}-met-{rnd}")
         found = met.select(F.col("q").alias("src"), F.explode("linked").alias("dst"))
         links = found if links is None else links.unionByName(found)
