@@ -595,6 +595,8 @@ def across(spark: SparkSession, scratch: Scratch, points: DataFrame, shards: Dat
     those it is in or has visited. ``everywhere``: all shards of its part.
     A shard's vectors, components and dealing are laid out once, as rows of many points.
     """
+    if points.schema["v"].dataType.simpleString() != "binary":
+        points = points.select("point", "part", "v").mapInArrow(_packed(dtype), "point bigint, part bigint, v binary")
     homes = shards.groupBy("point").agg(F.collect_set("shard").alias("homes"))
     facts = (points.select("point", "part").join(components, F.col("point") == F.col("id"), "left")
              .select("point", "part", F.coalesce("component", "point").alias("comp")).join(homes, "point"))
