@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicledger.llm import bitsliced, jaccard_join, neardup_graph, shingles
-from civicledger.llm.common import Scratch, connected_components
+from civicledger.llm.common import CLEANUP, Scratch, connected_components
 
 
 class Sets:
@@ -99,6 +100,52 @@ def test_pivots_windows_and_blocks_are_exact(spark, texts, monkeypatch, leaf):
     assert result(jaccard_join.jaccard_components(spark, frame(spark, texts))) == brute_components(texts)
 
 
+def shuffle_files(spark) -> int:
+    """Shuffle data files of this application on its local disks."""
+    base = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(f.getName().startswith("shuffle_") and f.getName().endswith(".data") for d in base.localDirs()
+               for sub in d.listFiles() for f in (sub.listFiles() or []))
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """Without waiting for the driver's garbage collector."""
+    gone = lambda before: any(shuffle_files(spark) <= before or time.sleep(0.2) for _ in range(50))
+    before, mode = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    table = Scratch(spark, "t").stage(spark.range(20000).repartition(5, "id").groupBy((F.col("id") % 999).alias("k")).count(), "a")
+    assert gone(before)
+    assert spark.conf.get(CLEANUP, None) == mode and table.count() == 999
+
+
+def test_a_join_leaves_one_table(spark, texts, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEAF", 6)            # all steps run
+    scratch = Scratch(spark, "t")
+    scratch.stage(spark.range(3), "other")
+    found = jaccard_join.jaccard_components(spark, frame(spark, texts), scratch=scratch)
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch.root)
+    left = {x.getPath().getName() for x in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)}
+    assert left == {"other", "found"} == scratch.names
+    assert result(found) == brute_components(texts)
+
+
+@pytest.mark.parametrize("bucket", [1, 40, 10 ** 6])
+def test_maps_of_counts(spark, monkeypatch, bucket):
+    """Counted in buckets and blocks of any size: the same maps as counting whole shingles."""
+    monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 700)
+    rng = np.random.default_rng(21)
+    common = [" ".join(f"p{k}w{i}" for i in range(9)) for k in range(6)]
+    texts = [" ".join(common[k] for k in range(6) if i % (k * k + 1) == 0) + " " + " ".join(f"x{x}" for x in rng.integers(0, 9999, 30))
+             for i in range(300)]
+    sets = shingles.shingle_sets([t.encode() for t in texts], 5)
+    packed = spark.createDataFrame([(bytearray(jaccard_join.pack_text(t.encode())),) for t in texts], "members binary")
+    got = jaccard_join.often_maps(spark, packed.repartition(3), sum(map(len, sets)), 5)
+    u, c = np.unique(np.concatenate(sets), return_counts=True)
+    for n, m in zip(jaccard_join.OFTEN, got, strict=True):
+        want = np.zeros(1 << jaccard_join.MAP_BITS, bool)
+        want[(u[c >= n] >> np.uint64(64 - jaccard_join.MAP_BITS)).astype(np.int64)] = True
+        assert want.any() and (np.unpackbits(m.bits, bitorder="little").astype(bool) == want).all()
+
+
 def test_far_families_split_into_voronoi_cells(spark, monkeypatch):
     """One region of many tight families: windows keep cells apart, and the result stays exact."""
     monkeypatch.setattr(jaccard_join, "LEAF", 16)
