@@ -146,6 +146,25 @@ def test_maps_of_counts(spark, monkeypatch, bucket):
         assert want.any() and (np.unpackbits(m.bits, bitorder="little").astype(bool) == want).all()
 
 
+def test_one_of_each_deals_texts_once(spark, texts):
+    """Null ids and repeated rows too: join and duplicates share one exchange of the documents."""
+    rows = [*texts, (None, "a text without any id at all"), (None, "a text without any id at all"), texts[0], texts[0]]
+    with_joins = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in with_joins}
+    try:
+        for k, v in with_joins.items():
+            spark.conf.set(k, v)
+        kept = jaccard_join.one_of_each(spark, frame(spark, rows))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        left = [(r.doc_id, r.text) for r in kept.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    side = plan[plan.index("SortMergeJoin"):].split("Exchange")
+    assert "Exchange" not in plan[:plan.index("SortMergeJoin")] and len(side) > 2
+    assert len(left) == len(set(left)) and left.count((None, "a text without any id at all")) == 1
+
+
 def test_far_families_split_into_voronoi_cells(spark, monkeypatch):
     """One region of many tight families: windows keep cells apart, and the result stays exact."""
     monkeypatch.setattr(jaccard_join, "LEAF", 16)
