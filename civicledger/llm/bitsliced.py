@@ -10,9 +10,9 @@ are selected from the highest place downward: rows with the bit set are surely
 in, or the only ones still in question. Rows tied at the boundary go by the
 smaller id, and the scores of the rows taken are computed exactly.
 
-A block holds at most ``block_rows`` vectors and meets the queries in chunks of
-fixed size; each pair of block and chunk gives k rows a query, which a last
-ranking merges.
+A block holds about ``block_rows`` vectors (fewer where they are long), stored
+as bundles of bounded size, and meets the queries in chunks of fixed size; each
+pair of block and chunk gives k rows a query, which a last ranking merges.
 
 Defined cases: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows with a null id; a query meets only vectors
@@ -25,12 +25,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, lean
 
 LARGEST = 1 << 62
+#: Components in a bundle (a row of the index) and in a block (what a task searches), at most about so many.
+BUNDLE_COMPONENTS, BLOCK_COMPONENTS = 1 << 17, 1 << 22
 
 
 def usable(vector: Column) -> Column:
@@ -128,56 +131,84 @@ def products(values: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.array(found, np.int64)
 
 
-ROW = "block bigint, part int, kind int, ids binary, vectors binary, dim int"
+ROW = "block bigint, part int, kind int, dim int, place bigint, ids binary, vectors binary"
 
 
 def _bundle(kind: int, most: int):
-    """Rows (block, id, v), sorted by block, dimension and id -> bundles of at most ``most`` vectors."""
+    """Rows (block, id, v), sorted by block, dimension and id -> bundles of at most ``most`` vectors and bounded size.
 
-    def emit(rows):
-        values = np.array([r[2] for r in rows], np.int64)
+    ``place`` is the order of a block's bundles.
+    """
+
+    def emit(block, ids, values, place):
+        ids, values = np.concatenate(ids), np.concatenate(values)
         narrow = values.astype(np.int32)
         if values.max() >= LARGEST or values.min() <= -LARGEST:
             raise ValueError("a component is too large for the index")
         return pa.RecordBatch.from_arrays(
-            [pa.array([rows[0][0]], pa.int64()), pa.array([0], pa.int32()), pa.array([kind], pa.int32()),
-             pa.array([np.array([r[1] for r in rows], np.int64).tobytes()], pa.binary()),
-             pa.array([(narrow if (narrow == values).all() else values).tobytes()], pa.binary()), pa.array([values.shape[1]], pa.int32())],
-            ["block", "part", "kind", "ids", "vectors", "dim"])
+            [pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([kind], pa.int32()),
+             pa.array([values.shape[1]], pa.int32()), pa.array([place], pa.int64()), pa.array([ids.tobytes()], pa.binary()),
+             pa.array([(narrow if (narrow == values).all() else values).tobytes()], pa.binary())],
+            ["block", "part", "kind", "dim", "place", "ids", "vectors"])
 
     def run(batches):
-        held: list = []
+        now, ids, values, n, place = None, [], [], 0, 0
         for b in batches:
-            for r in zip(b.column("block").to_pylist(), b.column("id").to_pylist(), b.column("v").to_pylist(),
-                         strict=True):
-                if held and (r[0] != held[0][0] or len(r[2]) != len(held[0][2]) or len(held) >= most):
-                    yield emit(held)
-                    held = []
-                held.append(r)
-        if held:
-            yield emit(held)
+            if not b.num_rows:
+                continue
+            block, every, flat = (b.column("block").to_numpy(), b.column("id").to_numpy(),
+                                  b.column("v").flatten().to_numpy(zero_copy_only=False))
+            dim = pc.list_value_length(b.column("v")).to_numpy()
+            ends = np.cumsum(dim, dtype=np.int64)
+            runs = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (dim[1:] != dim[:-1]), [True]]))
+            for lo, hi in zip(runs[:-1].tolist(), runs[1:].tolist(), strict=True):
+                key, d = (int(block[lo]), int(dim[lo])), int(dim[lo])
+                if n and key != now:
+                    yield emit(now[0], ids, values, place)
+                    ids, values, n, place = [], [], 0, place + 1
+                now, room = key, min(most, max(1, BUNDLE_COMPONENTS // d))
+                while lo < hi:
+                    to = min(hi, lo + room - n)
+                    # copies: a batch is freed when it is read
+                    ids.append(every[lo:to].copy())
+                    values.append(flat[ends[lo] - d:ends[to - 1]].reshape(-1, d).copy())
+                    n, lo = n + to - lo, to
+                    if n == room:
+                        yield emit(now[0], ids, values, place)
+                        ids, values, n, place = [], [], 0, place + 1
+        if n:
+            yield emit(now[0], ids, values, place)
     return run
 
 
-def _search(k: int):
-    """Rows of a (block, part), the block's bundles first -> k rows for each query of the chunks behind them."""
+def _search(k: int, most: int):
+    """Rows of a (block, part), the block's bundles first -> k rows for each query of the chunks behind them.
+
+    Bundles of a dimension make slices of up to about ``most`` vectors.
+    """
 
     def run(batches):
-        now, slices = None, []
+        now, slices, held, n = None, [], [], 0
         for b in batches:
-            cols = [b.column(c) for c in ("block", "part", "kind", "ids", "vectors", "dim")]
+            cols = [b.column(c) for c in ("block", "part", "kind", "dim", "ids", "vectors")]
             for i in range(b.num_rows):
                 key = (cols[0][i].as_py(), cols[1][i].as_py())
-                ids = np.frombuffer(cols[3][i].as_buffer(), np.int64)
-                dim = cols[5][i].as_py()
+                dim = cols[3][i].as_py()
+                ids = np.frombuffer(cols[4][i].as_buffer(), np.int64)
                 # components take 4 bytes where all of a bundle fit
-                held = cols[4][i].as_buffer()
-                v = np.frombuffer(held, np.int32 if held.size == 4 * dim * len(ids) else np.int64)
+                raw = cols[5][i].as_buffer()
+                v = np.frombuffer(raw, np.int32 if raw.size == 4 * dim * len(ids) else np.int64)
                 v = v.reshape(-1, dim).astype(np.int64)
                 if key != now:
-                    now, slices = key, []
-                if cols[2][i].as_py() == 0:
-                    slices.append((dim, ids, Slices(v)))
+                    now, slices, held, n = key, [], [], 0
+                index = cols[2][i].as_py() == 0
+                if held and (not index or held[0][1].shape[1] != dim or n + len(ids) > most):
+                    have = np.concatenate([x[0] for x in held])
+                    slices.append((held[0][1].shape[1], have, Slices(np.concatenate([x[1] for x in held]))))
+                    held, n = [], 0
+                if index:
+                    held.append((ids.copy(), v))
+                    n += len(ids)
                     continue
                 out = []
                 for d, have, s in slices:
@@ -202,28 +233,32 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20
         F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("q"))
     rows = scratch.stage(rows, "quantised")
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("q")).first()
-    blocks, chunks = -(-size["n"] // block_rows), -(-size["q"] // chunk)
-    if not blocks or not chunks:
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("q"), F.max(F.size("v")).alias("dim")).first()
+    if not size["n"] or not size["q"]:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    parts = -(-chunks // chunks_per_part)
+    block_rows = min(block_rows, max(64, BLOCK_COMPONENTS // size["dim"]))
+    blocks, chunks = -(-size["n"] // block_rows), -(-size["q"] // chunk)
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a part has a copy of each block: no more parts than it takes to have a task for every partition
+    parts = min(-(-chunks // chunks_per_part), max(1, -(-spread // blocks)))
 
     def bundles(df, count, kind, most):
         # dealt by id and a row's own number: repeated ids do not meet in one block
         dealt = df.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(count)).alias("block"), "id", "v")
-        return (dealt.repartition(max(1, min(count, int(spark.conf.get("spark.sql.shuffle.partitions")))), "block")
-                .sortWithinPartitions("block", F.size("v"), "id").mapInArrow(_bundle(kind, most), ROW))
+        return (dealt.repartition(max(1, min(count, spread)), "block")
+                .sortWithinPartitions("block", F.size("v"), "id").mapInArrow(lean(_bundle(kind, most)), ROW))
 
     index = scratch.stage(bundles(rows, blocks, 0, 2 * block_rows), "index")
     asked = scratch.stage(bundles(rows.where("q"), chunks, 1, 2 * chunk), "queries")
+    scratch.drop("quantised")
     every = lambda n, t: F.explode(F.sequence(F.lit(0).cast(t), F.lit(n - 1).cast(t)))
     # the stated queries meet all blocks: each part has its share of the chunks and a copy of one block
-    work = index.select("block", every(parts, "int").alias("part"), "kind", "ids", "vectors", "dim").unionByName(
+    work = index.select("block", every(parts, "int").alias("part"), "kind", "dim", "place", "ids", "vectors").unionByName(
         asked.select(every(blocks, "long").alias("block"), F.pmod("block", F.lit(parts)).cast("int").alias("part"),
-                     "kind", "ids", "vectors", "dim"))
-    found = (work.repartition(max(1, min(blocks * parts, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))),
-                              "block", "part").sortWithinPartitions("block", "part", "kind")
-             .mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint"))
+                     "kind", "dim", "place", "ids", "vectors"))
+    found = (work.repartition(blocks * parts, "block", "part")
+             .sortWithinPartitions("block", "part", "kind", "dim", "place")
+             .mapInArrow(lean(_search(k, 2 * block_rows)), "query_id bigint, vec_id bigint, score bigint"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -424,6 +424,44 @@ def test_bit_sliced_search(spark, block, chunk):
     assert bitsliced.top_k(spark, df, F.lit(False)).collect() == []
 
 
+def test_bundles_are_bounded():
+    """A row of the index has a bounded size, whatever a block holds; order and vectors stay."""
+    rng = np.random.default_rng(31)
+    dims = [64] * 5000 + [200_000] * 3
+    rows = [(b, i, rng.integers(-9, 9, d)) for b in (3, 8) for i, d in enumerate(dims)]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.int64()),
+         pa.array([r[2] for r in some], pa.list_(pa.int64()))], ["block", "id", "v"]) for some in (rows[:3333], rows[3333:])]
+    out = [r for b in bitsliced._bundle(0, 10 ** 6)(batches) for r in b.to_pylist()]
+    assert max(len(r["vectors"]) for r in out) <= 4 * max(1 << 17, 200_000)
+    assert [r["place"] for r in out] == sorted(r["place"] for r in out)
+    got = [(r["block"], i, v) for r in out for i, v in zip(
+        np.frombuffer(r["ids"], np.int64).tolist(), np.frombuffer(r["vectors"], np.int32).reshape(-1, r["dim"]), strict=True)]
+    assert [g[:2] for g in got] == [r[:2] for r in rows]
+    assert all((g[2] == r[2]).all() for g, r in zip(got, rows, strict=True))
+
+
+def test_small_bundles_and_few_copies(spark, monkeypatch):
+    """Slices put together from many bundles find the same; a block is copied no more often than tasks need."""
+    monkeypatch.setattr(bitsliced, "BUNDLE_COMPONENTS", 20)
+    rng = np.random.default_rng(32)
+    rows = [(int(i), rng.integers(-3, 3, 4).astype(float).tolist()) for i in np.arange(300) // 2]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ask = lambda: bitsliced.top_k(spark, df, F.col("vec_id") % 2 == 0, k=5, scale=1, block_rows=100, chunk=2, chunks_per_part=1)
+    few = ask()
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    dealt = int(re.search(r"hashpartitioning\(block#\d+L?, part#\d+, (\d+)\)", plan).group(1))
+    assert dealt <= 2 * (3 + int(spark.conf.get("spark.sql.shuffle.partitions")))
+    want = []
+    for q in sorted({i for i, _ in rows if i % 2 == 0}):
+        best = []
+        for v in [v for i, v in rows if i == q]:
+            best += [(-int(np.dot(v, w)), i) for i, w in rows if i != q]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(best)[:5])]
+    # a query id that occurs twice asks twice, and a candidate met by both counts twice
+    assert sorted(map(tuple, few.collect())) == sorted(want)
+
+
 def test_slices_add_up():
     rng = np.random.default_rng(5)
     values = rng.integers(-70, 70, (130, 9))
